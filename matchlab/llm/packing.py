@@ -46,7 +46,7 @@ def knapsack(values: np.ndarray, widths: np.ndarray, capacity: int) -> tuple[flo
     return float(best[capacity]), a
 
 
-def column_generation(widths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 4000) -> tuple[np.ndarray, np.ndarray]:
+def column_generation(widths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 4000, within: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
     """(patterns as rows, weights) of the linear program's basis; sum of weight*pattern equals the demand."""
     m = len(widths)
     basis = np.diag((capacity // widths).astype(float))
@@ -55,7 +55,7 @@ def column_generation(widths: np.ndarray, demand: np.ndarray, capacity: int, rou
     for _ in range(rounds):
         price = inv.sum(axis=0)
         worth, a = knapsack(np.maximum(price, 0), widths, capacity)
-        if worth <= 1 + 1e-7:
+        if worth <= 1 + within:  # the optimum is at least sum(x)/worth
             break
         a = np.where(price > 0, a, 0)
         y = inv @ a

@@ -33,18 +33,30 @@ class Encoder:
 
     def _reset(self) -> None:
         self.known: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
         self.flat = np.empty(0, np.uint32)
         self.start = np.zeros(1, np.int64)
+        self.hits = np.empty(0, np.int32)
+
+    def _trim(self) -> None:
+        """Forget the pieces that came up in one lookup only."""
+        keep = np.flatnonzero(self.hits > 1)
+        if len(keep) > CACHE // 2:
+            return self._reset()
+        new = np.full(len(self.hits), -1)
+        new[keep] = np.arange(len(keep))
+        self.known = {p: j for p, i in self.known.items() if (j := int(new[i])) >= 0}
+        lens = np.diff(self.start)[keep]
+        at = np.repeat(self.start[keep] - (np.cumsum(lens) - lens), lens) + np.arange(int(lens.sum()))
+        self.flat, self.start, self.hits = self.flat[at], np.r_[0, np.cumsum(lens)], self.hits[keep]
 
     def _look(self, pieces) -> np.ndarray:
         known = self.known
         fresh = [p for p in pieces if p not in known]
         if fresh:
             if len(known) + len(fresh) > CACHE and known:
-                self._reset()
+                self._trim()
                 known = self.known
-                fresh = list(pieces)
+                fresh = [p for p in pieces if p not in known]
             new, lens = [], []
             for i in range(0, len(fresh), 20_000):
                 for p, e in zip(fresh[i : i + 20_000], self.tok.encode_batch_fast(fresh[i : i + 20_000], add_special_tokens=False)):
@@ -54,7 +66,10 @@ class Encoder:
                     lens.append(len(ids))
             self.flat = np.concatenate([self.flat, np.array(new, np.uint32)])
             self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lens)])
-        return np.fromiter((known[p] for p in pieces), np.int64, len(pieces))
+            self.hits = np.concatenate([self.hits, np.zeros(len(fresh), np.int32)])
+        at = np.fromiter((known[p] for p in pieces), np.int64, len(pieces))
+        self.hits[at] += 1
+        return at
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
