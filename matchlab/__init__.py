@@ -1,0 +1 @@
+"""Head-to-head results analytics as Spark DataFrame operators."""
