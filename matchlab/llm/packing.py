@@ -118,7 +118,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = 2048,
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cls = F.ceil(F.col("length") / unit)
     ranked = staged(
-        pieces(docs, tokenizer, end_id, capacity).withColumn("cls", cls)
+        staged(pieces(docs, tokenizer, end_id, capacity).withColumn("cls", cls), "op4-cut")  # else the range split's sampling would encode again
         .repartitionByRange(n, "cls", "doc_id", "th", "start").sortWithinPartitions("cls", "doc_id", "th", "start")
         .withColumn("row", F.monotonically_increasing_id()), "op4-pieces")
     part = F.shiftright("row", 33)
