@@ -75,22 +75,36 @@ class Index:
         cuts = [range(0, len(p), block) for p in self.items]
         self.last = [[int(p[min(len(p), c + block) - 1]) for c in cs] for p, cs in zip(self.items, cuts)]
         self.block_max = [[float(v[c : c + block].max()) for c in cs] for v, cs in zip(self.impacts, cuts)]
-        self.top = np.array([v.max() for v in self.impacts]) if post else np.empty(0)
+        self.lists = [i.tolist() for i in self.items]
         self.block = block
+        # largest impact of each word (a last row: none) within runs of neighbouring items
+        self.run = max(block, -(-n // 64))
+        self.bounds = np.zeros((max(1, -(-n // self.run)), len(post) + 1), np.float32)
+        for t, (i, v) in enumerate(zip(self.items, self.impacts)):
+            np.maximum.at(self.bounds[:, t], i // self.run, v.astype(np.float32))
         qa = [question_answer(items[i][1]) for i in kept]
         self.parts = [tuple(shingles(words(x.encode())) for x in p) for p in qa]
         self.longest = max(map(len, tokens), default=0)
 
-    def wand(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
-        """Every item whose impacts over `terms` sum to at least the threshold."""
-        lists = [[0, t, self.items[t].tolist()] for t in terms]  # position, term, items
-        out, slack = [], threshold - 1e-9
+    def retrieve(self, terms: np.ndarray, threshold: float) -> list[tuple[int, float]]:
+        """Every item whose impacts over the distinct `terms` sum to at least the threshold: WAND in each run of items
+        that the terms' largest impacts let reach it."""
+        bound, out = self.bounds[:, terms], []
+        for r in np.flatnonzero(bound.sum(1) >= threshold - 1e-6):
+            out += self.wand(terms[bound[r] > 0].tolist(), threshold, int(r))
+        return out
+
+    def wand(self, terms: list[int], threshold: float, run: int) -> list[tuple[int, float]]:
+        """Block-max WAND over the items of one run."""
+        lo, hi = run * self.run, (run + 1) * self.run
+        lists = [[bisect_left(self.lists[t], lo), t, self.lists[t][: bisect_left(self.lists[t], hi)], float(self.bounds[run, t])] for t in terms]  # position, term, items, bound
+        out, slack = [], threshold - 1e-6
         while True:
             lists = [x for x in lists if x[0] < len(x[2])]
             lists.sort(key=lambda x: x[2][x[0]])
             bound, pivot = 0.0, None
             for k, x in enumerate(lists):
-                bound += self.top[x[1]]
+                bound += x[3]
                 if bound >= slack:
                     pivot = k
                     break
@@ -135,23 +149,22 @@ def _hits(index: Index, texts: list[bytes], threshold: float, overlap: float, si
     arr[:] = raw
     codes, uniq = pd.factorize(arr)
     ids = np.fromiter((index.term.get(x.strip(_STRIP), -1) for x in uniq), np.int64, len(uniq))[codes]
-    weight = np.append(index.top, 0.0)[ids]
-    run = np.r_[0.0, np.cumsum(weight)]
     first = np.cumsum(counts) - counts
-    doc_of, lo = [], []
     k = np.maximum(1, -(-(counts - size) // step) + 1) * (counts > 0)
     doc_of = np.repeat(np.arange(len(texts)), k)
     lo = first[doc_of] + step * (np.arange(len(doc_of)) - np.repeat(np.cumsum(k) - k, k))
     hi = np.minimum(lo + size, (first + counts)[doc_of])
-    maybe = np.flatnonzero(run[hi] - run[lo] >= threshold - 1e-9)
+    open_ = np.zeros(len(lo), bool)  # passages that may hold an item of some run
+    for bound in index.bounds:
+        run = np.r_[0.0, np.cumsum(bound[ids], dtype=np.float64)]
+        open_ |= run[hi] - run[lo] >= threshold - 1e-6
+    maybe = np.flatnonzero(open_)
     best: dict[tuple[int, int], tuple] = {}
     for j in maybe:
         terms = np.unique(ids[lo[j] : hi[j]])
         terms = terms[terms >= 0]
-        if index.top[terms].sum() < threshold - 1e-9:
-            continue
         d = int(doc_of[j])
-        found = index.wand(terms.tolist(), threshold)
+        found = index.retrieve(terms, threshold)
         if not found:
             continue
         a, e = max(int(first[d]), int(lo[j]) - index.longest), min(int(first[d] + counts[d]), int(hi[j]) + index.longest)
