@@ -4,7 +4,7 @@ A document is its set of distinct 5-word shingles; two documents link when the s
 more. Equal sets are one class. For the rest:
 
 1. Order tokens by (frequent, hash) and keep of each set of n tokens, which needs an overlap of o = ceil(0.75 n), the
-   first n - o + 3: linked sets share at least 3 of these (all of them where o is smaller). Tokens of one set only drop out.
+   first n - o + 3: linked sets share some of these, by their sizes (_enough). Tokens of one set only drop out.
 2. Leaders: every set is compared with the smallest set on each of its tokens; links give groups of similar sets.
 3. Matrix: token x group, the union of the group members' kept tokens. A set's overlap with a group's union bounds its
    overlap with every member; only groups that reach the bound are opened, and only members of other groups compared.
@@ -100,9 +100,7 @@ def kept_tokens(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             single[one] = True
             keep &= single[doc]
             t, d, h = tokens[order][keep], doc[keep], is_hot[order][keep]
-            salt = np.where(h, (s1[d] % SALTS).astype(np.uint64), np.uint64(0))
-            bucket = (mix(t + salt * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(t.view(np.int64)), pa.array(s1[d]), pa.array(n[d].astype(np.int32)), pa.array(h)], names=["bucket", "token", "s1", "n", "hot"])
+            yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(s1[d]), pa.array(n[d].astype(np.int32)), pa.array(h)], names=["token", "s1", "n", "hot"])
 
     def recurring(batches):
         """Rows come sorted by token, s1; a token's last distinct row waits for the next one."""
@@ -132,14 +130,29 @@ def kept_tokens(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(t[out]), pa.array(s[out]), pa.array(n[out].astype(np.int32))], names=names)
             last = (int(t[-1]), int(s[-1]), int(n[-1]), bool(h[-1]), done)
 
-    rows = keyed(docs).select("text").mapInArrow(emit, "bucket int, token long, s1 long, n int, hot boolean")
-    rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "bucket").drop("bucket").sortWithinPartitions("token", "s1")
+    rows = keyed(docs).select("text").mapInArrow(emit, "token long, s1 long, n int, hot boolean")
+    salt = F.when(F.col("hot"), F.pmod("s1", F.lit(SALTS))).otherwise(0)  # a frequent token's rows are kept anyway, so they may part
+    rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "token", salt).sortWithinPartitions("token", "s1")
     return rows.mapInArrow(recurring, "token long, s1 long, n int")
 
 
-def _enough(q: str, d: str):
-    need = lambda n: F.ceil(F.col(n) * NUM / DEN)
-    return F.least(F.lit(SHARED), need(q), need(d))
+def _enough(q, d):
+    """Kept tokens that linked sets of q and d tokens share at least. Of the two, let x be the one whose kept tokens end
+    first in the order: what it shares with the other beyond kept tokens lies among its o - 3 further tokens, and the
+    whole overlap must reach 75/175 of q + d."""
+    q, d = (F.col(x) if isinstance(x, str) else x for x in (q, d))
+
+    def beyond(n):
+        o = F.ceil(n * NUM / DEN)
+        return o - F.least(F.lit(SHARED), o)
+
+    return F.greatest(F.ceil((q + d) * NUM / (NUM + DEN)) - F.greatest(beyond(q), beyond(d)), F.lit(1))
+
+
+def _enough_for(q: str, low: str, high: str):
+    """The same for any member of a group of sizes low to high: the bound rises and then falls with the member's size."""
+    lo, hi = F.greatest(F.col(low), F.ceil(F.col(q) * NUM / DEN)), F.least(F.col(high), F.floor(F.col(q) * DEN / NUM))
+    return F.greatest(F.least(_enough(q, lo), _enough(q, hi)) - 1, F.lit(1))
 
 
 def _sizes(q: str, d: str):
@@ -176,12 +189,13 @@ def join(docs: DataFrame) -> DataFrame:
     known = rows.groupBy("s1", "n").agg(F.count("*").alias("c")).filter(F.col("c") >= F.least(F.lit(SHARED), F.ceil(F.col("n") * NUM / DEN))).select("s1")
     first = sets.filter("n > 0").groupBy("s1").agg(F.min(F.struct("doc_id", "th")).alias("r")).join(known, "s1", "left_semi").select("s1", "r.*")
     text = keyed(docs)
-    texts = staged(text.join(first, same_key(text, first)).select("s1", "text").dropDuplicates(["s1"]), "op7-texts")
+    texts = staged(text.join(first, same_key(text, first)).select("s1", "text"), "op7-texts")
     rows = rows.join(known, "s1", "left_semi").select("s1", "token", "n")
     # leaders
     lead = rows.groupBy("token").agg(F.min(F.struct(F.col("s1").alias("d"), F.col("n").alias("nd"))).alias("x")).select("token", "x.*")
     pairs = rows.withColumnsRenamed({"s1": "q", "n": "nq"}).join(lead, "token").filter((F.col("q") != F.col("d")) & _sizes("nq", "nd"))
-    pairs = staged(pairs.groupBy("q", "d", "nq", "nd").agg(F.count("*").alias("c")).filter(F.col("c") >= _enough("nq", "nd")).select("q", "d"), "op7-pairs")
+    # a leader's count misses the shared tokens that have another leader, so the full bound waits for the second round
+    pairs = staged(pairs.groupBy("q", "d", "nq", "nd").agg(F.count("*").alias("c")).filter(F.col("c") >= F.least(F.lit(SHARED), F.ceil(F.col("nq") * NUM / DEN), F.ceil(F.col("nd") * NUM / DEN))).select("q", "d"), "op7-pairs")
     links = staged(verify(pairs, texts).select(F.col("q").alias("u"), F.col("d").alias("v")), "op7-links")
     group = components(links, "op7-groups")
     # matrix and bounds
@@ -191,8 +205,8 @@ def join(docs: DataFrame) -> DataFrame:
     q = rows.select("token", F.col("s1").alias("q"), F.col("n").alias("nq"), F.col("g").alias("gq"))
     matrix = rows.groupBy("token", F.col("g").alias("gd")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
     fits = (F.col("gq") != F.col("gd")) & (F.col("high") * DEN >= F.col("nq") * NUM) & (F.col("nq") * DEN >= F.col("low") * NUM)
-    opened = q.join(matrix, "token").filter(fits).groupBy("q", "nq", "gd").agg(F.count("*").alias("c"), F.min("low").alias("low"))
-    opened = opened.filter(F.col("c") >= _enough("nq", "low")).select("q", "gd")
+    opened = q.join(matrix, "token").filter(fits).groupBy("q", "nq", "gd").agg(F.count("*").alias("c"), F.min("low").alias("low"), F.max("high").alias("high"))
+    opened = opened.filter(F.col("c") >= _enough_for("nq", "low", "high")).select("q", "gd")
     d = rows.select("token", F.col("s1").alias("d"), F.col("n").alias("nd"), F.col("g").alias("gd"))
     cross = q.join(opened, "q").join(d, ["token", "gd"]).filter((F.col("q") < F.col("d")) & _sizes("nq", "nd"))
     cross = cross.groupBy("q", "d", "nq", "nd").agg(F.count("*").alias("c")).filter(F.col("c") >= _enough("nq", "nd")).select("q", "d")
