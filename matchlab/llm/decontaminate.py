@@ -78,7 +78,7 @@ class Index:
         self.lists = [i.tolist() for i in self.items]
         self.block = block
         # largest impact of each word (a last row: none) within runs of neighbouring items
-        self.run = max(block, -(-n // 64))
+        self.run = max(4, -(-n // 64))
         self.bounds = np.zeros((max(1, -(-n // self.run)), len(post) + 1), np.float32)
         for t, (i, v) in enumerate(zip(self.items, self.impacts)):
             np.maximum.at(self.bounds[:, t], i // self.run, v.astype(np.float32))
