@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 _own_dir: list[str] = []
 
-#: Bytes of text that a task works on at once.
+#: Bytes of an Arrow batch that Spark hands to a task's Python; of text that it works on at once.
+BATCH_BYTES = 16 << 20
 CHUNK_BYTES = 4_000_000
 
 
@@ -43,7 +44,8 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, text). th tells rows of one doc_id with different texts apart; rows alike in both are alike in every result."""
+    """(doc_id, th, text), in Arrow batches of bounded size whatever the texts' lengths. th tells rows of one doc_id with different texts apart; rows alike in both are alike in every result."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.col("text").cast("string").alias("text"))
 
 
