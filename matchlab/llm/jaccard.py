@@ -34,6 +34,7 @@ NUM, DEN = 75, 100
 SHARED = 3  # tokens that the kept parts of linked sets share
 FREQUENT = 50_000  # tokens ordered last, at most
 SALTS = 64
+LEVELS = 32  # by which a leader's tokens are early
 
 
 def _need(n):
@@ -76,7 +77,7 @@ def sets_of(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
 
 def kept_tokens(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(token, s1, n) for the kept tokens that at least two different sets hold."""
+    """(token, s1, n, pos) for the kept tokens that at least two different sets hold; pos is the token's place in its set's order."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(frequent)  # at most FREQUENT numbers
 
@@ -100,21 +101,21 @@ def kept_tokens(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             single[one] = True
             keep &= single[doc]
             t, d, h = tokens[order][keep], doc[keep], is_hot[order][keep]
-            yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(s1[d]), pa.array(n[d].astype(np.int32)), pa.array(h)], names=["token", "s1", "n", "hot"])
+            yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(s1[d]), pa.array(n[d].astype(np.int32)), pa.array(rank[keep].astype(np.int32)), pa.array(h)], names=["token", "s1", "n", "pos", "hot"])
 
     def recurring(batches):
         """Rows come sorted by token, s1; a token's last distinct row waits for the next one."""
-        last = None  # token, s1, n, hot, already given out
-        names = ["token", "s1", "n"]
+        last = None  # token, s1, n, pos, hot, already given out
+        names = ["token", "s1", "n", "pos"]
         for b in batches:
-            t, s, n, h = (column(b, c).to_numpy(zero_copy_only=False) for c in ("token", "s1", "n", "hot"))
+            t, s, n, at, h = (column(b, c).to_numpy(zero_copy_only=False) for c in ("token", "s1", "n", "pos", "hot"))
             if not len(t):
                 continue
             fresh = np.ones(len(t), bool)
             fresh[1:] = (t[1:] != t[:-1]) | (s[1:] != s[:-1])
             if last:
                 fresh[0] = (t[0], s[0]) != last[:2]
-            t, s, n, h = t[fresh], s[fresh], n[fresh], h[fresh]
+            t, s, n, at, h = t[fresh], s[fresh], n[fresh], at[fresh], h[fresh]
             if not len(t):
                 continue
             out = h.astype(bool)
@@ -124,35 +125,23 @@ def kept_tokens(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             if last:
                 meets = t[0] == last[0]
                 out[0] |= meets
-                if (meets or last[3]) and not last[4]:
-                    yield pa.RecordBatch.from_arrays([pa.array([last[0]]), pa.array([last[1]]), pa.array([last[2]], pa.int32())], names=names)
+                if (meets or last[4]) and not last[5]:
+                    yield pa.RecordBatch.from_arrays([pa.array([last[0]]), pa.array([last[1]]), pa.array([last[2]], pa.int32()), pa.array([last[3]], pa.int32())], names=names)
             done = bool(out[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(t[out]), pa.array(s[out]), pa.array(n[out].astype(np.int32))], names=names)
-            last = (int(t[-1]), int(s[-1]), int(n[-1]), bool(h[-1]), done)
+            yield pa.RecordBatch.from_arrays([pa.array(t[out]), pa.array(s[out]), pa.array(n[out].astype(np.int32)), pa.array(at[out].astype(np.int32))], names=names)
+            last = (int(t[-1]), int(s[-1]), int(n[-1]), int(at[-1]), bool(h[-1]), done)
 
-    rows = keyed(docs).select("text").mapInArrow(emit, "token long, s1 long, n int, hot boolean")
+    rows = keyed(docs).select("text").mapInArrow(emit, "token long, s1 long, n int, pos int, hot boolean")
     salt = F.when(F.col("hot"), F.pmod("s1", F.lit(SALTS))).otherwise(0)  # a frequent token's rows are kept anyway, so they may part
     rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "token", salt).sortWithinPartitions("token", "s1")
-    return rows.mapInArrow(recurring, "token long, s1 long, n int")
+    return rows.mapInArrow(recurring, "token long, s1 long, n int, pos int")
 
 
-def _enough(q, d):
-    """Kept tokens that linked sets of q and d tokens share at least. Of the two, let x be the one whose kept tokens end
-    first in the order: what it shares with the other beyond kept tokens lies among its o - 3 further tokens, and the
-    whole overlap must reach 75/175 of q + d."""
-    q, d = (F.col(x) if isinstance(x, str) else x for x in (q, d))
-
-    def beyond(n):
-        o = F.ceil(n * NUM / DEN)
-        return o - F.least(F.lit(SHARED), o)
-
-    return F.greatest(F.ceil((q + d) * NUM / (NUM + DEN)) - F.greatest(beyond(q), beyond(d)), F.lit(1))
-
-
-def _enough_for(q: str, low: str, high: str):
-    """The same for any member of a group of sizes low to high: the bound rises and then falls with the member's size."""
-    lo, hi = F.greatest(F.col(low), F.ceil(F.col(q) * NUM / DEN)), F.least(F.col(high), F.floor(F.col(q) * DEN / NUM))
-    return F.greatest(F.least(_enough(q, lo), _enough(q, hi)) - 1, F.lit(1))
+def _within(pos: str, n: str, other):
+    """Is a token at `pos` of n among those of which linked sets of n and `other` tokens share SHARED? Of an overlap of o,
+    the k-th shared token has o - k others after it in both sets."""
+    o = F.ceil((F.col(n) + other) * NUM / (NUM + DEN))
+    return F.col(pos) < F.col(n) - o + F.least(F.lit(SHARED), o)
 
 
 def _sizes(q: str, d: str):
@@ -190,26 +179,35 @@ def join(docs: DataFrame) -> DataFrame:
     first = sets.filter("n > 0").groupBy("s1").agg(F.min(F.struct("doc_id", "th")).alias("r")).join(known, "s1", "left_semi").select("s1", "r.*")
     text = keyed(docs)
     texts = staged(text.join(first, same_key(text, first)).select("s1", "text"), "op7-texts")
-    rows = rows.join(known, "s1", "left_semi").select("s1", "token", "n")
-    # leaders
-    lead = rows.groupBy("token").agg(F.min(F.struct(F.col("s1").alias("d"), F.col("n").alias("nd"))).alias("x")).select("token", "x.*")
-    pairs = rows.withColumnsRenamed({"s1": "q", "n": "nq"}).join(lead, "token").filter((F.col("q") != F.col("d")) & _sizes("nq", "nd"))
+    rows = rows.join(known, "s1", "left_semi").select("s1", "token", "n", "pos")
+    # leaders: of the sets of like size on a token, the one that has it earliest, so with the fewest rarer tokens; the
+    # two series of size classes overlap by halves
+    near = rows.filter(_within("pos", "n", F.col("n"))).withColumn("size", F.log("n") / float(np.log(DEN / NUM)))
+    near = near.select("token", "s1", "n", "pos", F.explode(F.array(2 * F.floor("size"), 2 * F.floor(F.col("size") + 0.5) + 1)).alias("size"))
+    early = F.floor(F.col("pos") * LEVELS / F.col("n"))
+    lead = near.groupBy("token", "size").agg(F.min(F.struct(early.alias("e"), F.col("s1").alias("d"), F.col("n").alias("nd"))).alias("x")).select("token", "size", "x.d", "x.nd")
+    pairs = near.withColumnsRenamed({"s1": "q", "n": "nq"}).join(lead, ["token", "size"]).filter((F.col("q") != F.col("d")) & _sizes("nq", "nd"))
     # a leader's count misses the shared tokens that have another leader, so the full bound waits for the second round
-    pairs = staged(pairs.groupBy("q", "d", "nq", "nd").agg(F.count("*").alias("c")).filter(F.col("c") >= F.least(F.lit(SHARED), F.ceil(F.col("nq") * NUM / DEN), F.ceil(F.col("nd") * NUM / DEN))).select("q", "d"), "op7-pairs")
+    pairs = pairs.groupBy(F.least("q", "d").alias("q"), F.greatest("q", "d").alias("d")).agg(F.count_distinct("token").alias("c"), F.min(F.least("nq", "nd")).alias("n"))
+    pairs = staged(pairs.filter(F.col("c") >= F.least(F.lit(SHARED), F.ceil(F.col("n") * NUM / DEN))).select("q", "d"), "op7-pairs")
     links = staged(verify(pairs, texts).select(F.col("q").alias("u"), F.col("d").alias("v")), "op7-links")
     group = components(links, "op7-groups")
     # matrix and bounds
     rows = rows.join(group.withColumnsRenamed({"node": "s1", "component": "g"}), "s1", "left").withColumn("g", F.coalesce("g", "s1"))
     mixed = rows.groupBy("token").agg(F.min("g").alias("a"), F.max("g").alias("b")).filter("a < b").select("token")
     rows = staged(rows.join(mixed, "token", "left_semi"), "op7-matrix")
-    q = rows.select("token", F.col("s1").alias("q"), F.col("n").alias("nq"), F.col("g").alias("gq"))
-    matrix = rows.groupBy("token", F.col("g").alias("gd")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    fits = (F.col("gq") != F.col("gd")) & (F.col("high") * DEN >= F.col("nq") * NUM) & (F.col("nq") * DEN >= F.col("low") * NUM)
-    opened = q.join(matrix, "token").filter(fits).groupBy("q", "nq", "gd").agg(F.count("*").alias("c"), F.min("low").alias("low"), F.max("high").alias("high"))
-    opened = opened.filter(F.col("c") >= _enough_for("nq", "low", "high")).select("q", "gd")
-    d = rows.select("token", F.col("s1").alias("d"), F.col("n").alias("nd"), F.col("g").alias("gd"))
-    cross = q.join(opened, "q").join(d, ["token", "gd"]).filter((F.col("q") < F.col("d")) & _sizes("nq", "nd"))
-    cross = cross.groupBy("q", "d", "nq", "nd").agg(F.count("*").alias("c")).filter(F.col("c") >= _enough("nq", "nd")).select("q", "d")
+    q = rows.select("token", F.col("s1").alias("q"), F.col("n").alias("nq"), F.col("g").alias("gq"), F.col("pos").alias("pq"))
+    matrix = rows.groupBy("token", F.col("g").alias("gd")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("pos").alias("first"))
+    # a member's chance to hold the token early enough is best at the group's ends of size that still fit the query
+    lo, hi = F.greatest(F.col("low"), F.ceil(F.col("nq") * NUM / DEN)), F.least(F.col("high"), F.floor(F.col("nq") * DEN / NUM))
+    o = F.ceil((F.col("nq") + hi) * NUM / (NUM + DEN))
+    fits = (F.col("gq") != F.col("gd")) & (lo <= hi) & _within("pq", "nq", lo) & (F.col("first") <= hi - o + SHARED)
+    opened = q.join(matrix, "token").filter(fits).groupBy("q", "nq", "gd").agg(F.count("*").alias("c"))
+    opened = opened.filter(F.col("c") >= F.least(F.lit(SHARED), F.ceil(F.col("nq") * NUM / DEN))).select("q", "gd")
+    d = rows.select("token", F.col("s1").alias("d"), F.col("n").alias("nd"), F.col("g").alias("gd"), F.col("pos").alias("pd"))
+    both = (F.col("q") < F.col("d")) & _sizes("nq", "nd") & _within("pq", "nq", F.col("nd")) & _within("pd", "nd", F.col("nq"))
+    cross = q.join(opened, "q").join(d, ["token", "gd"]).filter(both)
+    cross = cross.groupBy("q", "d", "nq", "nd").agg(F.count("*").alias("c")).filter(F.col("c") >= F.least(F.lit(SHARED), F.ceil((F.col("nq") + F.col("nd")) * NUM / (NUM + DEN)))).select("q", "d")
     tried = pairs.select(F.least("q", "d").alias("q"), F.greatest("q", "d").alias("d"))
     more = verify(cross.join(tried, ["q", "d"], "left_anti"), texts)
     every = links.unionByName(more.select(F.col("q").alias("u"), F.col("d").alias("v")))
