@@ -4,10 +4,12 @@ A document is its set of distinct 5-word shingles; two documents link when the s
 more. Equal sets are one class. For the rest:
 
 1. Order tokens by (frequent, hash) and keep of each set of n tokens, which needs an overlap of o = ceil(0.75 n), the
-   first n - o + 3: linked sets share some of these, by their sizes (_enough). Tokens of one set only drop out.
-2. Leaders: every set is compared with the smallest set on each of its tokens; links give groups of similar sets.
-3. Matrix: token x group, the union of the group members' kept tokens. A set's overlap with a group's union bounds its
-   overlap with every member; only groups that reach the bound are opened, and only members of other groups compared.
+   first n - o + 3: linked sets share 3 or more of these, and by both sizes only the places that _within allows count.
+   Tokens of one set only drop out.
+2. Leaders: every set is compared with the set of like size that holds one of its tokens earliest; links give groups.
+3. Matrix: token x group, the union of the group members' kept tokens, with the members' sizes and the token's first
+   place. A set's overlap with a group's union bounds its overlap with every member; only groups that reach the bound
+   are opened, and only members of other groups compared.
 4. Links of both rounds give the components.
 
 Comparisons read whole texts and count exactly; sets are told apart by 128-bit hashes, shingles by 64-bit ones. The
