@@ -87,23 +87,20 @@ def _nll(model: Ordinal, h: np.ndarray, counts: np.ndarray, grade: np.ndarray) -
     return float(-np.log(np.maximum(p[at, grade] - p[at, grade + 1], 1e-9)).mean())
 
 
-def fit_penalised(h: np.ndarray, counts: np.ndarray, grade: np.ndarray, penalties: tuple[float, ...] = (1e-3, 3e-3, 1e-2, 3e-2)) -> Ordinal:
-    """Fit with the weight penalty that does best on every fifth document, held out; the penalty rises for as long as that helps."""
+def fit_penalised(h: np.ndarray, counts: np.ndarray, grade: np.ndarray, strengths: tuple[float, ...] = (0.1, 0.25, 0.5, 1.0, 2.0)) -> Ordinal:
+    """Fit with the strength of the penalty on weights' sizes that does best on every fifth document, held out of the first fits."""
     if len(grade) < 50:
         return fit(h, counts, grade)
     held = np.arange(len(grade)) % 5 == 0
     row = np.repeat(held, counts)
-    best, chosen = np.inf, penalties[0]
-    for l2 in penalties:
-        loss = _nll(fit(h[~row], counts[~held], grade[~held], l2=l2), h[row], counts[held], grade[held])
-        if loss >= best:
-            break
-        best, chosen = loss, l2
-    return fit(h, counts, grade, l2=chosen)
+    loss = [_nll(fit(h[~row], counts[~held], grade[~held], l1=x), h[row], counts[held], grade[held]) for x in strengths]
+    return fit(h, counts, grade, l1=strengths[int(np.argmin(loss))])
 
 
-def fit(h: np.ndarray, counts: np.ndarray, grade: np.ndarray, min_docs: int = 4, rounds: int = 250, rate: float = 0.05, l2: float = 1e-3, l1: float = 0.2) -> Ordinal:
-    """Adam on the mean negative log likelihood. Thresholds are a first one and positive gaps, so they stay ordered."""
+def fit(h: np.ndarray, counts: np.ndarray, grade: np.ndarray, min_docs: int = 4, rounds: int = 250, rate: float = 0.05, l2: float = 1e-3, l1: float = 1.0) -> Ordinal:
+    """Adam on the mean negative log likelihood, with penalties on the weights' squares and sizes. The penalty on sizes is
+    in proportion to the chance spread of a weight's gradient, so a feature that varies with the grade no more than
+    chance would have it stays at exactly 0, be it frequent or rare. Thresholds are a first one and positive gaps, so they stay ordered."""
     if not len(grade):
         return Ordinal()
     doc = np.repeat(np.arange(len(counts)), counts)
@@ -115,6 +112,8 @@ def fit(h: np.ndarray, counts: np.ndarray, grade: np.ndarray, min_docs: int = 4,
     w, th = np.zeros(len(hashes)), np.array([-1.0, 0.0])  # first threshold, log of the gap
     state = [np.zeros(len(w)), np.zeros(len(w)), np.zeros(2), np.zeros(2)]
     n = len(grade)
+    df = np.bincount(code, minlength=len(w)) / n
+    size = 0.5 * l1 * np.sqrt(df * (1 - df) / n)
     for step in range(1, rounds + 1):
         s = np.bincount(doc, weights=w[code], minlength=n)
         t = np.array([th[0], th[0] + np.exp(th[1])])
@@ -132,7 +131,8 @@ def fit(h: np.ndarray, counts: np.ndarray, grade: np.ndarray, min_docs: int = 4,
             v *= 0.999
             v += 0.001 * g * g
             x -= r * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-        w = np.sign(w) * np.maximum(np.abs(w) - r * l1, 0.0)  # a step against the sum of sizes leaves weights at exactly 0
+        scale = r / (np.sqrt(state[1] / (1 - 0.999**step)) + 1e-8)  # of this step's move, by weight
+        w = np.sign(w) * np.maximum(np.abs(w) - scale * size, 0.0)
     return Ordinal(hashes, w.astype(np.float32), np.array([th[0], th[0] + np.exp(th[1])]))
 
 
