@@ -97,10 +97,11 @@ def fit_penalised(h: np.ndarray, counts: np.ndarray, grade: np.ndarray, strength
     return fit(h, counts, grade, l1=strengths[int(np.argmin(loss))])
 
 
-def fit(h: np.ndarray, counts: np.ndarray, grade: np.ndarray, min_docs: int = 4, rounds: int = 250, rate: float = 0.05, l2: float = 1e-3, l1: float = 1.0) -> Ordinal:
+def fit(h: np.ndarray, counts: np.ndarray, grade: np.ndarray, min_docs: int = 4, rounds: int = 250, rate: float = 0.05, l2: float = 1e-3, l1: float = 1.0, check: int = 25) -> Ordinal:
     """Adam on the mean negative log likelihood, with penalties on the weights' squares and sizes. The penalty on sizes is
     in proportion to the chance spread of a weight's gradient, so a feature that varies with the grade no more than
-    chance would have it stays at exactly 0, be it frequent or rare. Thresholds are a first one and positive gaps, so they stay ordered."""
+    chance would have it stays at exactly 0, be it frequent or rare. Every `check` rounds the gradients of all
+    features say which weights may leave 0; the rounds between move only those. Thresholds are a first one and positive gaps, so they stay ordered."""
     if not len(grade):
         return Ordinal()
     doc = np.repeat(np.arange(len(counts)), counts)
@@ -114,8 +115,9 @@ def fit(h: np.ndarray, counts: np.ndarray, grade: np.ndarray, min_docs: int = 4,
     n = len(grade)
     df = np.bincount(code, minlength=len(w)) / n
     size = 0.5 * l1 * np.sqrt(df * (1 - df) / n)
+    live, own, at = np.zeros(len(w), bool), code[:0], doc[:0]
     for step in range(1, rounds + 1):
-        s = np.bincount(doc, weights=w[code], minlength=n)
+        s = np.bincount(at, weights=w[live][own], minlength=n)  # all other weights are 0
         t = np.array([th[0], th[0] + np.exp(th[1])])
         lo = np.where(grade > 0, _sigmoid(t[np.maximum(grade - 1, 0)] - s), 0.0)
         hi = np.where(grade < GRADES - 1, _sigmoid(t[np.minimum(grade, GRADES - 2)] - s), 1.0)
@@ -123,16 +125,22 @@ def fit(h: np.ndarray, counts: np.ndarray, grade: np.ndarray, min_docs: int = 4,
         dhi, dlo = hi * (1 - hi) / p, lo * (1 - lo) / p
         ds = (dhi - dlo) / n  # the loss grows with the score where the upper bound falls
         dt = np.array([(-(dhi * (grade == k)) + dlo * (grade == k + 1)).sum() / n for k in range(GRADES - 1)])
-        gw, gt = np.bincount(code, weights=ds[doc], minlength=len(w)) + l2 * w, np.array([dt.sum(), dt[1] * np.exp(th[1])])
+        if step % check == 1:
+            live = (w != 0) | (np.abs(np.bincount(code, weights=ds[doc], minlength=len(w))) > size)
+            in_use = live[code]
+            own, at = (np.cumsum(live) - 1)[code[in_use]], doc[in_use]
+        wl, ml, vl = w[live], state[0][live], state[1][live]
+        gw, gt = np.bincount(own, weights=ds[at], minlength=len(wl)) + l2 * wl, np.array([dt.sum(), dt[1] * np.exp(th[1])])
         r = rate * (1 - step / (rounds + 1))
-        for x, g, m, v in ((w, gw, state[0], state[1]), (th, gt, state[2], state[3])):
+        for x, g, m, v in ((wl, gw, ml, vl), (th, gt, state[2], state[3])):
             m *= 0.9
             m += 0.1 * g
             v *= 0.999
             v += 0.001 * g * g
             x -= r * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-        scale = r / (np.sqrt(state[1] / (1 - 0.999**step)) + 1e-8)  # of this step's move, by weight
-        w = np.sign(w) * np.maximum(np.abs(w) - scale * size, 0.0)
+        scale = r / (np.sqrt(vl / (1 - 0.999**step)) + 1e-8)  # of this step's move, by weight
+        w[live] = np.sign(wl) * np.maximum(np.abs(wl) - scale * size[live], 0.0)
+        state[0][live], state[1][live] = ml, vl
     return Ordinal(hashes, w.astype(np.float32), np.array([th[0], th[0] + np.exp(th[1])]))
 
 
