@@ -187,6 +187,22 @@ def test_lm_gradient_and_base(docs, empty):
     assert len(rows) == len(ROWS) and lm.score(empty, TOKENIZER).count() == 0
 
 
+def test_lm_trains_on_every_training_text(spark):
+    words = ["zebra", "quartz", "violin", "harbor", "walnut", "pepper"]
+    rows = [(i, _text(30)) for i in range(320)] + [(i, (_text(6000) + " " + " ".join(words) + " ") * 2) for i in range(320, 323) if not lm.held_out(i)]
+    assert len(rows[-1][1]) > 20_000
+    encoded, classes, _ = lm.prepare(spark.createDataFrame(rows, "doc_id long, text string"), TOKENIZER, 50256)
+    vocab = lm.encoder(TOKENIZER).tok.get_vocab_size()
+    model = lm.train(encoded, classes, 50256, vocab)
+    moved = (model.p["E"] != lm.Attention(vocab, classes.number).p["E"]).any(1)
+    mean = model.p["E"].mean(0)
+    held = "".join(" " + t for d, t in rows if not lm.held_out(d)).encode()
+    ids = np.unique(lm.encoder(TOKENIZER).encode([held])[0])
+    assert moved[ids].all()
+    unseen = np.setdiff1d(np.arange(vocab), np.append(ids, 50256))
+    assert np.ptp(model.p["E"][unseen], axis=0).max() == 0 and np.abs(model.p["E"][ids] - mean).max() > 0
+
+
 def test_rules(docs, empty):
     got = {r["doc_id"]: r for r in rules.apply_policy(rules.ledger(docs), "clean-1").collect()}
     assert got[1]["kept"] and not got[4]["kept"] and got[4]["n_words"] == 0
