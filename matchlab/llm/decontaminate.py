@@ -2,8 +2,9 @@
 
 Index: postings of every item word with impacts, cut into blocks with their largest impact. An impact is the word's BM25
 part divided by the item's score against itself, so one threshold serves all items. Query: overlapping passages cover
-every text; a passage whose distinct words' largest impacts sum below the threshold can hold no item, all others run
-block-max WAND and retrieve every item at or above it. Verification: the item's question and answer are each compared
+every text. Items stand in classes by their number of words, each class twice as long as the one before; its passages
+have twice the words of its longest possible item and move by half of that, so one passage holds an item whole. A passage whose distinct words' largest impacts sum below the threshold can hold no item, all others run block-max WAND and
+retrieve every item at or above it. Verification: the item's question and answer are each compared
 by the share of their 3-word shingles that the passage and its surroundings hold.
 
 The index must fit in memory: items are taken in blocks of at most `block_items`, whose size is checked, and every
@@ -52,16 +53,32 @@ def shingles(w: list[bytes], size: int = 3) -> set:
     return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)} if w else set()
 
 
+def statistics(texts) -> tuple[int, float, dict]:
+    tokens = [w for w in (words(t.encode()) for t in texts) if w]
+    return len(tokens), sum(map(len, tokens)) / max(1, len(tokens)), Counter(x for w in tokens for x in set(w))
+
+
+def length_classes(items: list[tuple[int | None, str]], size: int) -> list[tuple[int, list]]:
+    """(words of a passage, items): those of at most half a passage's words, passages of `size` words or a power of two times that."""
+    out: dict[int, list] = {}
+    for item in items:
+        n, k = len(item[1].encode().split()), size
+        while 2 * n > k:
+            k *= 2
+        out.setdefault(k, []).append(item)
+    return sorted(out.items())
+
+
 class Index:
     """Postings by word: item numbers, impacts, and blocks' last item and largest impact."""
 
-    def __init__(self, items: list[tuple[int | None, str]], block: int = 16):
+    def __init__(self, items: list[tuple[int | None, str]], block: int = 16, stats: tuple[int, float, dict] | None = None):
+        """stats: number of items, mean words of one, items that hold each word, of all items; these alone if not given."""
         tokens = [words(t.encode()) for _, t in items]
         kept = [i for i, w in enumerate(tokens) if w]
         self.ids = [items[i][0] for i in kept]
         tokens = [tokens[i] for i in kept]
-        n, mean = len(tokens), sum(map(len, tokens)) / max(1, len(tokens))
-        df = Counter(x for w in tokens for x in set(w))
+        n, mean, df = stats or statistics(t for _, t in items)
         post: dict[bytes, list[tuple[int, float]]] = {}
         for i, w in enumerate(tokens):
             tf = Counter(w)
@@ -78,13 +95,14 @@ class Index:
         self.lists = [i.tolist() for i in self.items]
         self.block = block
         # largest impact of each word (a last row: none) within runs of neighbouring items
-        self.run = max(4, -(-n // 64))
-        self.bounds = np.zeros((max(1, -(-n // self.run)), len(post) + 1), np.float32)
+        own = len(tokens)
+        self.run = max(4, -(-own // 64))
+        self.bounds = np.zeros((max(1, -(-own // self.run)), len(post) + 1), np.float32)
         for t, (i, v) in enumerate(zip(self.items, self.impacts)):
             np.maximum.at(self.bounds[:, t], i // self.run, v.astype(np.float32))
         qa = [question_answer(items[i][1]) for i in kept]
         self.parts = [tuple(shingles(words(x.encode())) for x in p) for p in qa]
-        self.longest = max(map(len, tokens), default=0)
+        self.longest = max((len(items[i][1].encode().split()) for i in kept), default=0)
 
     def retrieve(self, terms: np.ndarray, threshold: float) -> list[tuple[int, float]]:
         """Every item whose impacts over the distinct `terms` sum to at least the threshold: WAND in each run of items
@@ -135,23 +153,30 @@ class Index:
                     x[0] = bisect_left(x[2], item, x[0])
 
 
-def _hits(index: Index, texts: list[bytes], threshold: float, overlap: float, size: int, step: int):
-    """(text number, item number, score, question overlap, answer overlap), the best passage of each pair."""
+def _hits(indexes: list[tuple[int, Index]], texts: list[bytes], threshold: float, overlap: float):
+    """(text number, item id, score, question overlap, answer overlap), the best passage of each pair; indexes: words of
+    a passage and the items to find in such."""
     raw: list[bytes] = []
     counts = np.empty(len(texts), np.int64)
     for i, t in enumerate(texts):
         w = t.lower().split()
         counts[i] = len(w)
         raw += w
-    if not raw or not index.ids:
+    if not raw:
         return
     arr = np.empty(len(raw), object)
     arr[:] = raw
     codes, uniq = pd.factorize(arr)
+    for size, index in indexes:
+        if index.ids:
+            yield from _class_hits(index, raw, counts, codes, uniq, threshold, overlap, size, max(1, size // 2))
+
+
+def _class_hits(index: Index, raw: list[bytes], counts: np.ndarray, codes: np.ndarray, uniq: np.ndarray, threshold: float, overlap: float, size: int, step: int):
     ids = np.fromiter((index.term.get(x.strip(_STRIP), -1) for x in uniq), np.int64, len(uniq))[codes]
     first = np.cumsum(counts) - counts
     k = np.maximum(1, -(-(counts - size) // step) + 1) * (counts > 0)
-    doc_of = np.repeat(np.arange(len(texts)), k)
+    doc_of = np.repeat(np.arange(len(counts)), k)
     lo = first[doc_of] + step * (np.arange(len(doc_of)) - np.repeat(np.cumsum(k) - k, k))
     hi = np.minimum(lo + size, (first + counts)[doc_of])
     open_ = np.zeros(len(lo), bool)  # passages that may hold an item of some run
@@ -175,11 +200,12 @@ def _hits(index: Index, texts: list[bytes], threshold: float, overlap: float, si
             if q >= overlap and r >= overlap:
                 best[d, item] = max(best.get((d, item), (0.0, 0.0, 0.0)), (score, q, r))
     for (d, item), v in best.items():
-        yield d, item, *v
+        yield d, index.ids[item], *v
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, overlap: float = 0.5, size: int = 128, step: int = 64, block_items: int = 20_000, block_bytes: int = 64 << 20) -> DataFrame:
-    """doc_id, th, item_id, score, question_overlap, answer_overlap: every verified pair."""
+def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, overlap: float = 0.5, size: int = 128, block_items: int = 20_000, block_bytes: int = 64 << 20) -> DataFrame:
+    """doc_id, th, item_id, score, question_overlap, answer_overlap: every verified pair; size: words of a passage for
+    the shortest class of items."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).dropna(subset=["text"]).distinct()
     spark, schema = docs.sparkSession, "doc_id long, th long, item_id long, score double, question_overlap double, answer_overlap double"
     names = [x.split()[0] for x in schema.split(", ")]
@@ -188,13 +214,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5,
     out = None
     for k in range(blocks):
         mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
-        shared = spark.sparkContext.broadcast(Index(sorted(((r["item_id"], r["text"]) for r in mine), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))))
+        rows = sorted(((r["item_id"], r["text"]) for r in mine), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+        stats = statistics(t for _, t in rows)
+        shared = spark.sparkContext.broadcast([(n, Index(x, stats=stats)) for n, x in length_classes(rows, size)])
 
         def run(batches, shared=shared):
-            index = shared.value
             for b, texts in text_chunks(batches):
                 doc, th = column(b, "doc_id").to_pylist(), column(b, "th").to_pylist()
-                rows = [(doc[d], th[d], index.ids[i], s, q, r) for d, i, s, q, r in _hits(index, texts, threshold, overlap, size, step)]
+                rows = [(doc[d], th[d], i, s, q, r) for d, i, s, q, r in _hits(shared.value, texts, threshold, overlap)]
                 if rows:
                     kinds = [pa.int64()] * 3 + [pa.float64()] * 3
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)

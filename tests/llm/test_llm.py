@@ -225,6 +225,16 @@ def test_decontamination(spark, docs, empty):
         assert {i for i, _ in index.retrieve(terms, 0.6)} == set(np.flatnonzero(score >= 0.6 - 1e-6).tolist())
 
 
+def test_decontamination_long_items(spark):
+    r = np.random.default_rng(7)
+    text = lambda n: " ".join(r.choice(WORDS, n))
+    items = [(1, text(400)), (2, text(1500)), (3, text(20)), (4, text(65)), (5, text(129)), (6, text(400))]
+    edited = " ".join(w if i % 12 else "changed" for i, w in enumerate(items[5][1].split()))
+    rows = [(10 + i, text(97 + 50 * i) + " " + t + " " + text(110)) for i, t in items[:5]] + [(16, text(333) + " " + edited + " " + text(90)), (17, text(2000))]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert {(x["doc_id"], x["item_id"]) for x in decontaminate.contaminated(docs, bench).collect()} == {(10 + i, i) for i, _ in items}
+
+
 def test_quality(spark, docs, empty):
     rows = [(i, _text(60) + (" rude" if i % 3 == 0 else "") + (" ### $$$" * 20 if i % 3 == 1 else "")) for i in range(690)]
     rated = spark.createDataFrame([(i, int(i % 3 != 1), int(i % 3 == 0)) for i in range(600)] + [(None, 1, 0), (5, None, 0)], "doc_id long, quality int, toxic int")
