@@ -8,7 +8,8 @@ retrieve every item at or above it. Verification: the item's question and answer
 by the share of their 3-word shingles that the passage and its surroundings hold.
 
 The index must fit in memory: items are taken in blocks of at most `block_items`, whose size is checked, and every
-passage is held against every block.
+passage is held against every block. Numbers of items and words and the items that hold each word are counted over all
+items, so the blocks change no result.
 
 Edge cases: null or empty texts hold nothing and match nothing; an item without words is left out; items with fewer
 than 3 words compare whole; repeated rows of a document or item are reported once per (doc_id, item_id); a null id is
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, keyed, text_chunks
+from .common import column, keyed, staged, text_chunks
 
 _STRIP = b".,;:!?\"'()[]"
 K1, B = 1.2, 0.75
@@ -203,6 +204,26 @@ def _class_hits(index: Index, raw: list[bytes], counts: np.ndarray, codes: np.nd
         yield d, index.ids[item], *v
 
 
+def _counted(items: DataFrame) -> DataFrame:
+    """(block, word, c, n): in each block of items, the items that hold each word; c items of n words at the null word."""
+
+    def run(batches):
+        for b, texts in text_chunks(batches):
+            of, found, items, total = column(b, "block").to_pylist(), Counter(), Counter(), Counter()
+            for k, t in zip(of, texts):
+                w = words(t)
+                if w:
+                    found.update((k, x) for x in set(w))
+                    items[k] += 1
+                    total[k] += len(w)
+            rows = [(k, x, c, 0) for (k, x), c in found.items()] + [(k, None, c, total[k]) for k, c in items.items()]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary(), pa.int64(), pa.int64()))], names=["block", "word", "c", "n"])
+
+    rows = items.select("block", "text").mapInArrow(run, "block long, word binary, c long, n long")
+    return staged(rows.groupBy("block", "word").agg(F.sum("c").alias("c"), F.sum("n").alias("n")), "op9-counts")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, overlap: float = 0.5, size: int = 128, block_items: int = 20_000, block_bytes: int = 64 << 20) -> DataFrame:
     """doc_id, th, item_id, score, question_overlap, answer_overlap: every verified pair; size: words of a passage for
     the shortest class of items."""
@@ -211,11 +232,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5,
     names = [x.split()[0] for x in schema.split(", ")]
     size_of = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()
     blocks = max(1, -(-size_of["n"] // block_items), -(-size_of["b"] // block_bytes))
+    items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+    counted = _counted(items)
+    total = counted.filter("word is null").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("c"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    held = counted.filter("word is not null").groupBy("word").agg(F.sum("c").alias("c"))
     out = None
     for k in range(blocks):
-        mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
+        mine = items.filter(F.col("block") == k).collect()
         rows = sorted(((r["item_id"], r["text"]) for r in mine), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
-        stats = statistics(t for _, t in rows)
+        df = held.join(counted.filter(F.col("block") == k).select("word"), "word", "left_semi").collect()  # the block's words
+        stats = (total["c"], total["n"] / max(1, total["c"]), {bytes(r["word"]): r["c"] for r in df})
         shared = spark.sparkContext.broadcast([(n, Index(x, stats=stats)) for n, x in length_classes(rows, size)])
 
         def run(batches, shared=shared):

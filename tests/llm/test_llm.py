@@ -235,6 +235,15 @@ def test_decontamination_long_items(spark):
     assert {(x["doc_id"], x["item_id"]) for x in decontaminate.contaminated(docs, bench).collect()} == {(10 + i, i) for i, _ in items}
 
 
+def test_decontamination_blocks_change_nothing(spark):
+    r = np.random.default_rng(8)
+    items = [(i, " ".join(r.choice(WORDS[: 20 + 10 * (i % 30)], 12 + i % 40))) for i in range(60)]
+    rows = [(i, " ".join(r.choice(WORDS, 40)) + " " + " ".join(t.split()[: 3 * len(t.split()) // 5]) + " " + t[-30:]) for i, t in items]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    one, four = ({(x["doc_id"], x["item_id"], round(x["score"], 9)) for x in decontaminate.contaminated(docs, bench, block_items=n).collect()} for n in (20_000, 15))
+    assert len(one) > 20 and one == four
+
+
 def test_quality(spark, docs, empty):
     rows = [(i, _text(60) + (" rude" if i % 3 == 0 else "") + (" ### $$$" * 20 if i % 3 == 1 else "")) for i in range(690)]
     rated = spark.createDataFrame([(i, int(i % 3 != 1), int(i % 3 == 0)) for i in range(600)] + [(None, 1, 0), (5, None, 0)], "doc_id long, quality int, toxic int")
