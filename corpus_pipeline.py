@@ -30,10 +30,16 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one of smallest doc_id; documents without a word link with none."""
-    groups = jaccard.join(docs).filter("doc_id is null or doc_id = component_id").select(F.col("doc_id").alias("key"), "th").distinct()
+    """Of each group of linked documents one row: that of smallest doc_id, then of smallest text hash, then of smallest
+    other columns; a null doc_id only where the group has no other. Documents without a word link with none: one row of
+    each doc_id and text stays, and every row of a null doc_id."""
+    alone = F.col("n_shingles") == 0
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", alone.alias("alone"))).alias("k")
+    groups = jaccard.grouped(docs).groupBy("group", F.when(alone, F.col("doc_id")).alias("a"), F.when(alone, F.col("th")).alias("b")).agg(first)
+    groups = groups.select(F.col("k.doc_id").alias("key"), "k.th", (F.col("k.none") & F.col("k.alone")).alias("_each"))
     rows = _with_key(docs)
-    return rows.join(groups, _same(rows, groups), "left_semi").drop("_th")
+    rows = rows.join(groups, _same(rows, groups)).select(rows["*"], groups["_each"]).withColumn("_each", F.when(F.col("_each"), F.monotonically_increasing_id()))
+    return rows.groupBy("doc_id", "_th", "_each").agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -174,6 +174,12 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame) -> DataFrame:
     """(doc_id, th, n_shingles, component_id) of every document."""
+    return grouped(docs).drop("group")
+
+
+def grouped(docs: DataFrame) -> DataFrame:
+    """As join, with the component's own number as group (null for an empty set): components of which rows repeat a
+    doc_id may share a component_id."""
     sets, frequent = sets_of(docs)
     rows = staged(kept_tokens(docs, frequent), "op7-tokens")
     # a set with too few recurring tokens links with no other
@@ -216,6 +222,6 @@ def join(docs: DataFrame) -> DataFrame:
     final = components(every, "op7-components").withColumnsRenamed({"node": "s1", "component": "g"})
     classes = sets.filter("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("first")).join(final, "s1", "left").withColumn("g", F.coalesce("g", "s1"))
     smallest = classes.groupBy("g").agg(F.min("first").alias("component_id"))
-    named = classes.join(smallest, "g").select("s1", "s2", "component_id")
+    named = classes.join(smallest, "g").select("s1", "s2", "component_id", F.col("g").alias("group"))
     out = sets.join(named, ["s1", "s2"], "left")
-    return out.select("doc_id", "th", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return out.select("doc_id", "th", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.when(F.col("n") > 0, F.col("group")).alias("group"))

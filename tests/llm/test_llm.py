@@ -88,6 +88,42 @@ def test_jaccard(docs, empty):
     assert jaccard.join(empty).count() == 0
 
 
+def _one_of_each_group(rows):
+    """Brute force: doc_id and text of the rows that stay."""
+    sets = [{tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set() for w in ((t or "").lower().split() for _, t in rows)]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                group = [group[j] if g == group[i] else g for g in group]
+    best, alone = {}, set()
+    for i, (d, t) in enumerate(rows):
+        if sets[i]:
+            best.setdefault(group[i], []).append(d)
+        else:
+            alone.add((i if d is None else -1, d, t))
+    return sorted([min((d for d in ids if d is not None), default=None) for ids in best.values()] + [d for _, d, _ in alone], key=repr)
+
+
+COPIES = [(1, BASE), (1, BASE), (1, PASSAGE), (1, PASSAGE), (None, BASE), (None, BASE), (2, BASE), (None, BASE + " tail"), (None, _text(80)), (None, ROWS[8][1]), (None, ROWS[8][1]), (9, None), (9, None), (9, ""), (None, ""), (None, ""), (7, ROWS[7][1])]
+
+
+def test_pipeline_keeps_one_of_each_group(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    rows = spark.createDataFrame([(i, t, "clash", 0) for i, t in COPIES], SCHEMA).repartition(3).cache()
+    out = corpus_pipeline.drop_near_duplicates(spark, rows, "")
+    assert out.columns == rows.columns
+    assert sorted((r["doc_id"] for r in out.collect()), key=repr) == _one_of_each_group(COPIES)
+    assert corpus_pipeline.drop_near_duplicates(spark, rows.limit(0), "").count() == 0
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[1:])  # without the classifier, which has no labels here
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    want = Counter(d for d in _one_of_each_group(COPIES))
+    assert Counter(r["doc_id"] for r in pieces if r["offset"] is not None) - want == Counter() and {r["doc_id"] for r in pieces} == set(want)
+
+
 def test_token_shards(docs, empty):
     from tokenizers import Tokenizer
 
