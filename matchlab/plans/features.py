@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.elo import elo_ratings
+from ..operators.elo import elo_ratings, elo_ratings_bounded
 from ..operators.history import completed_sets, history_features
 from ..operators.quality import assert_valid, feature_rules
 from ..sources.schemas import FEATURES
@@ -15,7 +15,7 @@ from ..sources.tables import load_tables, write_table
 def build_features(tables: dict[str, DataFrame], pool: str | None = None) -> DataFrame:
     """27 ordered columns, one row per decided set, nothing in them from the set itself or later but its outcome."""
     done = completed_sets(tables["sets"], tables["events"], tables["tournaments"])
-    rated = elo_ratings(done, pool).select("set_id", "p1_elo", "p2_elo", (F.col("p1_elo") - F.col("p2_elo")).alias("elo_diff"), "p1_expected")
+    rated = (elo_ratings(done, pool) if pool else elo_ratings_bounded(done)).select("set_id", "p1_elo", "p2_elo", (F.col("p1_elo") - F.col("p2_elo")).alias("elo_diff"), "p1_expected")
     rows = history_features(done).join(rated, "set_id")
     return rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in FEATURES.fields))
 

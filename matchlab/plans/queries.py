@@ -236,7 +236,7 @@ def history_features(spark, d, t):
 
 @_query(_sql("select set_id, round(p1_elo, 6) as p1_elo, round(p2_elo, 6) as p2_elo, round(p1_elo - p2_elo, 6) as elo_diff, round(p1_expected, 6) as p1_expected from elo", _ELO))
 def c3_elo_ratings(spark, d, t):
-    r = elo.elo_ratings(_done(t))
+    r = elo.elo_ratings_bounded(_done(t))
     return r.select("set_id", "p1_elo", "p2_elo", (F.col("p1_elo") - F.col("p2_elo")).alias("elo_diff"), "p1_expected")
 
 

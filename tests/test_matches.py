@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from matchlab.operators import elo, evaluation, ingest, quality
+from matchlab.plans import features
 from matchlab.plans.queries import ORACLE_SQL, QUERIES
 from matchlab.sources import schemas, tables
 
@@ -64,6 +65,23 @@ def test_elo_modes_agree_and_continue(spark):
     assert (later.p1_elo == want.p1_elo[120:]).all()
 
 
+def test_elo_of_queries_bounds_each_task(spark, monkeypatch):
+    pdf = _league()
+    want = elo.fold(pdf, {}, {}).set_index("set_id")
+    got = elo.elo_ratings_bounded(spark.createDataFrame(pdf), most=30).toPandas().set_index("set_id").sort_index()
+    assert (got.p1_elo == want.p1_elo).all() and (got.p2_post == want.p2_post).all() and len(got) == len(want)
+    whole = elo.elo_ratings
+
+    def pooled(sets, pool=None, state=None):
+        assert pool
+        return whole(sets, pool, state)
+
+    for module in (elo, features):
+        monkeypatch.setattr(module, "elo_ratings", pooled)
+    for name in ("c3_elo_ratings", "c11_features"):
+        assert QUERIES[name](spark, SF).count() == 469
+
+
 def test_upsert_keeps_first_and_takes_last(spark):
     old = spark.createDataFrame([(1, 10, "a", 1), (2, 10, "b", 1)], "id long, event_id long, tag string, v int")
     new = spark.createDataFrame([(1, 99, "c", 0), (3, 30, "d", 5)], "id long, event_id long, tag string, v int")
