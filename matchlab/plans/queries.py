@@ -552,9 +552,8 @@ def _cut(df: DataFrame) -> int:
 
 @_query()
 def e12_compare_models(spark, d, t):
-    """The three models; few trees, as each costs a job per level."""
     f = tables.staged(_features(t), "features")
-    return modeling.run_all(f, _cut(f), trees=8)[0]
+    return modeling.run_all(f, _cut(f))[0]
 
 
 @_query()
@@ -565,14 +564,15 @@ def e15_walk_forward_cv(spark, d, t):
 @_query()
 def e16_tune(spark, d, t):
     f = tables.staged(_features(t), "features")
-    return modeling.tune(evaluation.active_rows(f), 2, modeling.SPACE | {"maxIter": (3, 5, False), "maxDepth": (3, 4, False)})
+    train, _ = evaluation.temporal_split(evaluation.active_rows(f), _cut(f))
+    return modeling.tune(train)
 
 
 @_query()
 def e17_explain(spark, d, t):
     f = tables.staged(_features(t), "features")
     train, test = evaluation.temporal_split(evaluation.active_rows(f), _cut(f))
-    return explain.explain(modeling.train_boosted(train, trees=5, depth=4), test, ["set_id"])
+    return explain.explain(modeling.train_boosted(train), test, ["set_id"])
 
 
 @_query()

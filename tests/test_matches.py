@@ -113,5 +113,28 @@ def test_raw_nodes_and_rejects(spark, tmp_path):
     assert out["_rejects"].count() == 1
 
 
+def test_models_are_registered_whole(spark, monkeypatch):
+    from matchlab.operators import explain, modeling
+
+    seen = {}
+
+    def note(name):
+        def f(*args, **more):
+            seen[name] = args, more
+            return (args[0].limit(0), {}) if name == "run_all" else args[0].limit(0)
+
+        return f
+
+    for name in ("run_all", "tune", "train_boosted"):
+        monkeypatch.setattr(modeling, name, note(name))
+    monkeypatch.setattr(explain, "explain", lambda model, rows, keys: rows.limit(0))
+    for name in ("e12_compare_models", "e16_tune", "e17_explain"):
+        QUERIES[name](spark, SF)
+    assert len(seen["run_all"][0]) == 2 and not seen["run_all"][1]
+    for name in ("tune", "train_boosted"):
+        assert len(seen[name][0]) == 1 and not seen[name][1]
+    assert seen["tune"][0][0].agg({"completed_at": "max"}).first()[0] < seen["run_all"][0][1]
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
