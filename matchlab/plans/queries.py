@@ -115,6 +115,15 @@ def a8_upsert(spark, d, t):
     return tables.upsert(first.limit(0), both, ["user_id", "event_type"], ["ts", "event_id"], ["props"]).drop("ts")
 
 
+@_query("""select user_id, event_type, max_by(event_id, (event_id % 3 <> 0, ts, event_id)) as event_id, round(max_by(value, (event_id % 3 <> 0, ts, event_id)), 6) as value, min_by(props, (event_id % 3 <> 0, ts, event_id)) as props from events group by all""")
+def a8_upsert_onto(spark, d, t):
+    """The later batch onto the stored rows of the earlier: any batch row wins, props keep the stored value."""
+    e = spark.read.parquet(f"{d}/events.parquet").select("user_id", "event_type", "event_id", "ts", "value", "props")
+    keys, version = ["user_id", "event_type"], ["ts", "event_id"]
+    first = tables.upsert(None, e.filter("event_id % 3 = 0"), keys, version, ["props"])
+    return tables.upsert(first, e.filter("event_id % 3 <> 0"), keys, version, ["props"]).drop("ts")
+
+
 @_query(_sql("select 'sets' as table_name, count(*) as n from m_sets union all select 'tournaments', count(*) from m_tournaments union all select 'events', count(*) from m_events union all select 'players', count(*) from m_players union all select 'games', count(*) from m_games"))
 def a9_table_stats(spark, d, t):
     return tables.table_stats({k: t[k] for k in ("sets", "tournaments", "events", "players", "games")})
