@@ -1,34 +1,47 @@
-"""Token ids of whole texts by a tokenizer file, with each distinct piece of text encoded once per worker."""
+"""Token ids of whole texts by a tokenizer file, with each often-used piece of text encoded once per worker."""
 
 from __future__ import annotations
 
 import os
 import re
 import zlib
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 
-_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
-_STOP = re.compile(rf"(?<=[{_LETTER}])[.,]+(?=[ \n]|$)")
-_TWO = re.compile(r"\s\s|\x00")
+_TWO = re.compile(r"\s\s")
+_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
+#: A piece stands for a space and itself, unless it begins with the start of a text or of a line.
+TEXT_START, LINE_START = "\1", "\n\1"
+_STOPS = (".", ",")
+_STOP_PIECES = tuple(TEXT_START + x for x in _STOPS)
+_LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz" + "".join(map(chr, [*range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)])))
 
-#: Distinct pieces that a worker remembers.
+#: Distinct pieces that a worker remembers, and pieces given to the library at once.
 CACHE = 600_000
+JOINED = 100
 
 
 class Encoder:
-    """Byte-level BPE never merges across its own pre-token borders. A text is cut only at borders that hold for
-    certain (before a single space, around a single line feed, between a letter and a full stop or comma at a word's
-    end); the pieces are encoded by the tokenizers library and their ids joined. Texts with neighbouring white space
-    are encoded whole."""
+    """The ids of `Tokenizer.encode(text, add_special_tokens=False)`.
+
+    Byte-level BPE never merges across its own pre-token borders. A text is cut only at borders that hold for certain:
+    before a single space, around a single line feed, and between a letter and a full stop or comma that ends a piece.
+    Each distinct piece is encoded by the tokenizers library, many new ones in one text where each starts with a space
+    or line feed, and the ids are dealt back by the bytes that each id stands for. Texts with neighbouring white space or with an added token's string are encoded whole."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        vocab = self.tok.get_vocab()
+        self.bytes_of = np.zeros(max(vocab.values()) + 1, np.int64)
+        for token, i in vocab.items():
+            self.bytes_of[i] = len(token)  # byte-level: a character for each byte
+        self.marks = ["\0", "\1", *(t.content for t in self.tok.get_added_tokens_decoder().values())]
+        self.unsure = [*self.marks, *(x + y for x in " \n" for y in " \n"), *(c for c in _SPACES if c not in " \n")]
         self._reset()
 
     def _reset(self) -> None:
@@ -38,7 +51,7 @@ class Encoder:
         self.hits = np.empty(0, np.int32)
 
     def _trim(self) -> None:
-        """Forget the pieces that came up in one lookup only."""
+        """Forget the pieces that came up in one call only."""
         keep = np.flatnonzero(self.hits > 1)
         if len(keep) > CACHE // 2:
             return self._reset()
@@ -46,55 +59,92 @@ class Encoder:
         new[keep] = np.arange(len(keep))
         self.known = {p: j for p, i in self.known.items() if (j := int(new[i])) >= 0}
         lens = np.diff(self.start)[keep]
-        at = np.repeat(self.start[keep] - (np.cumsum(lens) - lens), lens) + np.arange(int(lens.sum()))
+        at = _slices(self.start[keep], lens)
         self.flat, self.start, self.hits = self.flat[at], np.r_[0, np.cumsum(lens)], self.hits[keep]
 
-    def _look(self, pieces) -> np.ndarray:
+    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each)."""
+        ids = [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate(ids) if ids else np.empty(0, np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As _library, of pieces that may follow each other."""
+        ids, _ = self._library(["".join(pieces[i : i + JOINED]) for i in range(0, len(pieces), JOINED)])
+        if not pieces:
+            return ids, np.empty(0, np.int64)
+        ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum([len(p.encode()) for p in pieces])) + 1
+        return ids, np.diff(np.r_[0, ends])
+
+    def _learn(self, pieces: list[str]) -> None:
+        follow, alone = [], []  # pieces that start with a space or line feed and go on without white space; others
+        for p in pieces:
+            t = "\n" + p[2:] if p[:2] == LINE_START else p[1:] if p[:1] == TEXT_START else " " + p
+            bare = t.strip()
+            (follow if bare and t[1:] == bare and t[0] in " \n" else alone).append((p, t))
+        for group, (ids, lens) in ((follow, self._joined([t for _, t in follow])), (alone, self._library([t for _, t in alone]))):
+            n = len(self.known)
+            self.known.update(zip((p for p, _ in group), range(n, n + len(group))))
+            self.flat = np.concatenate([self.flat, ids])
+            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lens)])
+            self.hits = np.concatenate([self.hits, np.zeros(len(group), np.int32)])
+
+    def _look(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of each piece's two parts among the known ones (second part -1: none); new ones are encoded."""
         known = self.known
-        fresh = [p for p in pieces if p not in known]
-        if fresh:
+        first = np.fromiter(map(known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        second = np.full(len(pieces), -1)
+        at = np.flatnonzero(first < 0).tolist()
+        if at:
+            stems, tails = [], []
+            for i in at:
+                p = pieces[i]
+                cut = p[-1:] in _STOPS and p[-2:-1] in _LETTERS
+                stems.append(p[:-1] if cut else p)
+                tails.append(TEXT_START + p[-1] if cut else "")
+            fresh = [x for x in dict.fromkeys([*_STOP_PIECES, *stems]) if x not in known]
             if len(known) + len(fresh) > CACHE and known:
                 self._trim()
-                known = self.known
-                fresh = [p for p in pieces if p not in known]
-            new, lens = [], []
-            for i in range(0, len(fresh), 20_000):
-                for p, e in zip(fresh[i : i + 20_000], self.tok.encode_batch_fast(fresh[i : i + 20_000], add_special_tokens=False)):
-                    known[p] = len(known)
-                    ids = e.ids
-                    new += ids
-                    lens.append(len(ids))
-            self.flat = np.concatenate([self.flat, np.array(new, np.uint32)])
-            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lens)])
-            self.hits = np.concatenate([self.hits, np.zeros(len(fresh), np.int32)])
-        at = np.fromiter((known[p] for p in pieces), np.int64, len(pieces))
-        self.hits[at] += 1
-        return at
+                return self._look(pieces)
+            self._learn(fresh)
+            first[at] = np.fromiter(map(known.__getitem__, stems), np.int64, len(at))
+            second[at] = np.fromiter((known[x] if x else -1 for x in tails), np.int64, len(at))
+        self.hits[first] += 1
+        self.hits[second[second >= 0]] += 1
+        return first, second
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
         pieces: list[str] = []
-        number = np.empty(len(texts), np.int64)
+        number = np.zeros(len(texts), np.int64)
+        whole: list[int] = []
         for i, t in enumerate(texts):
             s = t.decode("utf-8")
-            if _TWO.search(s):
-                p = [s]
-            else:
-                p = [x for x in _STOP.sub("\0\\g<0>", s).replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if x]
-            number[i] = len(p)
-            pieces += p
-        if not pieces:
-            return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
-        arr = np.empty(len(pieces), object)
-        arr[:] = pieces
-        codes, uniq = pd.factorize(arr)
-        at = self._look(list(uniq))[codes]
-        lens = self.start[at + 1] - self.start[at]
-        total = int(lens.sum())
-        first = np.cumsum(lens) - lens
-        ids = self.flat[np.arange(total) - np.repeat(first - self.start[at], lens)]
-        ends = np.r_[0, np.cumsum(lens)][np.r_[0, np.cumsum(number)]]
-        return ids, np.diff(ends)
+            if any(map(s.__contains__, self.unsure)) and (any(map(s.__contains__, self.marks)) or _TWO.search(s)):
+                whole.append(i)
+            elif s:
+                p = (TEXT_START + s).replace("\n", " " + LINE_START).split(" ")
+                number[i] = len(p)
+                pieces += p
+        codes, uniq = pd.factorize(np.array(pieces, object)) if pieces else (np.empty(0, np.int64), [])
+        first, second = self._look(list(uniq))
+        # the ids of the distinct pieces, one after another
+        size = np.diff(self.start)
+        la, lb = size[first], np.where(second < 0, 0, size[second])
+        table = self.flat[_slices(np.ravel(np.c_[self.start[first], self.start[second]]), np.ravel(np.c_[la, lb]))]
+        size = la + lb
+        lens = size[codes]
+        ids = table[_slices((np.cumsum(size) - size)[codes], lens)]
+        each = np.diff(np.r_[0, np.cumsum(lens)][np.r_[0, np.cumsum(number)]])
+        if not whole:
+            return ids, each
+        ids_w, lens_w = self._library([texts[i].decode("utf-8") for i in whole])
+        at = np.repeat((np.cumsum(each) - each)[whole], lens_w)
+        each[whole] = lens_w
+        return np.insert(ids, at, ids_w), each
+
+
+def _slices(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    return np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths - starts, lengths)
 
 
 _encoders: dict[str, Encoder] = {}
