@@ -94,15 +94,17 @@ def kept_tokens(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 at = np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)
                 is_hot = hot[at] == tokens
             doc = np.repeat(np.arange(len(n)), n)
-            order = np.lexsort((tokens, is_hot, doc))
-            rank = np.arange(len(tokens)) - first[doc]
+            # place by (frequent, hash): tokens come by hash, so those of a kind keep their order
+            cold = np.r_[0, np.cumsum(~is_hot)]
+            before = cold[:-1] - cold[first][doc]
+            rank = np.where(is_hot, cold[first + n][doc] - cold[first][doc] + np.arange(len(tokens)) - first[doc] - before, before)
             o = _need(n)
             keep = rank < np.minimum(n, n - o + np.minimum(SHARED, o))[doc]
             _, one = np.unique(s1, return_index=True)  # copies within the chunk
             single = np.zeros(len(n), bool)
             single[one] = True
             keep &= single[doc]
-            t, d, h = tokens[order][keep], doc[keep], is_hot[order][keep]
+            t, d, h = tokens[keep], doc[keep], is_hot[keep]
             yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(s1[d]), pa.array(n[d].astype(np.int32)), pa.array(rank[keep].astype(np.int32)), pa.array(h)], names=["token", "s1", "n", "pos", "hot"])
 
     def recurring(batches):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_words, keyed, text_chunks, word_codes
+from .common import hash_words, keyed, slices, sort_within, text_chunks, word_codes
 from .rules import _measure
 
 GRADES = 3
@@ -46,10 +46,12 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     h = hash_words([w.strip(_OUTER) or w for w in uniq])
     marks = _shape(_measure(texts))
     n_marks = np.fromiter(map(len, marks), np.int64, len(marks))
-    all_h = np.concatenate([h[codes] if len(codes) else np.empty(0, np.uint64), hash_words([x for d in marks for x in d])])
-    doc = np.concatenate([np.repeat(np.arange(len(texts)), counts), np.repeat(np.arange(len(texts)), n_marks)])
-    order = np.lexsort((all_h, doc))
-    all_h, doc = all_h[order], doc[order]
+    total = counts + n_marks
+    doc, first = np.repeat(np.arange(len(texts)), total), np.cumsum(total) - total
+    all_h = np.empty(len(doc), np.uint64)
+    all_h[slices(first, counts)] = h[codes] if len(codes) else 0
+    all_h[slices(first + counts, n_marks)] = hash_words([x for d in marks for x in d])
+    all_h = sort_within(all_h, total)
     keep = np.ones(len(doc), bool)
     keep[1:] = (all_h[1:] != all_h[:-1]) | (doc[1:] != doc[:-1])
     return all_h[keep], np.bincount(doc[keep], minlength=len(texts))

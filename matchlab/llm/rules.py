@@ -61,16 +61,18 @@ def _measure(texts: list[bytes]) -> dict[str, np.ndarray]:
     out["n_lines"], out["n_dup_lines"] = lines, dup
     # 3-word windows: equal hashes within a document mark their words
     k = np.maximum(counts - 2, 0)
-    at, wdoc = slices(first, k), np.repeat(np.arange(n), k)
+    at = slices(first, k)
     repeat = np.zeros(len(codes), bool)
     if len(at):
         s, inv = rolling(hash_words(uniq)[codes])
         g = mix((s[at + 3] - s[at]) * inv[at])
-        order = np.lexsort((g, wdoc))
-        same = (g[order][1:] == g[order][:-1]) & (wdoc[order][1:] == wdoc[order][:-1])
         twice = np.zeros(len(at), bool)
-        twice[order[1:][same]] = True
-        twice[order[:-1][same]] = True
+        ends = np.cumsum(k)
+        for a, e in zip((ends - k).tolist(), ends.tolist()):
+            own = np.sort(g[a:e])
+            same = own[1:] == own[:-1]
+            if same.any():
+                twice[a:e] = np.isin(g[a:e], own[1:][same])
         for j in range(3):
             repeat[at[twice] + j] = True
     out["n_repeat_words"] = total(repeat) if len(codes) else np.zeros(n, np.int64)
