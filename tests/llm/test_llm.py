@@ -193,21 +193,47 @@ def test_pii(docs, empty):
     assert hit >= 0.8 * len(held)
 
 
-def test_lm_gradient_and_base(docs, empty):
+def _plain_chance(m, classes, ids, end_id):
+    """Log probability of each id of one text, place by place, without batches."""
+    out, soft = [], lambda z: z - np.log(np.exp(z - z.max()).sum()) - z.max()
+    seq = [end_id, *ids[:-1]]
+    for i, target in enumerate(ids):
+        own = i // lm.HALF * lm.HALF  # where the id's half window starts
+        seen = range(max(0, own - lm.HALF), i + 1)
+        x = np.array([m.p["E"][seq[j]] + m.p["P"][j - own + lm.HALF] for j in seen], float)
+        w = np.exp(soft(x @ m.p["K"] @ (x[-1] @ m.p["Q"]) / np.sqrt(m.dim)))
+        u = np.maximum((x[-1] + w @ (x @ m.p["V"])) @ m.p["A"] + m.p["a"], 0)
+        group, k = divmod(int(classes.of[target]), m.width)
+        out.append(soft(u @ m.p["B"] + m.p["b"])[group] + soft(u @ m.p["C"][group] + m.p["c"][group])[k] + classes.log_within[target])
+    return np.array(out)
+
+
+def test_lm_gradient_and_base(docs, empty, monkeypatch):
     model = lm.Attention(20, 6, dim=4, hidden=5)
-    model.p["B"] = R.normal(0, 0.3, model.p["B"].shape).astype(np.float32)
+    for k in "BbCc":
+        model.p[k] = R.normal(0, 0.3, model.p[k].shape).astype(np.float32)
     ids = R.integers(0, 20, (3, lm.CONTEXT))
     pad, target = np.zeros(ids.shape, bool), R.integers(0, 6, (3, lm.HALF))
+    target[1, 5] = -1
     _, g, _ = model.loss(ids, pad, target)
-    for k in ("Q", "V", "A"):
-        model.p[k][1, 2] += 1e-2
+    for k, at in (("Q", (1, 2)), ("V", (1, 2)), ("A", (1, 2)), ("B", (1, 1)), ("C", (1, 2, 1)), ("c", (0, 1)), ("P", (20, 1))):
+        model.p[k][at] += 1e-2
         up = model.loss(ids, pad, target)[0]
-        model.p[k][1, 2] -= 2e-2
+        model.p[k][at] -= 2e-2
         down = model.loss(ids, pad, target)[0]
-        model.p[k][1, 2] += 1e-2
-        assert abs((up - down) / 2e-2 - g[k][1, 2]) < 2e-3
-    z, _ = model.forward(ids, pad)
-    assert np.allclose(np.take_along_axis(z, target[..., None], -1)[..., 0], model.chances(ids, pad, target), atol=1e-4)
+        model.p[k][at] += 1e-2
+        assert abs((up - down) / 2e-2 - g[k][at]) < 2e-3
+    classes = lm.Classes(R.integers(0, 50, 20).astype(float), np.arange(20) % 2 == 0, 19, single=2, pools=2)
+    model = lm.Attention(20, classes.number, dim=4, hidden=5, size=classes.size)
+    for k in "BCQKVP":
+        model.p[k] = R.normal(0, 0.5, model.p[k].shape).astype(np.float32)
+    counts = np.array([1, 15, 16, 17, 70])
+    flat = R.integers(0, 20, counts.sum())
+    want = np.concatenate([_plain_chance(model, classes, t.tolist(), 19) for t in np.split(flat, np.cumsum(counts)[:-1])])
+    for batch in (2, 1024):
+        assert np.allclose(lm.log_prob(model, classes, flat, counts, 19, batch=batch), want, atol=1e-4)
+    models, fit = [], lm.train
+    monkeypatch.setattr(lm, "train", lambda *a, **k: models.append((fit(*a, **k), a[1])) or models[-1][0])
     rows = lm.score(docs, TOKENIZER).collect()
     train = Counter()
     for d, t in ROWS:
@@ -216,27 +242,43 @@ def test_lm_gradient_and_base(docs, empty):
             train["\n"] += 1
     n, v = sum(train.values()), len(train)
     texts = dict(ROWS)
+    log = lambda x: np.log10((train[x] + 0.5) / (n + 0.5 * (v + 1)))
+    enc = lm.encoder(TOKENIZER)
     for r in rows:
         toks = [*(texts[r["doc_id"]] or "").lower().split(), "\n"]
         assert r["train_tokens"] == n and r["n_tokens"] == len(toks)
-        assert abs(r["base_score"] - sum(np.log10((train[x] + 0.5) / (n + 0.5 * (v + 1))) for x in toks)) < 1e-6 * len(toks)
+        assert abs(r["base_score"] - sum(map(log, toks))) < 1e-6 * len(toks)
+        if len(toks) < 200:
+            parts = [*(enc.encode([b" " + x.encode()])[0].tolist() for x in toks[:-1]), [50256]]
+            each = _plain_chance(*models[0], [i for p in parts for i in p], 50256)
+            ends = np.cumsum([len(p) for p in parts])
+            word = [10 ** log(x) / 2 + np.exp(each[e - len(p) : e].sum()) / 2 for x, e, p in zip(toks, ends, parts)]
+            assert abs(r["score"] - np.log10(word).sum()) < 1e-3 * len(toks)
     assert len(rows) == len(ROWS) and lm.score(empty, TOKENIZER).count() == 0
 
 
-def test_lm_trains_on_every_training_text(spark):
-    words = ["zebra", "quartz", "violin", "harbor", "walnut", "pepper"]
-    rows = [(i, _text(30)) for i in range(320)] + [(i, (_text(6000) + " " + " ".join(words) + " ") * 2) for i in range(320, 323) if not lm.held_out(i)]
+def test_lm_windows_of_a_share_cover_every_text():
+    counts = np.array([1, 40, 16, 500, 3])
+    ids, taken = R.integers(0, 9, counts.sum()), []
+    for offset in range(4):
+        x, pad, target = lm.windows(ids, counts, 9, 4, offset)
+        taken.append(target[target >= 0])
+        assert len(x) == len(range(offset, int((-(-counts // lm.HALF)).sum()), 4))
+    assert sorted(np.concatenate(taken).tolist()) == list(range(counts.sum()))
+
+
+def test_lm_trains_on_texts_of_any_length(spark):
+    rows = [(i, _text(30)) for i in range(320)] + [(i, _text(12_000)) for i in range(320, 330) if not lm.held_out(i)]
     assert len(rows[-1][1]) > 20_000
     encoded, classes, _ = lm.prepare(spark.createDataFrame(rows, "doc_id long, text string"), TOKENIZER, 50256)
     vocab = lm.encoder(TOKENIZER).tok.get_vocab_size()
-    model = lm.train(encoded, classes, 50256, vocab)
-    moved = (model.p["E"] != lm.Attention(vocab, classes.number).p["E"]).any(1)
-    mean = model.p["E"].mean(0)
-    held = "".join(" " + t for d, t in rows if not lm.held_out(d)).encode()
-    ids = np.unique(lm.encoder(TOKENIZER).encode([held])[0])
-    assert moved[ids].all()
-    unseen = np.setdiff1d(np.arange(vocab), np.append(ids, 50256))
-    assert np.ptp(model.p["E"][unseen], axis=0).max() == 0 and np.abs(model.p["E"][ids] - mean).max() > 0
+    start = lm.Attention(vocab, classes.number)
+    ids = np.unique(lm.encoder(TOKENIZER).encode(["".join(" " + t for d, t in rows if not lm.held_out(d)).encode()])[0])
+    for share, least in ((1, 1.0), (16, 0.9)):
+        model = lm.train(encoded, classes, 50256, vocab, share=share)
+        assert (model.p["E"] != start.p["E"]).any(1)[ids].mean() >= least
+        unseen = np.setdiff1d(np.arange(vocab), np.append(ids, 50256))
+        assert np.ptp(model.p["E"][unseen], axis=0).max() == 0
 
 
 def test_rules(docs, empty):
