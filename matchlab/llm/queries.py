@@ -37,9 +37,9 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = rules.apply_policy(rules.ledger(_read(spark, sf_dir, "documents")), "clean-1")
+    rows = rules.with_ablation(rules.ledger(_read(spark, sf_dir, "documents")), "clean-1")
     base = F.col("failed").bitwiseAND(F.lit(rules.POLICIES["base-1"])) != 0
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept")
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept", "sole_rule", "sole_rule_docs")
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,11 +102,14 @@ m as (select w.doc_id, cast(len(ws) as bigint) as n_words, cast(length(array_to_
         cast(coalesce(per.n, 0) as bigint) as n_repeat_words,
         len(list_filter(ws, lambda x: trim(x, '#*$%&|<>') = '')) as lone
       from w left join per using (doc_id)),
-f as (select *, cast(len(ls) - len(list_distinct(ls)) as bigint) as n_dup_lines, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m)
-select doc_id, n_words, coalesce(word_chars, 0) as word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  not (base_failed or 100 * n_symbols > 10 * word_chars or word_chars < 2 * n_words or word_chars > 20 * n_words
-       or (len(ls) >= 4 and 100 * n_dup_lines > 50 * len(ls)) or 100 * lone > 20 * n_words) as kept
-from f""",
+f as (select *, cast(len(ls) - len(list_distinct(ls)) as bigint) as n_dup_lines, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m),
+g as (select *, list_filter([case when n_words < 50 then 'few_words' end, case when 100 * n_repeat_words > 50 * n_words then 'repeated_words' end,
+    case when 100 * n_symbols > 10 * coalesce(word_chars, 0) then 'many_symbols' end, case when coalesce(word_chars, 0) < 2 * n_words then 'short_words' end,
+    case when coalesce(word_chars, 0) > 20 * n_words then 'long_words' end, case when len(ls) >= 4 and 100 * n_dup_lines > 50 * len(ls) then 'repeated_lines' end,
+    case when 100 * lone > 20 * n_words then 'lone_symbols' end], lambda x: x is not null) as bad from f)
+select doc_id, n_words, coalesce(word_chars, 0) as word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, len(bad) = 0 as kept,
+  case when len(bad) = 1 then bad[1] end as sole_rule, case when len(bad) = 1 then count(*) over (partition by len(bad) = 1, bad[1]) end as sole_rule_docs
+from g""",
     "op7_jaccard_join": r"""
 with recursive w as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents),
 s as (select distinct doc_id, array_to_string(ws[i:i+4], ' ') as k from (select doc_id, ws, unnest(generate_series(1, greatest(1, len(ws) - 4))) as i from w where len(ws) > 0)),

@@ -1,8 +1,8 @@
 """Quality rules as a bitmask ledger.
 
-Every rule is evaluated once per document; the ledger keeps its failure bits and the measurements. Policies are
-versioned sets of bits applied to the stored mask, so that trying another policy reads no text. Ablations count, for
-each rule, what it alone rejects, by bitwise aggregation.
+Every rule is evaluated once per document; the ledger, written to the shared folder, keeps its failure bits and the
+measurements. Policies are versioned sets of bits applied to the stored mask, so that trying another policy or counting
+an ablation reads no text. Ablations count, for each rule, what it alone rejects, by bitwise aggregation.
 
 Edge cases: a null or empty text has no words and fails `few_words`; rows that repeat a doc_id are judged each; an
 empty table gives an empty ledger; other columns are ignored. Texts are read whole, in chunks of bounded size.
@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_words, keyed, mix, rolling, slices, text_chunks, word_codes
+from .common import hash_words, keyed, mix, rolling, slices, staged, text_chunks, word_codes
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_lone_symbols"]
 _SYMBOLS = b"#*$%&|<>"
@@ -32,10 +32,10 @@ RULES = [
 ]
 BIT = {name: 1 << bit for name, bit, _ in RULES}
 
-#: Versioned policies: which bits reject.
+#: Versioned policies: which bits reject. An issued policy names its rules, so a new rule changes none.
 POLICIES = {
     "base-1": BIT["few_words"] | BIT["repeated_words"],
-    "clean-1": sum(BIT.values()),
+    "clean-1": BIT["few_words"] | BIT["repeated_words"] | BIT["many_symbols"] | BIT["short_words"] | BIT["long_words"] | BIT["repeated_lines"] | BIT["lone_symbols"],
 }
 
 
@@ -80,7 +80,7 @@ def _measure(texts: list[bytes]) -> dict[str, np.ndarray]:
 
 
 def ledger(docs: DataFrame) -> DataFrame:
-    """doc_id, the measurements, and `failed`: one bit per rule."""
+    """doc_id, the measurements, and `failed`: one bit per rule. Stored, so texts are read once however often it is used."""
 
     def run(batches):
         for b, texts in text_chunks(batches):
@@ -91,7 +91,7 @@ def ledger(docs: DataFrame) -> DataFrame:
     mask = F.lit(0).cast("long")
     for name, bit, cond in RULES:
         mask = mask.bitwiseOR(F.when(F.expr(cond), F.lit(1 << bit)).otherwise(F.lit(0)).cast("long"))
-    return rows.withColumn("failed", mask)
+    return staged(rows.withColumn("failed", mask), "op6-ledger")
 
 
 def apply_policy(rows: DataFrame, policy: str) -> DataFrame:
@@ -99,6 +99,16 @@ def apply_policy(rows: DataFrame, policy: str) -> DataFrame:
     return rows.withColumn("kept", F.col("failed").bitwiseAND(F.lit(POLICIES[policy])) == 0)
 
 
+def with_ablation(rows: DataFrame, policy: str) -> DataFrame:
+    """Adds kept, and where one rule of the policy alone rejects a document, that rule as sole_rule and the number of
+    such documents as sole_rule_docs (null elsewhere)."""
+    bits, counts = POLICIES[policy], {r["rule"]: r["only"] for r in ablation(rows, policy).collect()}  # a row for each rule
+    hit, rule, docs = F.col("failed").bitwiseAND(F.lit(bits)), F.lit(None).cast("string"), F.lit(None).cast("long")
+    for name, n in counts.items():
+        rule, docs = F.when(hit == BIT[name], F.lit(name)).otherwise(rule), F.when(hit == BIT[name], F.lit(n)).otherwise(docs)
+    return apply_policy(rows, policy).withColumns({"sole_rule": rule, "sole_rule_docs": docs})
+
+
 def ablation(rows: DataFrame, policy: str) -> DataFrame:
     """For each rule of the policy: documents that fail it, and documents that only it rejects (kept without it)."""
     bits = POLICIES[policy]
