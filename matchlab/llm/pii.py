@@ -1,10 +1,13 @@
 """Personal data: fixed patterns and a character-level bidirectional LSTM with CRF transitions.
 
-The patterns give base spans. The model is trained in numpy on windows around the base spans of a bounded sample of
-documents (labelled spans; also spelled in further ways, with lookalikes as negatives), and reads overlapping windows
-around every character that each of the four kinds must hold (a digit or @): a window without one can't hold a span.
-Windows are decoded by Viterbi, a character takes the tag of the window in which it stands most central, and equal
-neighbours join over the whole text. Model spans that touch no base span and have their kind's form are added.
+The patterns give base spans. The model is trained in numpy on `sample_windows` windows of the documents: half
+of them hold a base span and half none, those of smallest hash among the distinct windows of all documents, beside
+made-up lines in spellings that the patterns can't read (domestic phone numbers, addresses with a bracketed "at" or
+spaces, cards and network addresses with other separators) and lookalikes without a label (dates, codes, book numbers,
+amounts). It reads overlapping windows around every digit, @ and bracketed "at"; a span of the four kinds holds one of
+these, but for addresses spelled out in bare words, which stay unread. Windows are decoded by Viterbi, a character takes
+the tag of the window in which it stands most central, and equal neighbours join over the whole text. Model spans that
+touch no base span and have their kind's wider form are added.
 
 Edge cases: a null or empty text has no spans; rows that repeat a doc_id are read each; texts of any length are read
 whole; an empty table gives no rows; without labelled spans the model is trained on the made-up spellings alone; other
@@ -18,10 +21,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, keyed, text_chunks
+from .common import column, keyed, staged, text_chunks
 
 KINDS = ["email", "ip", "card", "phone"]
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -29,7 +33,15 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9][0-9.]*")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_TRIGGER = re.compile(r"[0-9@]")
+_DIGITS = frozenset("0123456789")
+_AT = r"(?:\s?@\s?|\s?[\[({]\s?(?:at|AT)\s?[\])}]\s?)"
+_DOT = r"(?:\s?\.\s?|\s?[\[({]\s?(?:dot|DOT)\s?[\])}]\s?)"
+_TRIGGER = re.compile(r"[0-9@]|[\[({]\s?(?:at|AT)\s?[\])}]")
+#: Forms of the model's spans, wider than the patterns.
+_WIDE = [
+    re.compile(rf"[A-Za-z0-9._%+-]+{_AT}[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+"), re.compile(rf"[0-9]{{1,3}}(?:{_DOT}[0-9]{{1,3}}){{3}}"),
+    re.compile(r"[0-9](?:[ ./-]{0,2}[0-9])+"), re.compile(r"\+?\(?[0-9](?:[ ()./-]{0,2}[0-9])+"),
+]
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -78,14 +90,14 @@ def luhn(digits: str) -> bool:
 def base_spans(s: str) -> list[Span]:
     """(start, kind, end) of every base span, by start, then kind."""
     out = _emails(s)
-    if _TRIGGER.search(s):
+    if not _DIGITS.isdisjoint(s):
         out += _ips(s)
         for m in _CARD.finditer(s):
             d = m.group().replace(" ", "").replace("-", "")
             if 14 <= len(d) <= 19 and luhn(d):
                 out.append((m.start(), 2, m.end()))
         for m in _PHONE.finditer(s):
-            if 10 <= sum(c.isdigit() for c in m.group()) <= 15:
+            if 10 <= sum(c in _DIGITS for c in m.group()) <= 15:
                 out.append((m.start(), 3, m.end()))
     return sorted(out)
 
@@ -98,7 +110,7 @@ def joined(spans: list[Span]) -> str:
 
 WINDOW, STRIDE = 64, 32
 TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
-_ALPHABET = "0123456789@.+-_() /:=\"'#,|\n"
+_ALPHABET = "0123456789@.+-_() /:=\"'#,|\n[]{}"
 _CODE = {c: i + 4 for i, c in enumerate(_ALPHABET)}
 SYMBOLS = len(_ALPHABET) + 4  # 0 padding, 1 lower, 2 upper, 3 other
 
@@ -220,7 +232,7 @@ class Tagger:
         np.add.at(g["E"], x.T, de)
         return float((z - gold).mean()), {q: v / b for q, v in g.items()}
 
-    def fit(self, x, y, epochs: int = 14, batch: int = 64, rate: float = 0.02, seed: int = 7) -> float:
+    def fit(self, x, y, epochs: int = 12, batch: int = 48, rate: float = 0.025, seed: int = 7) -> float:
         """Adam over shuffled batches; returns the last epoch's mean loss."""
         r, m, v, step, mean = np.random.default_rng(seed), {}, {}, 0, 0.0
         for k in range(epochs):
@@ -256,58 +268,99 @@ def _windows(s: str, starts: list[int]) -> np.ndarray:
     return x
 
 
-def made_up(n: int = 240, seed: int = 11) -> list[tuple[str, list[Span]]]:
-    """Labelled lines in spellings beside the base patterns', and lookalikes without a label."""
+def _card(r) -> str:
+    d = "".join(map(str, r.integers(0, 10, 15)))
+    return next(d + c for c in "0123456789" if luhn(d + c))
+
+
+def made_up(n: int = 800, seed: int = 11) -> list[tuple[str, list[Span]]]:
+    """Labelled lines in spellings within and beyond the base patterns, and lookalikes without a label, in equal parts."""
     r, out = np.random.default_rng(seed), []
     num = lambda k: "".join(map(str, r.integers(0, 10, k)))
     word = lambda: "".join(r.choice(list("abcdefghijklmnoprstuvw"), r.integers(2, 9)))
+    pick = lambda *x: x[r.integers(len(x))]
+    ip = lambda dot: dot.join(str(x) for x in r.integers(0, 256, 4))
+    makers = [
+        (0, lambda: f"{word()}@{word()}.example.com"), (0, lambda: f"{word()}{pick(' (at) ', ' [at] ', '(at)', ' @ ', ' {at} ')}{word()}{pick(' (dot) ', '.', ' [dot] ', ' . ')}{pick('org', 'com', 'net')}"),
+        (1, lambda: ip(".")), (1, lambda: ip(pick("[.]", " . ", " [dot] ").replace("[.]", " . "))),
+        (2, lambda: _card(r)), (2, lambda: pick(".", "/", " - ").join(re.findall("....", _card(r)))),
+        (3, lambda: f"+{r.integers(1, 99)} ({num(3)}) 555-{num(4)}"), (3, lambda: f"({num(3)}) 555-{num(4)}"), (3, lambda: pick("-", ".").join([str(r.integers(2, 10)) + num(2), num(3), num(4)])),
+        (None, lambda: f'token = "{"".join(r.choice(list("0123456789abcdef"), 40))}"'), (None, lambda: num(int(r.integers(1, 11)))), (None, lambda: f"{num(1)}.{num(2)}.{num(1)}"),
+        (None, lambda: pick("{}-{:02d}-{:02d}", "{}/{:02d}/{:02d}", "{}{:02d}{:02d}").format(r.integers(1990, 2030), r.integers(1, 13), r.integers(1, 29))), (None, lambda: f"978-{num(1)}-{num(2)}-{num(6)}-{num(1)}"),
+        (None, lambda: f"{num(3)},{num(3)},{num(3)}.{num(2)}"), (None, lambda: f"{r.integers(0, 24):02d}:{num(2)}:{num(2)}"), (None, lambda: f"{word().upper()}-{num(4)}-{num(3)}"), (None, lambda: f"({pick('at', 'AT', num(2))}) {word()}"),
+        (None, lambda: f"{num(4)}-{num(4)}"), (None, lambda: " ".join(num(int(r.integers(1, 5))) for _ in range(r.integers(2, 5)))),
+    ]
     for i in range(n):
-        before, after = " ".join(word() for _ in range(r.integers(1, 7))) + " ", " " + " ".join(word() for _ in range(r.integers(1, 7)))
-        kind = i % 8
-        text = {
-            0: f"{word()}@{word()}.example.com", 1: ".".join(str(x) for x in r.integers(0, 256, 4)), 2: num(16), 3: f"+{r.integers(1, 99)} ({num(3)}) 555-{num(4)}",
-            4: f"({num(3)}) 555-{num(4)}", 5: f'token = "{"".join(r.choice(list("0123456789abcdef"), 40))}"', 6: num(int(r.integers(1, 7))), 7: f"{num(1)}.{num(2)}.{num(1)}",
-        }[kind]
-        k = {0: 0, 1: 1, 2: 2, 3: 3, 4: 3}.get(kind)
+        before, after = " ".join(word() for _ in range(r.integers(1, 7))) + " ", pick(" ", ", ", ". ") + " ".join(word() for _ in range(r.integers(1, 7)))
+        k, make = makers[i % len(makers)]
+        text = make()
         out.append((before + text + after, [] if k is None else [(len(before), k, len(before) + len(text))]))
     return out
 
 
-def training_windows(texts: list[str], most: int = 1500) -> tuple[np.ndarray, np.ndarray]:
-    xs, ys = [], []
-    for s, spans in [*made_up(), *((t, base_spans(t)) for t in texts)]:
-        starts, y = window_starts(s), tags(len(s), spans)
-        for a, row in zip(starts, _windows(s, starts)):
-            if len(xs) >= most:
-                break
-            t = np.zeros(WINDOW, np.int64)
-            own = y[a : a + WINDOW]
-            t[: len(own)] = own
-            if t[0] and t[0] % 2 == 0:  # a span that began before the window
-                t[0] -= 1
-            xs.append(row)
-            ys.append(t)
-    return np.array(xs), np.array(ys)
-
-
-def train(docs: DataFrame, sample_docs: int = 400, seed: int = 7) -> Tagger:
-    """Fit on at most `sample_docs` documents that hold a digit or @ (those of smallest hash) and the made-up lines."""
-    rows = keyed(docs).filter(F.col("text").rlike("[0-9@]") & (F.length("text") <= 20_000)).orderBy(F.xxhash64("th"), "th", "doc_id").limit(sample_docs).select("text").collect()
+def labelled(s: str, spans: list[Span], starts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The windows at `starts` and their tags."""
+    y, out = tags(len(s), spans), np.zeros((len(starts), WINDOW), np.int64)
+    for row, a in zip(out, starts):
+        own = y[a : a + WINDOW]
+        row[: len(own)] = own
+        if row[0] and row[0] % 2 == 0:  # a span that began before the window
+            row[0] -= 1
+    return _windows(s, starts), out
+
+
+def sample(docs: DataFrame, most: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+    """Up to `most` distinct windows of all documents and their tags, half with a base span and half without, those of
+    smallest hash. A task sends its own smallest only, and windows, never texts, reach the driver."""
+    half = most // 2
+
+    def run(batches):
+        best: dict[bool, dict[int, tuple[bytes, bytes]]] = {True: {}, False: {}}
+        limit = {True: 1 << 63, False: 1 << 63}
+        for _, texts in text_chunks(batches):
+            for t in texts:
+                s = t.decode("utf-8")
+                starts = window_starts(s)
+                hashes = [xxhash.xxh3_64_intdigest(s[a : a + WINDOW].encode(), seed) >> 1 for a in starts]
+                near = [(h, a) for h, a in zip(hashes, starts) if h < max(limit.values())]
+                if near:
+                    for (h, _), x, y in zip(near, *labelled(s, base_spans(s), [a for _, a in near])):
+                        some = bool(y.any())
+                        if h < limit[some]:
+                            best[some][h] = x.astype(np.int8).tobytes(), y.astype(np.int8).tobytes()
+            for some, own in best.items():
+                if len(own) > 2 * half:
+                    best[some] = {h: own[h] for h in sorted(own)[:half]}
+                    limit[some] = max(best[some])
+        rows = [(some, h, *own[h]) for some, own in best.items() for h in sorted(own)[:half]]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.bool_(), pa.int64(), pa.binary(), pa.binary()))], names=["some", "h", "x", "y"])
+
+    rows = keyed(docs).mapInArrow(run, "some boolean, h long, x binary, y binary").groupBy("some", "h").agg(F.min(F.struct("x", "y")).alias("r"))
+    rows = staged(rows.select("some", "h", "r.*"), "op2-windows")
+    got = [r for some in (True, False) for r in rows.filter(F.col("some") == some).orderBy("h").limit(half).collect()]
+    table = lambda c: np.array([np.frombuffer(r[c], np.int8) for r in got], np.int64).reshape(len(got), WINDOW)
+    return table("x"), table("y")
+
+
+def train(docs: DataFrame, sample_windows: int = 1000, seed: int = 7) -> Tagger:
+    """Fit on at most `sample_windows` windows of the documents and on the made-up lines."""
+    parts = [sample(docs, sample_windows, seed), *(labelled(s, spans, window_starts(s)) for s, spans in made_up())]
     model = Tagger(seed=seed)
-    x, y = training_windows([r["text"] for r in rows])
-    model.fit(x, y)
+    model.fit(np.concatenate([x for x, _ in parts]), np.concatenate([y for _, y in parts]))
     return model
 
 
 def _formed(kind: int, s: str) -> bool:
-    digits = sum(c.isdigit() for c in s)
-    if kind == 0:
-        return "@" in s and "." in s.rpartition("@")[2].strip(".") and not s.startswith("@")
+    """Has a model span its kind's wider form?"""
+    digits = "".join(c for c in s if c in _DIGITS)
+    if not _WIDE[kind].fullmatch(s):
+        return False
     if kind == 1:
-        return s.count(".") == 3 and 4 <= digits <= 12 and all(p.isdigit() and int(p) <= 255 for p in s.split("."))
+        return all(int(x) <= 255 for x in re.findall("[0-9]+", s))
     if kind == 2:
-        return 14 <= digits <= 19 and all(c.isdigit() or c in " -" for c in s) and luhn("".join(c for c in s if c.isdigit()))
-    return 10 <= digits <= 15 and s[0] in "+(" and all(c.isdigit() or c in "+ ().-" for c in s)
+        return 14 <= len(digits) <= 19 and luhn(digits)
+    return kind == 0 or 10 <= len(digits) <= 15 and not s.isdigit()
 
 
 def model_spans(model: Tagger, texts: list[str], batch: int = 512) -> list[list[Span]]:

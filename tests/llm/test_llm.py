@@ -1,5 +1,7 @@
 import hashlib
 import io
+import random
+import re
 import zlib
 from collections import Counter
 
@@ -187,10 +189,43 @@ def test_pii(docs, empty):
     assert next(r["base_sha256"] for r in rows if r["doc_id"] == 4) == hashlib.sha256(b"").hexdigest()
     assert "<EMAIL>" in next(r["text"] for r in pii.redact(docs, model).collect() if r["doc_id"] == 10)
     assert pii.find(empty, model).count() == 0
-    held = pii.made_up(80, seed=99)
+    held = pii.made_up(400, seed=99)
     found = pii.model_spans(model, [t for t, _ in held])
-    hit = sum(bool(f) == bool(w) for f, (_, w) in zip(found, held))
-    assert hit >= 0.8 * len(held)
+    beyond = [f == w for f, (t, w) in zip(found, held) if w and not pii.base_spans(t)]
+    assert len(beyond) > 90 and sum(beyond) >= 0.75 * len(beyond)  # spellings that the patterns miss
+    assert sum(bool(f) for f, (_, w) in zip(found, held) if not w) <= 0.03 * len(held)  # lookalikes
+
+
+def _contract_spans(s):
+    out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", s)]
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", s) if all(int(x) <= 255 for x in m.group().split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", s):
+        d = [int(c) for c in m.group() if c not in " -"]
+        if 14 <= len(d) <= 19 and sum(x if i % 2 == 0 else 2 * x - 9 * (x > 4) for i, x in enumerate(reversed(d))) % 10 == 0:
+            out.append((m.start(), 2, m.end()))
+    out += [(m.start(), 3, m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", s) if 10 <= sum(c in "0123456789" for c in m.group()) <= 15]
+    return sorted(out)
+
+
+def test_pii_base_spans_are_the_contract_s(spark):
+    r = random.Random(5)
+    odd = "01234567890123456789@.+- ()%_ab\n\u00b2\u2460\u0663"
+    texts = ["".join(r.choice(odd) for _ in range(r.randint(0, 60))) for _ in range(4000)]
+    texts += [f"x {r.choice(['4111 1111 1111 1111', '4111-1111-1111-1111', '378282246310005', '1.2.3.4.5', '256.1.1.1', '+49 30 1234567', 'a.b@c.de.f_', '@a.b', '415\u2460-555-1234'])}{r.choice(odd)}" for _ in range(600)]
+    assert all(pii.base_spans(t) == _contract_spans(t) for t in texts)
+    model = pii.Tagger()
+    model.fit(*pii.labelled(texts[0] + " 10.0.0.1", pii.base_spans(texts[0] + " 10.0.0.1"), [0]), epochs=1)
+    pii.model_spans(model, texts[:400])  # odd digits are no digits
+    for r_, t in zip(pii.find(spark.createDataFrame(list(enumerate(texts[:300])), "doc_id long, text string"), model).orderBy("doc_id").collect(), texts):
+        want = _contract_spans(t)
+        assert [r_[f"n_{k}"] for k in pii.KINDS] == [sum(x[1] == i for x in want) for i in range(4)]
+        assert r_["base_sha256"] == hashlib.sha256(",".join(f"{pii.KINDS[k]}:{a}:{e}" for a, k, e in want).encode()).hexdigest()
+
+
+def test_pii_samples_windows_of_long_texts(spark):
+    rows = [(0, "word " * 9000 + "call +1 (487) 555-7209 now"), (1, "a1 " * 40)] + [(i, rows_text) for i, rows_text in enumerate(["mail x@y.example.org"] * 50, 2)]
+    x, y = pii.sample(spark.createDataFrame(rows, "doc_id long, text string"), 40)
+    assert len(x) == len(np.unique(x, axis=0)) <= 40 and {int(t) for t in y.ravel()} >= {1, 7}
 
 
 def _plain_chance(m, classes, ids, end_id):
@@ -286,7 +321,16 @@ def test_rules(docs, empty):
     assert got[1]["kept"] and not got[4]["kept"] and got[4]["n_words"] == 0
     m = rules._measure([b"a b c a b c\nx\nx\n\n| |"])
     assert (m["n_repeat_words"][0], m["n_dup_lines"][0], m["n_symbols"][0], m["n_lone_symbols"][0]) == (6, 1, 2, 2)
-    assert rules.ablation(rules.ledger(docs), "base-1").count() == 2 and rules.ledger(empty).count() == 0
+    rows = rules.ledger(docs)
+    bits = [r["failed"] for r in rows.collect()]
+    for policy, mask in rules.POLICIES.items():
+        want = {n: (sum(b & rules.BIT[n] != 0 for b in bits), sum(b & mask == rules.BIT[n] for b in bits), len(bits)) for n in rules.BIT if rules.BIT[n] & mask}
+        assert {r["rule"]: (r["failed"], r["only"], r["docs"]) for r in rules.ablation(rows, policy).collect()} == want
+        for r in rules.with_ablation(rows, policy).collect():
+            hit = [n for n in want if r["failed"] & rules.BIT[n]]
+            assert r["kept"] == (not hit) and (r["sole_rule"], r["sole_rule_docs"]) == ((hit[0], want[hit[0]][1]) if len(hit) == 1 else (None, None))
+    assert rules.POLICIES["base-1"] == 3 and rules.POLICIES["clean-1"] == 127
+    assert rules.with_ablation(rules.ledger(empty), "clean-1").count() == 0
 
 
 def test_decontamination(spark, docs, empty):
