@@ -59,8 +59,11 @@ def with_types(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """page_id, url, html and refers_to (null for a response)."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("payload", F.sha1("html"))
-    best = rows.groupBy("payload").agg(F.max("page_id").alias("best"))  # summed before the shuffle: a payload of a third of the rows is a row per task
-    rows = rows.join(best, "payload")
+    # ids and hashes meet by payload; bodies move by page, so a payload of a third of the rows is no hot key of theirs
+    pairs = rows.select("page_id", "payload").distinct()
+    best = pairs.groupBy("payload").agg(F.max("page_id").alias("best"))
+    pairs = pairs.join(best, "payload").select(F.col("page_id").alias("of_page"), F.col("payload").alias("of_payload"), "best")
+    rows = rows.join(pairs, rows["page_id"].eqNullSafe(pairs["of_page"]) & (rows["payload"] == pairs["of_payload"]))
     other = F.coalesce(F.col("page_id") < F.col("best"), F.col("page_id").isNull() & F.col("best").isNotNull()) & (F.octet_length("html") >= min_bytes)
     return rows.select("page_id", "url", "html", F.when(other, F.col("best")).alias("refers_to"))
 
