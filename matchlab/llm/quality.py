@@ -91,8 +91,8 @@ def _nll(model: Ordinal, h: np.ndarray, counts: np.ndarray, grade: np.ndarray) -
 
 def fit_penalised(h: np.ndarray, counts: np.ndarray, grade: np.ndarray, strengths: tuple[float, ...] = (0.1, 0.25, 0.5, 1.0, 2.0)) -> Ordinal:
     """Fit with the strength of the penalty on weights' sizes that does best on every fifth document, held out of the first fits."""
-    if len(grade) < 50:
-        return fit(h, counts, grade)
+    if not len(grade):
+        return Ordinal()
     held = np.arange(len(grade)) % 5 == 0
     row = np.repeat(held, counts)
     loss = [_nll(fit(h[~row], counts[~held], grade[~held], l1=x), h[row], counts[held], grade[held]) for x in strengths]
@@ -100,7 +100,7 @@ def fit_penalised(h: np.ndarray, counts: np.ndarray, grade: np.ndarray, strength
 
 
 def fit(h: np.ndarray, counts: np.ndarray, grade: np.ndarray, min_docs: int = 4, rounds: int = 250, rate: float = 0.05, l2: float = 1e-3, l1: float = 1.0, check: int = 25) -> Ordinal:
-    """Adam on the mean negative log likelihood, with penalties on the weights' squares and sizes. The penalty on sizes is
+    """Weights of the features that at least `min_docs` documents hold, by Adam on the mean negative log likelihood, with penalties on the weights' squares and sizes. The penalty on sizes is
     in proportion to the chance spread of a weight's gradient, so a feature that varies with the grade no more than
     chance would have it stays at exactly 0, be it frequent or rare. Every `check` rounds the gradients of all
     features say which weights may leave 0; the rounds between move only those. Thresholds are a first one and positive gaps, so they stay ordered."""
@@ -108,7 +108,7 @@ def fit(h: np.ndarray, counts: np.ndarray, grade: np.ndarray, min_docs: int = 4,
         return Ordinal()
     doc = np.repeat(np.arange(len(counts)), counts)
     hashes, code, df = np.unique(h, return_inverse=True, return_counts=True)
-    use = df >= min(min_docs, max(1, len(grade) // 4))
+    use = df >= min_docs
     hashes, new = hashes[use], np.cumsum(use) - 1
     keep = use[code]
     code, doc = new[code[keep]], doc[keep]
