@@ -7,9 +7,10 @@ have twice the words of its longest possible item and move by half of that, so o
 retrieve every item at or above it. Verification: the item's question and answer are each compared
 by the share of their 3-word shingles that the passage and its surroundings hold.
 
-The index must fit in memory: items are taken in blocks of at most `block_items`, whose size is checked, and every
-passage is held against every block. Numbers of items and words and the items that hold each word are counted over all
-items, so the blocks change no result.
+Items are dealt to blocks of about `block_items` items or `block_bytes` of text. A task builds each block's index and
+writes it to the shared folder; one scan of the documents holds every passage against one block after another, so a
+worker has one block in memory and the driver none. Numbers of items and words and the items that hold each word are
+counted over all items, so the blocks change no result.
 
 Edge cases: null or empty texts hold nothing and match nothing; an item without words is left out; items with fewer
 than 3 words compare whole; repeated rows of a document or item are reported once per (doc_id, item_id); a null id is
@@ -19,17 +20,20 @@ reported as null; an empty benchmark or document table gives no rows; other colu
 from __future__ import annotations
 
 import math
+import pickle
 import re
+import uuid
 from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, keyed, staged, text_chunks
+from .common import column, keyed, scratch, staged, text_chunks
 
 _STRIP = b".,;:!?\"'()[]"
 K1, B = 1.2, 0.75
@@ -235,24 +239,39 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5,
     items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
     counted = _counted(items)
     total = counted.filter("word is null").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("c"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
-    held = counted.filter("word is not null").groupBy("word").agg(F.sum("c").alias("c"))
-    out = None
-    for k in range(blocks):
-        mine = items.filter(F.col("block") == k).collect()
-        rows = sorted(((r["item_id"], r["text"]) for r in mine), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
-        df = held.join(counted.filter(F.col("block") == k).select("word"), "word", "left_semi").collect()  # the block's words
-        stats = (total["c"], total["n"] / max(1, total["c"]), {bytes(r["word"]): r["c"] for r in df})
-        shared = spark.sparkContext.broadcast([(n, Index(x, stats=stats)) for n, x in length_classes(rows, size)])
-
-        def run(batches, shared=shared):
-            for b, texts in text_chunks(batches):
-                doc, th = column(b, "doc_id").to_pylist(), column(b, "th").to_pylist()
-                rows = [(doc[d], th[d], i, s, q, r) for d, i, s, q, r in _hits(shared.value, texts, threshold, overlap)]
+    held = counted.filter("word is not null").groupBy("word").agg(F.sum("c").alias("df"))
+    known = counted.filter("word is not null").select("block", "word").join(held, "word")
+    path = scratch(spark, "op9-index")
+
+    def build(mine: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        rows = sorted(((None if i is None else int(i), t) for i, t in zip(mine["item_id"], mine["text"])), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+        stats = (total["c"], total["n"] / max(1, total["c"]), {bytes(w): int(c) for w, c in zip(known["word"], known["df"])})
+        fs, base = pafs.FileSystem.from_uri(path)
+        fs.create_dir(base, recursive=True)
+        name = f"{base}/{uuid.uuid4().hex}"
+        with fs.open_output_stream(name) as out:
+            out.write(pickle.dumps([(n, Index(x, stats=stats)) for n, x in length_classes(rows, size)], protocol=5))
+        return pd.DataFrame({"file": [name] * min(1, len(mine))})
+
+    text_ids = items.withColumn("item_id", F.col("item_id").cast("string"))  # pandas has no whole numbers beside nulls
+    made = staged(text_ids.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(build, "file string"), "op9-files")
+    files = [r["file"] for r in made.orderBy("file").collect()]  # one for each block
+
+    def run(batches):
+        fs, _ = pafs.FileSystem.from_uri(path)
+        last: list = [None, None]
+        for b, texts in text_chunks(batches):
+            doc, th = column(b, "doc_id").to_pylist(), column(b, "th").to_pylist()
+            for f in files:
+                if f != last[0]:
+                    last[:] = f, None  # one index at a time
+                    with fs.open_input_stream(f) as src:
+                        last[1] = pickle.loads(src.read())
+                rows = [(doc[d], th[d], i, s, q, r) for d, i, s, q, r in _hits(last[1], texts, threshold, overlap)]
                 if rows:
                     kinds = [pa.int64()] * 3 + [pa.float64()] * 3
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
-        part = keyed(docs).mapInArrow(run, schema)
-        out = part if out is None else out.unionByName(part)
+    out = keyed(docs).mapInArrow(run, schema)
     best = F.max(F.struct("score", "question_overlap", "answer_overlap")).alias("best")
     return out.groupBy("doc_id", "th", "item_id").agg(best).select("doc_id", "th", "item_id", "best.*")
