@@ -10,13 +10,6 @@ START_RATING = 1500.0
 # The largest K factor's base, and the sets over which it falls to that base.
 K_BASE, K_SETS = 32.0, 30.0
 
-#: Readable names of the model's features (fixed values).
-FEATURE_LABELS = {
-    "elo_diff": "Elo difference", "p1_expected": "Expected win rate", "p1_sets_played": "P1 experience", "p2_sets_played": "P2 experience", "recent_wr_diff": "Recent form difference",
-    "p1_h2h_wr": "Head-to-head win rate", "h2h_total": "Head-to-head sets", "seed_diff": "Seed difference", "num_attendees": "Field size",
-}
-
-
 def elo_expected(ra: Column, rb: Column) -> Column:
     return 1 / (1 + F.pow(F.lit(10.0), (rb - ra) / 400))
 
@@ -45,8 +38,9 @@ def tier(attendees: Column) -> Column:
 
 
 def label(c: Column) -> Column:
-    names = F.create_map(*(F.lit(x) for kv in FEATURE_LABELS.items() for x in kv))
-    return F.coalesce(names[c], c)
+    """A column's name as words: p1_sets_played is "Player 1 sets played"."""
+    words = F.regexp_replace(F.regexp_replace(c, "^p([12])_", "player $1 "), "_", " ")
+    return F.concat(F.upper(F.substring(words, 1, 1)), F.substring(words, 2, 200))
 
 
 def ratio(a: Column, b: Column) -> Column:

@@ -27,6 +27,24 @@ def correct() -> Column:
     return ((F.col("prob") >= 0.5).cast("int") == F.col("p1_won")).cast("int")
 
 
+def percentiles(df: DataFrame, column: str, shares: list[float], parts: int = 4096) -> DataFrame:
+    """One row, array q: exact percentiles, between two values on the line that joins them. Rows are counted per value and
+    counts summed over ranges, then within them, so no task holds all values. No rows give a null."""
+    x = df.select(F.col(column).cast("double").alias("x")).filter("x is not null")
+    per = x.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    ends = per.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("n").alias("total"))  # one row
+    per = per.crossJoin(F.broadcast(ends)).withColumn("range", F.floor(F.coalesce(F.try_divide(F.col("x") - F.col("lo"), F.col("hi") - F.col("lo")), F.lit(0.0)) * parts))
+    tops = per.groupBy("range").agg(F.sum("n").alias("n")).select("range", F.coalesce(F.sum("n").over(W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("base"))  # at most parts + 1 rows
+    inner = F.coalesce(F.sum("n").over(W.partitionBy("range").orderBy("x").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    rows = per.withColumn("inner", inner).join(F.broadcast(tops), "range").withColumn("before", F.col("base") + F.col("inner"))
+    place = lambda s: F.lit(float(s)) * (F.col("total") - 1)
+    at = lambda k: F.max(F.when((F.col("before") <= k) & (k < F.col("before") + F.col("n")), F.col("x")))
+    picks = [at(end(place(s))).alias(f"{c}{i}") for i, s in enumerate(shares) for c, end in (("a", F.floor), ("b", F.ceil))]
+    one = rows.agg(F.max("total").alias("total"), *picks)
+    value = lambda i, s: F.col(f"a{i}") + (F.col(f"b{i}") - F.col(f"a{i}")) * (place(s) - F.floor(place(s)))
+    return one.select(F.when(F.col("total").isNotNull(), F.array(*(value(i, s) for i, s in enumerate(shares)))).alias("q"))
+
+
 def auc(pred: DataFrame) -> DataFrame:
     """Exact area under the ROC curve, ties half: one row per probability, negatives counted below it. The running sum
     goes over ranges of probabilities, then within them, so no task holds all of them."""
@@ -46,10 +64,9 @@ def metrics(pred: DataFrame) -> DataFrame:
 
 def calibration(pred: DataFrame, n_bins: int = 15) -> DataFrame:
     """Quantile bins: a row lies in the bin of as many inner edges as are below its probability."""
-    edges = pred.agg(F.percentile("prob", F.array(*(F.lit(i / n_bins) for i in range(n_bins + 1)))).alias("e"))
+    edges = percentiles(pred, "prob", [i / n_bins for i in range(1, n_bins)])
     rows = pred.crossJoin(F.broadcast(edges))  # one row
-    inner = F.slice("e", 2, n_bins - 1)
-    rows = rows.withColumn("bin", F.size(F.filter(inner, lambda x: x < F.col("prob"))))
+    rows = rows.withColumn("bin", F.size(F.filter("q", lambda x: x < F.col("prob"))))
     return rows.groupBy("bin").agg(F.avg("prob").alias("predicted"), F.avg("p1_won").alias("observed"), F.count(F.lit(1)).alias("n"))
 
 
@@ -87,7 +104,8 @@ def metric_comparison(results: DataFrame) -> DataFrame:
 
 def walk_forward_cuts(df: DataFrame, n: int = 4) -> DataFrame:
     """fold, train_before, test_until: cuts at the quantiles i/(n+1) of completed_at; the last test ends with the data."""
-    q = df.agg(F.percentile(F.col("completed_at").cast("double"), F.array(*(F.lit((i + 1) / (n + 1)) for i in range(n)))).alias("q"), (F.max("completed_at") + 1).cast("double").alias("end"))
+    end = df.agg((F.max("completed_at") + 1).cast("double").alias("end"))
+    q = percentiles(df, "completed_at", [(i + 1) / (n + 1) for i in range(n)]).crossJoin(F.broadcast(end))  # two single rows
     rows = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.struct(i.alias("fold"), F.get("q", i - 1).alias("train_before"), F.coalesce(F.get("q", i), F.col("end")).alias("test_until")))
     return q.filter("q is not null").select(F.inline(rows))
 

@@ -17,6 +17,14 @@ def time_chunks(spark: SparkSession, after: int, before: int, days: int = 90) ->
     return starts.select("start", F.least(F.col("start") + step, F.lit(before)).alias("stop"))
 
 
+def table_chunks(df: DataFrame, ts: str, days: int = 90) -> DataFrame:
+    """time_chunks over the span of a table's column, its latest value included. No rows give no chunk."""
+    step = days * 86_400
+    ends = df.agg(F.min(ts).alias("a"), (F.max(ts) + 1).alias("b")).filter("a is not null")
+    starts = ends.select("b", F.explode(F.expr(f"sequence(a, b - 1, {step}L)")).alias("start"))
+    return starts.select("start", F.least(F.col("start") + step, F.col("b")).alias("stop"))
+
+
 def merge_first(chunks: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The first row of each key in the order of the chunks; summed before the shuffle, so a hot key is no hot task."""
     rest = [c for c in chunks.columns if c != key]

@@ -92,5 +92,21 @@ def orphans(child: DataFrame, parent: DataFrame, column: str, key: str = "id") -
     return child.filter(F.col(column).isNotNull()).join(p, column, "left_anti")
 
 
+def table_violations(tables: dict[str, DataFrame], schemas: dict[str, StructType], unique_columns: dict[str, list[str]], foreign: list[tuple[str, str, str]]) -> DataFrame:
+    """table_name, rule, violations: the declared constraints of every table, over the columns that it has, and rows
+    without a parent for each foreign key."""
+    out = None
+    for name, df in tables.items():
+        schema = StructType([f for f in schemas[name].fields if f.name in df.columns])
+        found = violations(df, table_rules(schema, [c for c in unique_columns.get(name, []) if c in df.columns]))
+        for child, column, parent in foreign:
+            if child == name:
+                lost = orphans(df, tables[parent], column).agg(F.count(F.lit(1)).alias("violations"))
+                found = found.unionByName(lost.select(F.lit(f"{column} in {parent}").alias("rule"), "violations"))
+        found = found.select(F.lit(name).alias("table_name"), "rule", "violations")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def table_rules(schema: StructType, unique_columns: list[str] = ()) -> list[Rule]:
     return [*(not_null(f.name) for f in schema.fields if not f.nullable), unique("id"), *(unique(c) for c in unique_columns)]

@@ -48,7 +48,9 @@ def _spine(like: DataFrame, values: list[str], name: str) -> DataFrame:
 
 
 def median_attendees(t: DataFrame) -> DataFrame:
-    return t.agg(F.median("num_attendees").alias("median_attendees"))
+    from .evaluation import percentiles
+
+    return percentiles(t, "num_attendees", [0.5]).select(F.get("q", F.lit(0)).alias("median_attendees"))
 
 
 def largest(t: DataFrame, n: int = 10) -> DataFrame:
@@ -82,7 +84,10 @@ def activity_cdf(counts: DataFrame) -> DataFrame:
 
 
 def activity_thresholds(counts: DataFrame) -> DataFrame:
-    one = counts.agg(F.count(F.lit(1)).alias("total"), F.median("n").alias("median"), F.avg("n").alias("mean"), *(F.count_if(F.col("n") >= k).alias(f"c{k}") for k in THRESHOLDS))
+    from .evaluation import percentiles
+
+    middle = percentiles(counts, "n", [0.5]).select(F.get("q", F.lit(0)).alias("median"))
+    one = counts.agg(F.count(F.lit(1)).alias("total"), F.avg("n").alias("mean"), *(F.count_if(F.col("n") >= k).alias(f"c{k}") for k in THRESHOLDS)).crossJoin(F.broadcast(middle))  # two single rows
     rows = F.array(*(F.struct(F.lit(k).cast("long").alias("min_sets"), F.col(f"c{k}").alias("players"), ratio(F.col(f"c{k}"), F.col("total")).alias("share"), "median", "mean") for k in THRESHOLDS))
     return one.select(F.inline(rows))
 

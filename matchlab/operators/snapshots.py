@@ -10,15 +10,20 @@ from ..functions.columns import elo_expected, ratio
 from .reports import pair_records
 
 
-def player_snapshot(features: DataFrame, rated: DataFrame | None = None) -> DataFrame:
-    """Each player's values before the last set; with `rated` (elo_ratings' output) those after it."""
+def player_snapshot(features: DataFrame, rated: DataFrame | None = None, n: int = 30) -> DataFrame:
+    """Each player's values before the last set; with `rated` (elo_ratings' output) those after it: the new rating, one
+    set more, and the mean of the last n results with that set's own."""
     rows = features if rated is None else features.join(rated.select("set_id", "p1_post", "p2_post"), "set_id")
     elo = lambda i: F.col(f"p{i}_elo") if rated is None else F.col(f"p{i}_post")
     more = 0 if rated is None else 1
-    side = lambda i: F.struct(F.col(f"player{i}_id").alias("player_id"), elo(i).alias("elo"), (F.col(f"p{i}_sets_played") + more).alias("sets_played"), F.col(f"p{i}_recent_wr").alias("recent_wr"))
-    long = rows.select("completed_at", "set_id", F.explode(F.array(side(1), side(2))).alias("s"))
-    last = long.groupBy("s.player_id").agg(F.max(F.struct("completed_at", "set_id", "s.elo", "s.sets_played", "s.recent_wr")).alias("m"))
-    return last.select("player_id", "m.elo", "m.sets_played", "m.recent_wr")
+    won = lambda i: F.col("p1_won") if i == 1 else 1 - F.col("p1_won")
+    side = lambda i: F.struct(F.col(f"player{i}_id").alias("player_id"), elo(i).alias("elo"), (F.col(f"p{i}_sets_played") + more).alias("sets_played"), F.col(f"p{i}_recent_wr").alias("recent_wr"), won(i).alias("won"))
+    long = rows.select("completed_at", "set_id", F.explode(F.array(side(1), side(2))).alias("s")).select("completed_at", "set_id", "s.*")
+    if rated is not None:
+        last = W.partitionBy("player_id").orderBy("completed_at", "set_id").rowsBetween(-(n - 1), 0)
+        long = long.withColumn("recent_wr", F.avg("won").over(last))
+    best = long.groupBy("player_id").agg(F.max(F.struct("completed_at", "set_id", "elo", "sets_played", "recent_wr")).alias("m"))
+    return best.select("player_id", "m.elo", "m.sets_played", "m.recent_wr")
 
 
 def career_totals(sets: DataFrame) -> DataFrame:
@@ -62,6 +67,13 @@ def matchup_features(pairs: DataFrame, snapshot: DataFrame, h2h: DataFrame, atte
     })
 
 
+def predict_matchups(model, pairs: DataFrame, snapshot: DataFrame, h2h: DataFrame, attendees: int = 200) -> DataFrame:
+    """favourites() of each pair by a fitted model's chance that player 1 wins."""
+    from .modeling import score
+
+    return favourites(score(model, matchup_features(pairs, snapshot, h2h, attendees)))
+
+
 def favourites(rows: DataFrame, p: str = "prob") -> DataFrame:
     """Both sides' chances, favourite and underdog; a tie favours player 2."""
     first = F.col(p) > 1 - F.col(p)

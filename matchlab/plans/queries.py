@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import date_to_epoch
-from ..operators import elo, evaluation, explain, history, ingest, modeling, quality, reports, snapshots
+from ..operators import elo, evaluation, explain, export, history, ingest, modeling, quality, reports, snapshots
 from ..sources import schemas, tables
 from ..sources.fixture import CTES, match_tables
 from .features import build_features
@@ -165,9 +165,10 @@ def _nodes(t: dict[str, DataFrame]) -> DataFrame:
     return raw.select(F.from_json("j", schemas.SET_NODE).alias("n")).select("n.*")
 
 
-@_query("""select 1704067200 + 7776000 * i as start, least(1704067200 + 7776000 * (i + 1), 1735689600) as stop from range(5) r(i) where 1704067200 + 7776000 * i < 1735689600""")
+@_query(_sql("""select a + 604800 * i as start, least(a + 604800 * (i + 1), b) as stop
+from (select min(completed_at) as a, max(completed_at) + 1 as b from m_sets), (select unnest(range(10000)) as i) where a + 604800 * i < b"""))
 def b1_time_chunks(spark, d, t):
-    return ingest.time_chunks(spark, 1_704_067_200, 1_735_689_600)
+    return ingest.table_chunks(t["sets"], "completed_at", 7)
 
 
 @_query("""select user_id as id, min_by(event_id, (event_id % 4, event_id)) as event_id from events group by all""")
@@ -227,6 +228,17 @@ def b13_ingest(spark, d, t):
     return tables.table_stats({k: out[k] for k in ("sets", "games", "tournaments", "events")})
 
 
+@_query(_sql("""select id, event_id, completed_at, winner_player_id, case when event_id % 4 = 0 then 'stored' else full_round_text end as full_round_text from m_sets
+where player1_id <> 0 and player2_id <> 0 and event_id in (select e.id from m_events e join m_tournaments t on t.id = e.tournament_id where e.id % 2 = 0 and t.num_attendees >= 200 and not t.is_online)"""))
+def b13_ingest_onto(spark, d, t):
+    """A second batch onto stored tables: events that are stored are skipped, so their sets stay as they are."""
+    nodes = tables.staged(_nodes(t), "nodes")
+    first = ingest.ingest(_tournament_nodes(t), nodes.filter("eventId % 4 = 0"), None, 200)
+    stored = tables.staged(first["sets"].withColumn("full_round_text", F.lit("stored")), "stored-sets")
+    out = ingest.ingest(_tournament_nodes(t), nodes, {"sets": stored}, 200)
+    return out["sets"].select("id", "event_id", "completed_at", "winner_player_id", "full_round_text")
+
+
 # ------------------------------------------------------------------ features
 
 _H = "set_id, completed_at, player1_id, player2_id, p1_sets_played, p2_sets_played, round(p1_recent_wr, 6) as p1_recent_wr, round(p2_recent_wr, 6) as p2_recent_wr, round(recent_wr_diff, 6) as recent_wr_diff, p1_h2h_wins, p2_h2h_wins, round(p1_h2h_wr, 6) as p1_h2h_wr, h2h_total, seed_diff"
@@ -271,6 +283,33 @@ def d7_feature_table(spark, d, t):
     return quality.validate(_features(t), quality.feature_rules())
 
 
+_PLANTED = {"p1_elo > 0": ("p1_elo", "-p1_elo", 50), "p1_won in [0, 1]": ("p1_won", "2", 70), "two players": ("player2_id", "player1_id", 90), "tournament_name is not null": ("tournament_name", "null", 40), "p1_recent_wr in [0, 1]": ("p1_recent_wr", "1.5", 30)}
+
+
+@_query(_sql("select * from (" + " union all ".join(f"select '{rule}' as rule, cast(coalesce(sum(case when set_id % 110 = 0 then 2 else 1 end) filter (set_id % {k} = 0), 0) as bigint) as violations from done" for rule, (_, _, k) in _PLANTED.items())
+    + " union all select 'unique set_id', count(*) filter (set_id % 110 = 0) from done) where violations > 0", _DONE))
+def d7_planted_violations(spark, d, t):
+    """The feature table with faults planted by set_id, and some rows twice."""
+    rows = history.history_features(_done(t)).withColumns({c: F.lit(1500.0) for c in ("p1_elo", "p2_elo")} | {"elo_diff": F.lit(0.0), "p1_expected": F.lit(0.5)})
+    rows = rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.FEATURES.fields))
+    for column, value, k in _PLANTED.values():
+        rows = rows.withColumn(column, F.when(F.col("set_id") % k == 0, F.expr(value)).otherwise(F.col(column)))
+    return quality.validate(rows.unionByName(rows.filter("set_id % 110 = 0")), quality.feature_rules())
+
+
+_DECLARED = {"tournaments": ["id", "name"], "events": ["id", "tournament_id", "name"], "players": ["id", "gamer_tag"], "sets": ["id", "event_id"], "games": ["id", "set_id", "game_number"]}
+_RULES_SQL = " union all ".join(
+    [f"select '{n}' as table_name, '{c} is not null' as rule, count(*) filter ({c} is null) as violations from m_{n}" for n, cs in _DECLARED.items() for c in cs]
+    + [f"select '{n}', 'unique id', (select count(*) from (select id from m_{n} where id is not null group by id having count(*) > 1))" for n in _DECLARED]
+    + [f"select '{n}', '{c} in {p}', count(*) from m_{n} where {c} is not null and {c} not in (select id from m_{p} where id is not null)" for n, c, p in schemas.FOREIGN])
+
+
+@_query(_sql(_RULES_SQL))
+def d8_table_rules(spark, d, t):
+    """Declared constraints of the five tables and all foreign keys."""
+    return quality.table_violations({k: t[k] for k in schemas.TABLES}, schemas.TABLES, schemas.UNIQUE, schemas.FOREIGN)
+
+
 @_query(_sql("select id, player1_id from m_sets where player1_id not in (select id from m_players where id % 7 <> 0)"))
 def d9_orphans(spark, d, t):
     return quality.orphans(t["sets"], t["players"].filter("id % 7 <> 0"), "player1_id").select("id", "player1_id")
@@ -342,6 +381,17 @@ def g1_player_snapshot(spark, d, t):
     return snapshots.player_snapshot(_features(t))
 
 
+_AFTER = """fin as (select r, g from st order by rn desc limit 1),
+rated as (select unnest(map_entries(r)) as e, g from fin),
+form as (select player_id, avg(won) over (partition by player_id order by completed_at, set_id rows between 29 preceding and current row) as wr from long qualify row_number() over (partition by player_id order by completed_at desc, set_id desc) = 1)"""
+
+
+@_query(_sql("select e.key as player_id, round(e.value, 6) as elo, g[e.key] as sets_played, round(wr, 6) as recent_wr from rated join form on player_id = e.key", _ELO, _AFTER))
+def g1_snapshot_after(spark, d, t):
+    """Values after each player's last set."""
+    return snapshots.player_snapshot(_features(t), elo.elo_ratings_bounded(_done(t)))
+
+
 @_query(_sql("select player_id, wins, total_sets from totals", _TOTALS))
 def g3_career_totals(spark, d, t):
     return snapshots.career_totals(t["sets"])
@@ -556,13 +606,15 @@ def h24_format_share(spark, d, t):
 
 
 def _cut(df: DataFrame) -> int:
-    return int(df.agg(F.percentile(F.col("completed_at").cast("double"), 0.8)).first()[0])
+    return int(modeling.time_cut(df, 0.8))
 
 
 @_query()
 def e12_compare_models(spark, d, t):
     f = tables.staged(_features(t), "features")
-    return modeling.run_all(f, _cut(f))[0]
+    results, _ = modeling.run_all(f, _cut(f))
+    export.log_runs(results, "models", tables.scratch(spark, "runs"))
+    return results
 
 
 @_query()
@@ -574,7 +626,9 @@ def e15_walk_forward_cv(spark, d, t):
 def e16_tune(spark, d, t):
     f = tables.staged(_features(t), "features")
     train, _ = evaluation.temporal_split(evaluation.active_rows(f), _cut(f))
-    return modeling.tune(train)
+    trials = modeling.tune(train)
+    export.log_runs(trials.drop("best"), "trials", tables.scratch(spark, "runs"))
+    return trials
 
 
 @_query()
@@ -595,3 +649,31 @@ def g11_explain_matchup(spark, d, t):
 def f5_importance_report(spark, d, t):
     f = tables.staged(_features(t), "features")
     return evaluation.importance_report(modeling.importances(modeling.train_logistic(f)))
+
+
+@_query()
+def e19_export_model(spark, d, t):
+    """Logistic model and baseline fitted before the split, logged and exported (model, attributions, results), then read
+    back: the comparison's metrics, and the attributions of the rows after the split."""
+    f = tables.staged(_features(t), "features")
+    train, test = evaluation.temporal_split(evaluation.active_rows(f), _cut(f))
+    models = {"seed baseline": modeling.train_baseline(train), "logistic": modeling.train_logistic(train)}
+    out = None
+    for name, m in models.items():
+        row = evaluation.metrics(modeling.score(m, test)).select(F.lit(name).alias("model"), "*")
+        out = row if out is None else out.unionByName(row)
+    out, path = tables.staged(out, "results"), tables.scratch(spark, "export")
+    export.log_runs(out, "models", f"{path}/runs")
+    export.export_results(out, path)
+    export.export_model(models["logistic"], explain.explain(models["logistic"], test, ["set_id"]), ["set_id"], path)
+    again = evaluation.metrics(modeling.score(export.read_model(path), test)).select(F.lit("logistic, read back").alias("model"), "*")
+    shown = evaluation.metric_comparison(out.unionByName(again)).unionByName(spark.read.schema("feature string, mean_abs double, base double").json(f"{path}/attributions").select(F.lit("attributions").alias("model"), F.col("feature").alias("metric"), F.col("mean_abs").alias("value")))
+    return shown
+
+
+@_query()
+def g9_predict_matchups(spark, d, t):
+    """Each pair's chances by a fitted model."""
+    f = tables.staged(_features(t), "features")
+    rows = snapshots.predict_matchups(modeling.train_logistic(f), _pairs(t), snapshots.player_snapshot(f), snapshots.h2h_records(t["sets"]))
+    return rows.select("player1_id", "player2_id", "p1_win", "p2_win", "favourite", "underdog")

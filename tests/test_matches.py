@@ -12,7 +12,7 @@ from matchlab.sources import schemas, tables
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
-SLOW = {"b13_ingest", "b9_parse_sets", "b10_parse_games", "g10_matchup_card"}
+SLOW = {"b13_ingest", "b13_ingest_onto", "b9_parse_sets", "b10_parse_games", "g10_matchup_card"}
 
 
 @pytest.fixture(scope="module")
@@ -89,14 +89,109 @@ def test_upsert_keeps_first_and_takes_last(spark):
     assert got == {1: (10, "c"), 2: (10, "b"), 3: (30, "d")}
 
 
-def test_quality_reports_each_mutation(spark):
-    good = (1, 100, 10, "Open", 1_700_000_000, 1, 2, 1800.0, 1600.0, 200.0, 0.76, 50, 30, 0.7, 0.5, 0.2, 3, 1, 0.75, 4, 1, 5, -4, 500, 3.0, 1.0, 1)
-    names = schemas.FEATURES.names
-    assert quality.assert_valid(spark.createDataFrame([good], schemas.FEATURES), quality.feature_rules(), schemas.FEATURES)
-    for column, value, rule in (("p1_elo", -100.0, "p1_elo > 0"), ("p1_won", 2, "p1_won in [0, 1]"), ("player1_id", 2, "two players"), ("h2h_total", 10, "h2h total is the sum")):
-        row = list(good)
-        row[names.index(column)] = value
-        assert [r["rule"] for r in quality.validate(spark.createDataFrame([tuple(row)], schemas.FEATURES), quality.feature_rules()).collect()] == [rule]
+def test_quality_reports_every_rule(spark):
+    """One sound row, and for each rule a row that breaks it."""
+    rows = features_of(_league(40), spark).collect()
+    plain, names = rows[-1].asDict(), schemas.FEATURES.names
+    table = lambda *rs: spark.createDataFrame([tuple(r[n] for n in names) for r in rs], schemas.FEATURES)
+    assert quality.assert_valid(table(plain), quality.feature_rules(), schemas.FEATURES)
+    zero = plain["p1_recent_wr"]
+    breaks = {
+        "completed_at > 0": {"completed_at": -7}, "p1_elo > 0": {"p1_elo": 0.0}, "p2_elo > 0": {"p2_elo": -3.5}, "p1_expected in [0, 1]": {"p1_expected": 1.25}, "p1_sets_played >= 0": {"p1_sets_played": -2}, "p2_sets_played >= 0": {"p2_sets_played": -1},
+        "p1_recent_wr in [0, 1]": {"p1_recent_wr": zero - 2}, "p2_recent_wr in [0, 1]": {"p2_recent_wr": 1.5}, "recent_wr_diff in [-1, 1]": {"recent_wr_diff": -1.01}, "p1_h2h_wr in [0, 1]": {"p1_h2h_wr": 2.0}, "p1_seed >= 1": {"p1_seed": 0, "seed_diff": -plain["p2_seed"]},
+        "p2_seed >= 1": {"p2_seed": 0, "seed_diff": plain["p1_seed"]}, "num_attendees >= 0": {"num_attendees": -1}, "p1_won in [0, 1]": {"p1_won": 7}, "two players": {"player1_id": plain["player2_id"]}, "seed difference": {"seed_diff": plain["seed_diff"] + 1},
+        "h2h total is the sum": {"h2h_total": plain["h2h_total"] + 1}, "p1_h2h_wins >= 0": {"p1_h2h_wins": -1, "h2h_total": plain["p2_h2h_wins"] - 1 + 1, "p2_h2h_wins": plain["p2_h2h_wins"] + 1}, "event_id is not null": {"event_id": None}, "p2_elo is not null": {"p2_elo": None},
+    }
+    for rule, change in breaks.items():
+        assert [r["rule"] for r in quality.validate(table(plain | change), quality.feature_rules()).collect()] == [rule], rule
+    assert [r["rule"] for r in quality.validate(table(plain, plain), quality.feature_rules()).collect()] == ["unique set_id"]
+    with pytest.raises(ValueError):
+        quality.assert_valid(table(plain | {"p1_won": None}), quality.feature_rules())
+
+
+def _tables_of(pdf, spark):
+    sets = spark.createDataFrame(pdf).withColumnRenamed("set_id", "id").selectExpr("*", "id % 3 as event_id", "1 + id % 5 as player1_seed", "2 + id % 7 as player2_seed", "2.0D as player1_score", "1.0D as player2_score")
+    events = spark.createDataFrame([(i, 9) for i in range(3)], "id long, tournament_id long")
+    return {"sets": sets, "events": events, "tournaments": spark.createDataFrame([(9, "Spring Open", 64)], "id long, name string, num_attendees long")}
+
+
+def features_of(pdf, spark):
+    return features.build_features(_tables_of(pdf, spark)).orderBy("completed_at", "set_id")
+
+
+def test_features_read_nothing_of_later_sets(spark):
+    pdf = _league(90)
+    later = pdf.copy()
+    later.loc[60:, "winner_player_id"] = [a if w == b else b for a, b, w in later.loc[60:, ["player1_id", "player2_id", "winner_player_id"]].itertuples(index=False)]
+    outcome = {"p1_won", "p1_score", "p2_score"}
+    kept = [n for n in schemas.FEATURES.names if n not in outcome]
+    a, b = (features_of(x, spark).select(*kept, "p1_won").collect() for x in (pdf, later))
+    assert a[:60] == b[:60] and a[60]["p1_won"] != b[60]["p1_won"]
+    assert [a[60][n] for n in kept] == [b[60][n] for n in kept] and a[61:] != b[61:]
+
+
+def test_build_export_and_validation(spark, tmp_path):
+    source = str(tmp_path / "in")
+    for name, df in _tables_of(_league(50), spark).items():
+        missing = [f for f in schemas.TABLES[name].fields if f.name not in df.columns]
+        df.selectExpr("*", *(f"cast(null as {f.dataType.simpleString()}) as {f.name}" for f in missing)).write.parquet(f"{source}/{name}")
+    for name in set(schemas.TABLES) - {"sets", "events", "tournaments"}:
+        spark.createDataFrame([], schemas.TABLES[name]).write.parquet(f"{source}/{name}")
+    rows = features.build_and_export(spark, source, str(tmp_path / "out"))
+    assert rows.count() == 50 and rows.schema.names == schemas.FEATURES.names
+
+
+def test_models_against_numpy(spark, tmp_path):
+    import numpy as np
+
+    from matchlab.operators import explain, export, modeling
+
+    f = tables.staged(features_of(_league(400), spark), "test-features")
+    m = modeling.train_logistic(f)
+    x = np.array([[float(r[c]) for c in modeling.CORE] for r in f.orderBy("set_id").collect()])
+    y = np.array([r["p1_won"] for r in f.orderBy("set_id").collect()], float)
+    sd = x.std(0, ddof=1)
+    z = np.where(sd > 0, (x - x.mean(0)) / np.where(sd > 0, sd, 1), 0)
+    w, b = np.zeros(z.shape[1]), 0.0
+    for _ in range(50):  # Newton on the mean loss with the penalty of half the squared weights over n
+        p = 1 / (1 + np.exp(-(z @ w + b)))
+        za = np.c_[z, np.ones(len(z))]
+        g = za.T @ (p - y) / len(y) + np.r_[w, 0] / len(y)
+        h = (za * (p * (1 - p))[:, None]).T @ za / len(y) + np.diag(np.r_[np.ones(len(w)), 1e-12]) / len(y)
+        step = np.linalg.solve(h, g)
+        w, b = w - step[:-1], b - step[-1]
+    assert np.allclose(m.stages[-1].coefficients.toArray(), w, atol=1e-3) and abs(m.stages[-1].intercept - b) < 1e-3
+    trees = modeling.train_boosted(f, trees=4, depth=3)
+    for model in (m, trees):
+        got = explain.explain(model, f, ["set_id"]).toPandas().set_index("set_id").sort_index()
+        raw = model.transform(modeling._numbers(f)).select("set_id", modeling.vector_to_array("rawPrediction")[1].alias("v")).toPandas().set_index("set_id").sort_index()
+        margin = raw["v"] / (2 if model is trees and abs(raw["v"]).max() > 1.5 * abs(got.sum(axis=1)).max() else 1)
+        assert np.allclose(got.sum(axis=1), margin, atol=1e-6)
+    cv = {r["fold"]: r for r in modeling.walk_forward_cv(f, 3).collect()}
+    assert set(cv) == {"1", "2", "3", "mean"} and abs(cv["mean"]["auc"] - np.mean([cv[k]["auc"] for k in "123"])) < 1e-9
+    space = {k: v for k, v in modeling.SPACE.items()} | {"maxIter": (2, 4, False), "maxDepth": (2, 3, False)}
+    trials = modeling.tune(f, n_trials=3, space=space).collect()
+    assert [r["best"] for r in trials].count(True) == 1 and max(trials, key=lambda r: r["auc"])["best"]
+    path = "file://" + str(tmp_path / "x")
+    summary = export.export_model(m, explain.explain(m, f, ["set_id"]), ["set_id"], path)
+    assert {r["feature"] for r in summary.collect()} == set(modeling.CORE)
+    probs = lambda model: [r["prob"] for r in modeling.score(model, f).orderBy("set_id").collect()]
+    assert probs(export.read_model(path)) == probs(m)
+    results, _ = modeling.run_all(f, split_ts=1_000_000 + 1_800 * 300, trees=3)
+    log = export.log_runs(results, "models", path + "/runs")
+    assert spark.read.parquet(path + "/runs").count() == log.count() == 3 * 5
+    assert export.export_results(results, path).count() == 12
+
+
+def test_percentiles(spark):
+    import numpy as np
+
+    r = random.Random(4)
+    for values in ([5.0], [1.0, 2.0], [r.choice([r.random(), 3.0, -1e9]) for _ in range(301)]):
+        df = spark.createDataFrame([(v,) for v in [*values, None]], "v double")
+        shares = [0, 0.1, 1 / 3, 0.5, 0.9, 1]
+        assert np.allclose(evaluation.percentiles(df, "v", shares).first()["q"], np.quantile(values, shares))
+    assert evaluation.percentiles(df.limit(0), "v", [0.5]).first()["q"] is None
 
 
 def test_auc_with_ties(spark):
@@ -114,9 +209,10 @@ def test_raw_nodes_and_rejects(spark, tmp_path):
 
 
 def test_models_are_registered_whole(spark, monkeypatch):
-    from matchlab.operators import explain, modeling
+    from matchlab.operators import explain, export, modeling
 
     seen = {}
+    monkeypatch.setattr(export, "log_runs", lambda *_: None)
 
     def note(name):
         def f(*args, **more):
