@@ -40,7 +40,17 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark, path = df.sparkSession, scratch(df.sparkSession, label)
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that no later plan reads."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        at = jvm.org.apache.hadoop.fs.Path(df._scratch)
+        at.getFileSystem(conf).delete(at, True)
 
 
 def keyed(docs: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import discard, staged
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
@@ -23,7 +23,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         large = both.filter("v > u").join(m, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
         m = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(m, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(m.select("u", F.col("m").alias("v"))).filter("u > v").distinct()
-        e = staged(small, label)
+        last, e = e, staged(small, label)
+        discard(last)
         now = print_of(e)
         if now == seen:
             break

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, keyed, mix, same_key, shingle_sets, staged, text_chunks
+from .common import column, discard, keyed, mix, same_key, shingle_sets, staged, text_chunks
 from .graph import components
 
 NUM, DEN = 75, 100
@@ -183,7 +183,7 @@ def grouped(docs: DataFrame) -> DataFrame:
     """As join, with the component's own number as group (null for an empty set): components of which rows repeat a
     doc_id may share a component_id."""
     sets, frequent = sets_of(docs)
-    rows = staged(kept_tokens(docs, frequent), "op7-tokens")
+    rows = tokens = staged(kept_tokens(docs, frequent), "op7-tokens")
     # a set with too few recurring tokens links with no other
     known = rows.groupBy("s1", "n").agg(F.count("*").alias("c")).filter(F.col("c") >= F.least(F.lit(SHARED), F.ceil(F.col("n") * NUM / DEN))).select("s1")
     first = sets.filter("n > 0").groupBy("s1").agg(F.min(F.struct("doc_id", "th")).alias("r")).join(known, "s1", "left_semi").select("s1", "r.*")
@@ -205,7 +205,8 @@ def grouped(docs: DataFrame) -> DataFrame:
     # matrix and bounds
     rows = rows.join(group.withColumnsRenamed({"node": "s1", "component": "g"}), "s1", "left").withColumn("g", F.coalesce("g", "s1"))
     mixed = rows.groupBy("token").agg(F.min("g").alias("a"), F.max("g").alias("b")).filter("a < b").select("token")
-    rows = staged(rows.join(mixed, "token", "left_semi"), "op7-matrix")
+    rows = matrix_rows = staged(rows.join(mixed, "token", "left_semi"), "op7-matrix")
+    discard(tokens)
     q = rows.select("token", F.col("s1").alias("q"), F.col("n").alias("nq"), F.col("g").alias("gq"), F.col("pos").alias("pq"))
     matrix = rows.groupBy("token", F.col("g").alias("gd")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("pos").alias("first"))
     # a member's chance to hold the token early enough is best at the group's ends of size that still fit the query
@@ -222,6 +223,7 @@ def grouped(docs: DataFrame) -> DataFrame:
     more = verify(cross.join(tried, ["q", "d"], "left_anti"), texts)
     every = links.unionByName(more.select(F.col("q").alias("u"), F.col("d").alias("v")))
     final = components(every, "op7-components").withColumnsRenamed({"node": "s1", "component": "g"})
+    discard(matrix_rows, pairs, texts)
     classes = sets.filter("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("first")).join(final, "s1", "left").withColumn("g", F.coalesce("g", "s1"))
     smallest = classes.groupBy("g").agg(F.min("first").alias("component_id"))
     named = classes.join(smallest, "g").select("s1", "s2", "component_id", F.col("g").alias("group"))

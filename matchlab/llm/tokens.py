@@ -29,7 +29,8 @@ class Encoder:
     Byte-level BPE never merges across its own pre-token borders. A text is cut only at borders that hold for certain:
     before a single space, around a single line feed, and between a letter and a full stop or comma that ends a piece.
     Each distinct piece is encoded by the tokenizers library, many new ones in one text where each starts with a space
-    or line feed, and the ids are dealt back by the bytes that each id stands for. Texts with neighbouring white space or with an added token's string are encoded whole."""
+    or line feed, and the ids are dealt back by the bytes that each id stands for. Texts with neighbouring
+    white space or with an added token's string are encoded whole."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -42,9 +43,10 @@ class Encoder:
             self.bytes_of[i] = len(token)  # byte-level: a character for each byte
         self.marks = ["\0", "\1", *(t.content for t in self.tok.get_added_tokens_decoder().values())]
         self.unsure = [*self.marks, *(x + y for x in " \n" for y in " \n"), *(c for c in _SPACES if c not in " \n")]
-        self._reset()
+        self.forget()
 
-    def _reset(self) -> None:
+    def forget(self) -> None:
+        """Forget all pieces."""
         self.known: dict[str, int] = {}
         self.flat = np.empty(0, np.uint32)
         self.start = np.zeros(1, np.int64)
@@ -54,7 +56,7 @@ class Encoder:
         """Forget the pieces that came up in one call only."""
         keep = np.flatnonzero(self.hits > 1)
         if len(keep) > CACHE // 2:
-            return self._reset()
+            return self.forget()
         new = np.full(len(self.hits), -1)
         new[keep] = np.arange(len(keep))
         self.known = {p: j for p, i in self.known.items() if (j := int(new[i])) >= 0}
