@@ -20,6 +20,9 @@ _own_dir: list[str] = []
 BATCH_BYTES = 16 << 20
 CHUNK_BYTES = 4_000_000
 
+#: Spark's setting that deletes a query's shuffle files when the query ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where it is unset (tests)."""
@@ -38,8 +41,12 @@ def scratch(spark: SparkSession, label: str) -> str:
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark, path = df.sparkSession, scratch(df.sparkSession, label)
-    schema = df.schema
-    df.write.option("compression", "zstd").parquet(path)
+    schema, before = df.schema, spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")  # the table is written: no later plan reads its shuffles
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     out = spark.read.schema(schema).parquet(path)
     out._scratch = path
     return out
