@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, lm, packing, pii, quality, rules, sstable, substring, warc
+from . import decontaminate, gnat, jaccard, lm, packing, pii, quality, rules, sstable, substring, warc
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -59,13 +59,17 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, _read(spark, sf_dir, "labels"))).drop("th")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gnat.mine(_read(spark, sf_dir, "embeddings")).drop("ath")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_pii, op3_warc, op4_packing, op5_lm_scoring, op6_quality_rules, op7_jaccard_join, op8_token_shards, op9_decontamination, op10_quality_classifier, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_pii, op3_warc, op4_packing, op5_lm_scoring, op6_quality_rules, op7_jaccard_join, op8_token_shards, op9_decontamination, op10_quality_classifier, op11_hard_negatives, pipeline)}
 
 _WORDS = r"""select doc_id, coalesce(text, '') as t,
     list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents"""
@@ -119,4 +123,12 @@ links as (select x, y from pairs join n p on p.doc_id = x join n q on q.doc_id =
 reach as (select x, y from links union select r.x, l.y from reach r join links l on r.y = l.x)
 select w.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, least(w.doc_id, coalesce(r.m, w.doc_id)) as component_id
 from w left join n using (doc_id) left join (select x, min(y) as m from reach group by x) r on r.x = w.doc_id""",
+    "op11_hard_negatives": """
+with r as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+           from embeddings where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)),
+s as (select a.vec_id as a, b.vec_id as b, a.label = b.label as same, cast(list_dot_product(a.v, b.v) as bigint) as s from r a join r b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+pos as (select a, b, s from (select *, row_number() over (partition by a order by s desc, b) as k from s where same) where k <= 5),
+neg as (select p.a, p.b, p.s, n.b as nb, n.s as ns, row_number() over (partition by p.a, p.b order by n.s desc, n.b) as k
+        from pos p join s n on n.a = p.a and not n.same and 80 * p.s <= 100 * n.s and 100 * n.s <= 100 * p.s)
+select a as anchor_id, b as positive_id, cast(k as int) as rank, nb as negative_id, s as positive_score, ns as negative_score from neg where k <= 5""",
 }
