@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, gnat, jaccard, lm, packing, pii, quality, rules, sstable, substring, warc
+from . import decontaminate, gnat, jaccard, lm, packing, pii, quality, rules, spelling, sstable, substring, warc
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -63,13 +63,17 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gnat.mine(_read(spark, sf_dir, "embeddings")).drop("ath")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_pii, op3_warc, op4_packing, op5_lm_scoring, op6_quality_rules, op7_jaccard_join, op8_token_shards, op9_decontamination, op10_quality_classifier, op11_hard_negatives, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_pii, op3_warc, op4_packing, op5_lm_scoring, op6_quality_rules, op7_jaccard_join, op8_token_shards, op9_decontamination, op10_quality_classifier, op11_hard_negatives, op12_spelling_variants, pipeline)}
 
 _WORDS = r"""select doc_id, coalesce(text, '') as t,
     list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents"""
@@ -131,4 +135,17 @@ pos as (select a, b, s from (select *, row_number() over (partition by a order b
 neg as (select p.a, p.b, p.s, n.b as nb, n.s as ns, row_number() over (partition by p.a, p.b order by n.s desc, n.b) as k
         from pos p join s n on n.a = p.a and not n.same and 80 * p.s <= 100 * n.s and 100 * n.s <= 100 * p.s)
 select a as anchor_id, b as positive_id, cast(k as int) as rank, nb as negative_id, s as positive_score, ns as negative_score from neg where k <= 5""",
+    "op12_spelling_variants": r"""
+with recursive t as (select list_transform(range(0, 256), lambda i: list_reduce(range(0, 8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i)) as t),
+runs as (select doc_id, w, count(*) as n from (select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) as w from documents) where length(w) >= 5 group by all),
+hashed as (select w, n, xor(list_reduce(list_transform(range(0, strlen(x)), lambda i: cast('0x' || substr(hex(x), cast(2 * i + 1 as bigint), 2) as bigint)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) as h
+           from (select w, n, coalesce(cast(doc_id as varchar), '') || ':' || w as x from runs), t),
+words as (select w, cast(sum(n) as bigint) as n from (select case when h % 97 = 0 then substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) else w end as w, n from hashed) where length(w) >= 5 group by w having sum(n) >= 3),
+less as (select w, n, i, substr(w, 1, i - 1) || substr(w, i + 1) as r from (select w, n, unnest(range(1, length(w) + 1)) as i from words)),
+near as (select a.w, b.w as x, b.n as k from less a join less b on a.i = b.i and a.r = b.r and a.w <> b.w
+   union select a.w, b.w, b.n from less a join words b on a.r = b.w union select b.w, a.w, a.n from less a join words b on a.r = b.w),
+best as (select w, count(*) as n_near, max(k) as k, arg_min(x, struct_pack(a := -k, b := x)) as x from near group by w),
+f as (select words.w, words.n, coalesce(n_near, 0) as n_near, case when k >= 2 * words.n then x end as form, case when k >= 2 * words.n then k end as form_n from words left join best using (w)),
+chain as (select w, w as at from f union all select c.w, f.form from chain c join f on f.w = c.at where f.form is not null)
+select f.w as word, f.form, c.at as root, f.n, f.n_near, f.form_n from f join chain c on c.w = f.w join f g on g.w = c.at and g.form is null""",
 }
