@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, gnat, jaccard, lm, packing, pii, quality, rules, spelling, sstable, substring, warc
+from . import decontaminate, gnat, grouping, jaccard, lm, packing, pii, quality, rules, spelling, sstable, substring, warc
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -67,13 +68,17 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(_read(spark, sf_dir, "documents"))
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grouping.pack(_read(spark, sf_dir, "documents"), WORD_TOKENIZER)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_pii, op3_warc, op4_packing, op5_lm_scoring, op6_quality_rules, op7_jaccard_join, op8_token_shards, op9_decontamination, op10_quality_classifier, op11_hard_negatives, op12_spelling_variants, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_pii, op3_warc, op4_packing, op5_lm_scoring, op6_quality_rules, op7_jaccard_join, op8_token_shards, op9_decontamination, op10_quality_classifier, op11_hard_negatives, op12_spelling_variants, op13_best_fit_packing, pipeline)}
 
 _WORDS = r"""select doc_id, coalesce(text, '') as t,
     list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents"""

@@ -10,6 +10,8 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 
+from .common import word_codes
+
 _TWO = re.compile(r"\s\s")
 _SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
 #: A piece stands for a space and itself, unless it begins with the start of a text or of a line.
@@ -160,3 +162,88 @@ def encoder(path: str) -> Encoder:
 
 def crc(ids: np.ndarray) -> int:
     return zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes())
+
+
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
+
+
+class WordEncoder(Encoder):
+    """As Encoder, for BPE whose words end at white space and whose tokenizer drops it and lowers case.
+
+    A text is cut at ASCII white space. Letters of Latin-1 that stops follow are two words of their own in any such text,
+    and their lower case is letter by letter, so pieces that differ in case or stops share their ids. Many words of such
+    letters are encoded in one text and their ids dealt back by the ids that end a word."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(path)
+        vocab = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        for token, i in vocab.items():
+            self.ends[i] = token.endswith("</w>")
+        self.marks = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
+        self.forget()
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, _ = self._library([" ".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)])
+        return ids, np.diff(np.r_[0, np.flatnonzero(self.ends[ids]) + 1])
+
+    def _learn(self, pieces: list[str]) -> None:
+        plain, others = [], []
+        for p in pieces:
+            m = _PLAIN.fullmatch(p)
+            (plain if m and not m[2] else others).append(p)
+        for group, (ids, lens) in ((plain, self._joined(plain)), (others, self._library(others))):
+            n = len(self.known)
+            self.known.update(zip(group, range(n, n + len(group))))
+            self.flat = np.concatenate([self.flat, ids])
+            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lens)])
+            self.hits = np.concatenate([self.hits, np.zeros(len(group), np.int32)])
+
+    def _look(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        known = self.known
+        first = np.fromiter(map(known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        second = np.full(len(pieces), -1)
+        at = np.flatnonzero(first < 0).tolist()
+        if at:
+            split = [(m[1].lower(), m[2]) if (m := _PLAIN.fullmatch(pieces[i])) else (pieces[i], "") for i in at]
+            fresh = [x for x in dict.fromkeys(x for pair in split for x in pair if x) if x not in known]
+            if len(known) + len(fresh) > CACHE and known:
+                self._trim()
+                return self._look(pieces)
+            self._learn(fresh)
+            first[at] = [known[x] for x, _ in split]
+            second[at] = [known[y] if y else -1 for _, y in split]
+        self.hits[first] += 1
+        self.hits[second[second >= 0]] += 1
+        return first, second
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        whole = [i for i, t in enumerate(texts) if any(m in t for m in self.marks)]
+        skip = set(whole)
+        codes, number, uniq = word_codes([b"" if i in skip else t.lower() if t.isascii() else t for i, t in enumerate(texts)])
+        first, second = self._look([w.decode("utf-8") for w in uniq])
+        size = np.diff(self.start)
+        la, lb = size[first], np.where(second < 0, 0, size[second])
+        table = self.flat[_slices(np.ravel(np.c_[self.start[first], self.start[second]]), np.ravel(np.c_[la, lb]))]
+        size = la + lb
+        lens = size[codes]
+        ids = table[_slices((np.cumsum(size) - size)[codes], lens)]
+        each = np.diff(np.r_[0, np.cumsum(lens)][np.r_[0, np.cumsum(number)]])
+        if not whole:
+            return ids, each
+        ids_w, lens_w = self._library([texts[i].decode("utf-8") for i in whole])
+        at = np.repeat((np.cumsum(each) - each)[whole], lens_w)
+        each[whole] = lens_w
+        return np.insert(ids, at, ids_w), each
+
+
+_word_encoders: dict[str, WordEncoder] = {}
+
+
+def word_encoder(path: str) -> WordEncoder:
+    if path not in _word_encoders:
+        _word_encoders[path] = WordEncoder(path)
+    return _word_encoders[path]
