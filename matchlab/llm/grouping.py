@@ -28,6 +28,8 @@ from .tokens import crc, word_encoder
 #: Sizes that the large pieces are rounded to; tokens that the linear program counts as one.
 GROUPS = 32
 UNIT = 8
+#: Bytes of text encoded at once: words that a chunk repeats are looked up once.
+CHUNK_BYTES = 8_000_000
 #: Parts of a sequence up to which pieces may count as small.
 SMALL = (8, 3, 2)
 
@@ -143,7 +145,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, ids: boo
 
     def cut(batches):
         enc = word_encoder(tokenizer)
-        for b, texts in text_chunks(batches):
+        for b, texts in text_chunks(batches, CHUNK_BYTES):
             flat, lens = enc.encode(texts)
             ends, rows = np.cumsum(lens), []
             for doc, th, e, k in zip(column(b, "doc_id").to_pylist(), column(b, "th").to_pylist(), ends, lens):
