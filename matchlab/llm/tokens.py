@@ -10,8 +10,6 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 
-from .common import word_codes
-
 _TWO = re.compile(r"\s\s")
 _SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
 #: A piece stands for a space and itself, unless it begins with the start of a text or of a line.
@@ -164,19 +162,22 @@ def crc(ids: np.ndarray) -> int:
     return zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes())
 
 
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
+_STOP_RUN = r"([!-/:-@\[-`{-~]*)"
+_ASCII_WORD = re.compile(b"([A-Za-z]+)" + _STOP_RUN.encode())
+_LATIN_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)" + _STOP_RUN)
 
 
 class WordEncoder(Encoder):
     """As Encoder, for BPE whose words end at white space and whose tokenizer drops it and lowers case.
 
-    A text is cut at ASCII white space. Letters of Latin-1 that stops follow are two words of their own in any such text,
-    and their lower case is letter by letter, so pieces that differ in case or stops share their ids. Many words of such
-    letters are encoded in one text and their ids dealt back by the ids that end a word."""
+    A text is cut at ASCII white space, and the ids of every piece are kept. A piece of Latin-1 letters and ASCII
+    punctuation behind them is two words of their own in any text, and its lower case is letter by letter, so pieces
+    that differ in case or punctuation need one encoding of the letters. Many words of letters are encoded in one text,
+    without the steps that leave them as they are, and their ids dealt back by the ids that end a word."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
         vocab = self.tok.get_vocab()
@@ -184,53 +185,70 @@ class WordEncoder(Encoder):
         for token, i in vocab.items():
             self.ends[i] = token.endswith("</w>")
         self.marks = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
+        self.plain = Tokenizer(self.tok.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.forget()
 
-    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids, _ = self._library([" ".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)])
-        return ids, np.diff(np.r_[0, np.flatnonzero(self.ends[ids]) + 1])
-
-    def _learn(self, pieces: list[str]) -> None:
-        plain, others = [], []
-        for p in pieces:
-            m = _PLAIN.fullmatch(p)
-            (plain if m and not m[2] else others).append(p)
-        for group, (ids, lens) in ((plain, self._joined(plain)), (others, self._library(others))):
-            n = len(self.known)
-            self.known.update(zip(group, range(n, n + len(group))))
-            self.flat = np.concatenate([self.flat, ids])
-            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lens)])
-            self.hits = np.concatenate([self.hits, np.zeros(len(group), np.int32)])
+    def _add(self, pieces: list[bytes], ids: np.ndarray, lens: np.ndarray) -> None:
+        n = len(self.known)
+        self.known.update(zip(pieces, range(n, n + len(pieces))))
+        self.flat = np.concatenate([self.flat, ids])
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lens)])
+        self.hits = np.concatenate([self.hits, np.zeros(len(pieces), np.int32)])
 
-    def _look(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _learn(self, pieces: list[bytes]) -> None:
         known = self.known
-        first = np.fromiter(map(known.get, pieces, repeat(-1)), np.int64, len(pieces))
-        second = np.full(len(pieces), -1)
-        at = np.flatnonzero(first < 0).tolist()
-        if at:
-            split = [(m[1].lower(), m[2]) if (m := _PLAIN.fullmatch(pieces[i])) else (pieces[i], "") for i in at]
-            fresh = [x for x in dict.fromkeys(x for pair in split for x in pair if x) if x not in known]
-            if len(known) + len(fresh) > CACHE and known:
-                self._trim()
-                return self._look(pieces)
-            self._learn(fresh)
-            first[at] = [known[x] for x, _ in split]
-            second[at] = [known[y] if y else -1 for _, y in split]
-        self.hits[first] += 1
-        self.hits[second[second >= 0]] += 1
-        return first, second
+        words: dict[bytes, None] = {}
+        others: dict[bytes, None] = {}
+        made: list[tuple[bytes, bytes, bytes]] = []  # piece, letters, what stands behind them
+        for p in pieces:
+            if m := _ASCII_WORD.fullmatch(p):
+                stem, tail = m[1].lower(), m[2]
+            elif m := None if p.isascii() else _LATIN_WORD.fullmatch(p.decode("utf-8")):
+                stem, tail = m[1].lower().encode(), m[2].encode()
+            else:
+                others[p] = None
+                continue
+            if stem not in known:
+                words[stem] = None
+            if tail and tail not in known:
+                others[tail] = None
+            if p != stem:
+                made.append((p, stem, tail))
+        fresh = list(words)
+        texts = [b" ".join(fresh[i : i + JOINED]).decode("utf-8") for i in range(0, len(fresh), JOINED)]
+        ids = [np.array(e.ids, np.uint32) for e in self.plain.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.concatenate(ids) if ids else np.empty(0, np.uint32)
+        self._add(fresh, ids, np.diff(np.r_[0, np.flatnonzero(self.ends[ids]) + 1]))
+        self._add(list(others), *self._library([p.decode("utf-8") for p in others]))
+        if made:
+            first = np.fromiter((known[s] for _, s, _ in made), np.int64, len(made))
+            second = np.fromiter((known[t] if t else -1 for _, _, t in made), np.int64, len(made))
+            la, lb = np.diff(self.start)[first], np.where(second < 0, 0, np.diff(self.start)[second])
+            self._add([p for p, _, _ in made], self.flat[_slices(np.ravel(np.c_[self.start[first], self.start[second]]), np.ravel(np.c_[la, lb]))], la + lb)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         whole = [i for i, t in enumerate(texts) if any(m in t for m in self.marks)]
         skip = set(whole)
-        codes, number, uniq = word_codes([b"" if i in skip else t.lower() if t.isascii() else t for i, t in enumerate(texts)])
-        first, second = self._look([w.decode("utf-8") for w in uniq])
+        words: list[bytes] = []
+        number = np.zeros(len(texts), np.int64)
+        for i, t in enumerate(texts):
+            if i not in skip:
+                w = (t.lower() if t.isascii() else t).split()
+                number[i] = len(w)
+                words += w
+        if len(self.known) > CACHE:
+            self._trim()
+        codes = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(codes < 0)
+        if len(new):
+            missing = [words[i] for i in new.tolist()]
+            self._learn(list(dict.fromkeys(missing)))
+            codes[new] = np.fromiter(map(self.known.__getitem__, missing), np.int64, len(missing))
+        self.hits[np.bincount(codes, minlength=len(self.hits)) > 0] += 1
         size = np.diff(self.start)
-        la, lb = size[first], np.where(second < 0, 0, size[second])
-        table = self.flat[_slices(np.ravel(np.c_[self.start[first], self.start[second]]), np.ravel(np.c_[la, lb]))]
-        size = la + lb
         lens = size[codes]
-        ids = table[_slices((np.cumsum(size) - size)[codes], lens)]
+        ids = self.flat[_slices(self.start[codes], lens)]
         each = np.diff(np.r_[0, np.cumsum(lens)][np.r_[0, np.cumsum(number)]])
         if not whole:
             return ids, each
