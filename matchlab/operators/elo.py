@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import K_BASE, K_SETS, START_RATING
 from ..sources.tables import staged
+from .history import segment_of
 
 RATED = "set_id long, p1_elo double, p2_elo double, p1_expected double, p1_post double, p2_post double, p1_played long, p2_played long"
 _COLUMNS = ["set_id", "completed_at", "player1_id", "player2_id", "winner_player_id"]
@@ -78,22 +79,16 @@ def _parts(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf.assign(part=[root(p) for p in pdf["player1_id"]])
 
 
-def _slice_of(sets: DataFrame, most: int):
-    """Number of the slice by time, of about `most` sets each."""
-    n = -(-sets.count() // most)
-    cuts = sets.agg(F.percentile_approx("completed_at", [i / n for i in range(1, n)], 10_000)).first()[0] if n > 1 else []
-    return F.size(F.filter(F.array(*map(F.lit, sorted(set(cuts)))), lambda x: x <= F.col("completed_at"))).cast("long") if cuts else F.lit(0).cast("long")
-
-
-def elo_ratings_sliced(sets: DataFrame, seconds: int = 3600, every: int = 24, most: int | None = None) -> DataFrame:
+def elo_ratings_sliced(sets: DataFrame, seconds: int = 3600, every: int = 24, most: int | None = None, state: DataFrame | None = None) -> DataFrame:
     """As elo_ratings without pools, for a pool beyond one task. Slices are `seconds` long or, with `most`, cut at
     quantiles of time so that each has about that many sets. Jobs grow with the number of slices, parallelism with
-    the parts of a slice; the carried state is written to the shared folder every `every` slices."""
+    the parts of a slice; the carried state is written to the shared folder every `every` slices. state: player_id,
+    rating, played to start from."""
     if most:
         sets = staged(sets.select(*_COLUMNS), "elo-sets")
-    rows = sets.select(*_COLUMNS, (_slice_of(sets, most) if most else F.floor(F.col("completed_at") / seconds)).alias("slice"))
+    rows = sets.select(*_COLUMNS, (segment_of(sets, most) if most else F.floor(F.col("completed_at") / seconds)).alias("slice"))
     cut = staged(rows.groupBy("slice").applyInPandas(_parts, rows.schema.simpleString()[7:-1].replace(":", " ") + ", part bigint"), "elo-slices")
-    state, out = None, []
+    out = []
     order = cut.select("slice").distinct().orderBy("slice").collect()  # one row per slice
     for i, r in enumerate(order):
         mine = cut.filter(F.col("slice") == r["slice"])
@@ -101,7 +96,7 @@ def elo_ratings_sliced(sets: DataFrame, seconds: int = 3600, every: int = 24, mo
             rated = staged(elo_ratings(mine, pool="part"), "elo-rated")
         else:
             who = mine.select("part", F.explode(F.array("player1_id", "player2_id")).alias("player_id")).distinct()
-            rated = staged(elo_ratings(mine, pool="part", state=who.join(state, "player_id")), "elo-rated")
+            rated = staged(elo_ratings(mine, pool="part", state=who.join(state.select("player_id", "rating", "played"), "player_id")), "elo-rated")
         out.append(rated)
         if i + 1 == len(order):
             break
@@ -114,6 +109,6 @@ def elo_ratings_sliced(sets: DataFrame, seconds: int = 3600, every: int = 24, mo
     return total
 
 
-def elo_ratings_bounded(sets: DataFrame, most: int = 500_000) -> DataFrame:
+def elo_ratings_bounded(sets: DataFrame, most: int = 500_000, state: DataFrame | None = None) -> DataFrame:
     """As elo_ratings without pools; no task holds more than about `most` sets, but of sets of one second."""
-    return elo_ratings_sliced(sets, most=most)
+    return elo_ratings_sliced(sets, most=most, state=state)

@@ -27,14 +27,24 @@ def correct() -> Column:
     return ((F.col("prob") >= 0.5).cast("int") == F.col("p1_won")).cast("int")
 
 
-def percentiles(df: DataFrame, column: str, shares: list[float], parts: int = 4096) -> DataFrame:
+def _borders(per: DataFrame, column: str, parts: int) -> DataFrame:
+    """One row, array borders: a column of distinct values cut into parts of about equal number, whatever the values."""
+    return per.agg(F.array_distinct(F.coalesce(F.percentile_approx(column, [i / parts for i in range(1, parts)], 1000), F.array().cast("array<double>"))).alias("borders"))
+
+
+def _range(column: str) -> Column:
+    return F.size(F.filter("borders", lambda b: b <= F.col(column)))
+
+
+def percentiles(df: DataFrame, column: str, shares: list[float], parts: int = 64) -> DataFrame:
     """One row, array q: exact percentiles, between two values on the line that joins them. Rows are counted per value and
-    counts summed over ranges, then within them, so no task holds all values. No rows give a null."""
+    counts summed over ranges, then within them, so no task holds all values; ranges hold like numbers of distinct values,
+    so neither far values nor frequent ones fill a range. No rows give a null."""
     x = df.select(F.col(column).cast("double").alias("x")).filter("x is not null")
     per = x.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
-    ends = per.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("n").alias("total"))  # one row
-    per = per.crossJoin(F.broadcast(ends)).withColumn("range", F.floor(F.coalesce(F.try_divide(F.col("x") - F.col("lo"), F.col("hi") - F.col("lo")), F.lit(0.0)) * parts))
-    tops = per.groupBy("range").agg(F.sum("n").alias("n")).select("range", F.coalesce(F.sum("n").over(W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("base"))  # at most parts + 1 rows
+    ends = per.agg(F.sum("n").alias("total")).crossJoin(F.broadcast(_borders(per, "x", parts)))  # two single rows
+    per = per.crossJoin(F.broadcast(ends)).withColumn("range", _range("x"))
+    tops = per.groupBy("range").agg(F.sum("n").alias("n")).select("range", F.coalesce(F.sum("n").over(W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("base"))  # at most `parts` rows
     inner = F.coalesce(F.sum("n").over(W.partitionBy("range").orderBy("x").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     rows = per.withColumn("inner", inner).join(F.broadcast(tops), "range").withColumn("before", F.col("base") + F.col("inner"))
     place = lambda s: F.lit(float(s)) * (F.col("total") - 1)
@@ -45,14 +55,16 @@ def percentiles(df: DataFrame, column: str, shares: list[float], parts: int = 40
     return one.select(F.when(F.col("total").isNotNull(), F.array(*(value(i, s) for i, s in enumerate(shares)))).alias("q"))
 
 
-def auc(pred: DataFrame) -> DataFrame:
-    """Exact area under the ROC curve, ties half: one row per probability, negatives counted below it. The running sum
-    goes over ranges of probabilities, then within them, so no task holds all of them."""
-    per = pred.groupBy("prob").agg(F.sum("p1_won").alias("pos"), F.sum(1 - F.col("p1_won")).alias("neg")).withColumn("range", F.floor(F.col("prob") * 4096))
-    tops = per.groupBy("range").agg(F.sum("neg").alias("n")).select("range", F.coalesce(F.sum("n").over(W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("base"))  # at most 4097 rows
-    inner = F.coalesce(F.sum("neg").over(W.partitionBy("range").orderBy("prob").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    below = per.withColumn("inner", inner).join(F.broadcast(tops), "range").withColumn("below", F.col("base") + F.col("inner"))
-    return below.agg(F.try_divide(F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2)).cast("double"), (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc"))
+def auc(pred: DataFrame, by: list[str] = (), parts: int = 64) -> DataFrame:
+    """Exact area under the ROC curve (of each group of `by`), ties half: one row per probability, negatives counted below
+    it. The running sum goes over ranges of probabilities, then within them, so no task holds all of them."""
+    per = pred.groupBy(*by, "prob").agg(F.sum("p1_won").alias("pos"), F.sum(1 - F.col("p1_won")).alias("neg"))
+    per = per.crossJoin(F.broadcast(_borders(per, "prob", parts))).withColumn("range", _range("prob"))  # one row
+    tops = per.groupBy(*by, "range").agg(F.sum("neg").alias("n")).select(*by, "range", F.coalesce(F.sum("n").over(W.partitionBy(*by).orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("base"))  # at most `parts` rows a group
+    inner = F.coalesce(F.sum("neg").over(W.partitionBy(*by, "range").orderBy("prob").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    below = per.withColumn("inner", inner).join(tops if by else F.broadcast(tops), [*by, "range"]).withColumn("below", F.col("base") + F.col("inner"))
+    area = F.try_divide(F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2)).cast("double"), (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc")
+    return below.groupBy(*by).agg(area) if by else below.agg(area)
 
 
 def metrics(pred: DataFrame) -> DataFrame:

@@ -98,20 +98,44 @@ def tournaments_table(nodes: DataFrame) -> DataFrame:
     return nodes.select("id", "name", "slug", F.col("numAttendees").alias("num_attendees"), F.col("startAt").alias("start_at"), F.col("endAt").alias("end_at"), "city", F.col("addrState").alias("state"), F.col("countryCode").alias("country_code"), F.col("isOnline").alias("is_online"))
 
 
+def broken_tournaments(nodes: DataFrame, events: DataFrame, sets: DataFrame) -> DataFrame:
+    """(tournament_id, reason): tournaments of which some node lacks what its table requires. nodes: eligible tournament
+    nodes; events: their exploded events; sets: parsed set nodes with tournament_id."""
+    found = [nodes.filter(F.col("name").isNull()).select(F.col("id").alias("tournament_id"), F.lit("tournament without a name").alias("reason"))]
+    for missing in ("id", "name"):
+        found.append(events.filter(F.col(missing).isNull()).select("tournament_id", F.lit(f"event without {'an id' if missing == 'id' else 'a name'}")))
+    valid = valid_sets(sets)
+    found.append(valid.filter(F.col("id").isNull()).select("tournament_id", F.lit("set without an id")))
+    games = valid.select("tournament_id", F.explode("games").alias("g")).filter(F.col("g.id").isNotNull() & (F.col("g.id") != 0))
+    found.append(games.filter(F.col("g.orderNum").isNull()).select("tournament_id", F.lit("game without a number")))
+    out = found[0]
+    for df in found[1:]:
+        out = out.union(df)
+    return out.distinct()
+
+
 def ingest(raw_tournaments: DataFrame, raw_sets: DataFrame, target: dict[str, DataFrame] | None = None, min_attendees: int = 50, game_id: int = 1) -> dict[str, DataFrame]:
-    """The five tables after the batch, and _rejects: raw lines that did not parse. Events already stored are skipped."""
+    """The five tables after the batch, and _rejects (kind, tournament_id, reason, line): raw lines that did not parse, and
+    tournaments left out whole because one of their nodes breaks a rule; the others go through. Events already stored
+    are skipped."""
     target = target or {}
     ok = raw_tournaments.filter("_corrupt is null") if "_corrupt" in raw_tournaments.columns else raw_tournaments
     nodes = eligible_tournaments(ok, min_attendees)
     events = explode_events(nodes, game_id)
     if "sets" in target:
-        events = new_events(events, target["sets"])
+        events = events.filter("id is null").unionByName(new_events(events.filter("id is not null"), target["sets"]))
     good = raw_sets.filter("_corrupt is null") if "_corrupt" in raw_sets.columns else raw_sets
-    mine = parse_slots(good.join(events.select(F.col("id").alias("eventId")), "eventId", "left_semi"))
+    mine = parse_slots(good.join(events.select(F.col("id").alias("eventId"), "tournament_id").dropDuplicates(["eventId"]), "eventId"))
+    broken = broken_tournaments(nodes, events, mine)
+    lost = broken.select("tournament_id").distinct()
+    nodes = nodes.join(lost.withColumnRenamed("tournament_id", "id"), "id", "left_anti")
+    events, mine = events.join(lost, "tournament_id", "left_anti"), mine.join(lost, "tournament_id", "left_anti")
+    events = events.select("id", "tournament_id", "name", "slug", "num_entrants")
     batch = {"tournaments": tournaments_table(nodes), "events": events, "players": parse_players(mine), "sets": parse_sets(mine), "games": parse_games(mine)}
     version = {"tournaments": ["end_at"], "events": ["num_entrants"], "players": ["gamer_tag"], "sets": ["completed_at"], "games": ["game_number"]}
     out = {name: upsert_table(name, target.get(name), df, version[name]) for name, df in batch.items()}
-    bad = [df.filter("_corrupt is not null").select(F.lit(kind).alias("kind"), F.col("_corrupt").alias("line")) for kind, df in (("tournaments", raw_tournaments), ("sets", raw_sets)) if "_corrupt" in df.columns]
-    if bad:
-        out["_rejects"] = bad[0] if len(bad) == 1 else bad[0].unionByName(bad[1])
-    return out
+    rejects = broken.select(F.lit("tournament").alias("kind"), "tournament_id", "reason", F.lit(None).cast("string").alias("line"))
+    for kind, df in (("tournaments", raw_tournaments), ("sets", raw_sets)):
+        if "_corrupt" in df.columns:
+            rejects = rejects.unionByName(df.filter("_corrupt is not null").select(F.lit(kind).alias("kind"), F.lit(None).cast("long").alias("tournament_id"), F.lit("line that does not parse").alias("reason"), F.col("_corrupt").alias("line")))
+    return out | {"_rejects": rejects}

@@ -50,7 +50,7 @@ def feature_rules() -> list[Rule]:
     required = "set_id event_id tournament_id tournament_name completed_at player1_id player2_id p1_elo p2_elo elo_diff p1_expected p1_sets_played p2_sets_played p1_recent_wr p2_recent_wr recent_wr_diff p1_h2h_wins p2_h2h_wins p1_h2h_wr h2h_total p1_seed p2_seed seed_diff num_attendees p1_won".split()
     return [
         *map(not_null, required), unique("set_id"), gt("completed_at", 0), gt("p1_elo", 0), gt("p2_elo", 0), between("p1_expected", 0, 1), ge("p1_sets_played", 0), ge("p2_sets_played", 0), between("p1_recent_wr", 0, 1),
-        between("p2_recent_wr", 0, 1), between("recent_wr_diff", -1, 1), ge("p1_h2h_wins", 0), ge("p2_h2h_wins", 0), between("p1_h2h_wr", 0, 1), ge("h2h_total", 0), ge("p1_seed", 1), ge("p2_seed", 1), ge("num_attendees", 0),
+        between("p2_recent_wr", 0, 1), between("recent_wr_diff", -1, 1), ge("p1_h2h_wins", 0), ge("p2_h2h_wins", 0), between("p1_h2h_wr", 0, 1), ge("h2h_total", 0), gt("num_attendees", 0),
         isin("p1_won", [0, 1]), expr("two players", "player1_id <> player2_id"), expr("h2h total is the sum", "h2h_total = p1_h2h_wins + p2_h2h_wins"), expr("seed difference", "seed_diff = p1_seed - p2_seed"),
     ]
 

@@ -67,6 +67,15 @@ def matchup_features(pairs: DataFrame, snapshot: DataFrame, h2h: DataFrame, atte
     })
 
 
+def store_lookups(snapshot: DataFrame, h2h: DataFrame, name: str, path: str, buckets: int = 16) -> tuple[DataFrame, DataFrame]:
+    """Store snapshot and records as tables bucketed and sorted by player and by pair, and read them back: match-ups join
+    them without moving the stored side, however often they are asked."""
+    spark = snapshot.sparkSession
+    for part, df, keys in (("players", snapshot, ["player_id"]), ("pairs", h2h, ["player_a", "player_b"])):
+        df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).mode("overwrite").option("path", f"{path}/{part}").saveAsTable(f"{name}_{part}")
+    return spark.table(f"{name}_players"), spark.table(f"{name}_pairs")
+
+
 def predict_matchups(model, pairs: DataFrame, snapshot: DataFrame, h2h: DataFrame, attendees: int = 200) -> DataFrame:
     """favourites() of each pair by a fitted model's chance that player 1 wins."""
     from .modeling import score

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import date_to_epoch
 from ..operators import elo, evaluation, explain, export, history, ingest, modeling, quality, reports, snapshots
-from ..sources import schemas, tables
+from ..sources import schemas, stored, tables
 from ..sources.fixture import CTES, match_tables
-from .features import build_features
+from .features import build_features, continued_features
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -124,6 +124,16 @@ def a8_upsert_onto(spark, d, t):
     return tables.upsert(first, e.filter("event_id % 3 <> 0"), keys, version, ["props"]).drop("ts")
 
 
+@_query(ORACLE_SQL["a8_upsert_onto"])
+def a8_upsert_stored(spark, d, t):
+    """The same two batches onto a stored table with versions: the later one rewrites the buckets of its keys."""
+    e = spark.read.parquet(f"{d}/events.parquet").select("user_id", "event_type", "event_id", "ts", "value", "props")
+    keys, version, path = ["user_id", "event_type"], ["ts", "event_id"], tables.scratch(spark, "stored")
+    stored.write_table(tables.upsert(None, e.filter("event_id % 3 = 0"), keys, version, ["props"]), path, keys)
+    stored.upsert_stored(path, e.filter("event_id % 3 <> 0"), version, ["props"])
+    return stored.read_table(spark, path).drop("ts")
+
+
 @_query(_sql("select 'sets' as table_name, count(*) as n from m_sets union all select 'tournaments', count(*) from m_tournaments union all select 'events', count(*) from m_events union all select 'players', count(*) from m_players union all select 'games', count(*) from m_games"))
 def a9_table_stats(spark, d, t):
     return tables.table_stats({k: t[k] for k in ("sets", "tournaments", "events", "players", "games")})
@@ -239,6 +249,33 @@ def b13_ingest_onto(spark, d, t):
     return out["sets"].select("id", "event_id", "completed_at", "winner_player_id", "full_round_text")
 
 
+_SCOPE = """scope as (select e.id, e.tournament_id, e.name from m_events e join m_tournaments t on t.id = e.tournament_id where e.id % 2 = 0 and t.num_attendees >= 200 and not t.is_online),
+valid as (select s.*, c.tournament_id from m_sets s join scope c on c.id = s.event_id where s.player1_id <> 0 and s.player2_id <> 0),
+bad as (select id as tournament_id, 'tournament without a name' as reason from m_tournaments where num_attendees >= 200 and not is_online and id % 11 = 4
+  union select tournament_id, 'event without a name' from scope where id % 26 = 2 union select tournament_id, 'set without an id' from valid where id % 700 = 3
+  union select v.tournament_id, 'game without a number' from m_games g join valid v on v.id = g.set_id where v.id % 700 <> 3 and g.id % 900 = 5),
+fine as (select * from valid where tournament_id not in (select tournament_id from bad))"""
+
+
+@_query(_sql("""select 'tournaments' as table_name, id, null::bigint as parent, name as note from m_tournaments where num_attendees >= 200 and not is_online and id not in (select tournament_id from bad)
+union all select 'events', id, tournament_id, name from scope where tournament_id not in (select tournament_id from bad)
+union all select 'sets', id, event_id, full_round_text from fine
+union all select 'games', g.id, g.set_id, player1_character_name from m_games g where set_id in (select id from fine)
+union all select 'players', id, null, gamer_tag from m_players where id in (select player1_id from fine union select player2_id from fine)
+union all select '_rejects', tournament_id, null, reason from bad""", _SCOPE))
+def b13_isolated_tournaments(spark, d, t):
+    """All rows of the five tables and the rejects, from nodes with faults planted: a tournament with one is left out whole."""
+    nodes = _nodes(t).withColumn("games", F.transform("games", lambda g: g.withField("orderNum", F.when(g["id"] % 900 == 5, F.lit(None)).otherwise(g["orderNum"])))).withColumn("id", F.when(F.col("id") % 700 == 3, F.lit(None)).otherwise(F.col("id")))
+    top = _tournament_nodes(t).withColumn("name", F.when(F.col("id") % 11 == 4, F.lit(None)).otherwise(F.col("name")))
+    top = top.withColumn("events", F.transform("events", lambda e: e.withField("name", F.when(e["id"] % 26 == 2, F.lit(None)).otherwise(e["name"]))))
+    out = ingest.ingest(tables.staged(top, "nodes"), tables.staged(nodes, "nodes"), None, 200)
+    shown = {"tournaments": (None, "name"), "events": ("tournament_id", "name"), "sets": ("event_id", "full_round_text"), "games": ("set_id", "player1_character_name"), "players": (None, "gamer_tag")}
+    rows = out["_rejects"].select(F.lit("_rejects").alias("table_name"), F.col("tournament_id").alias("id"), F.lit(None).cast("long").alias("parent"), F.col("reason").alias("note"))
+    for name, (parent, note) in shown.items():
+        rows = rows.unionByName(out[name].select(F.lit(name).alias("table_name"), "id", (F.col(parent) if parent else F.lit(None)).cast("long").alias("parent"), F.col(note).alias("note")))
+    return rows
+
+
 # ------------------------------------------------------------------ features
 
 _H = "set_id, completed_at, player1_id, player2_id, p1_sets_played, p2_sets_played, round(p1_recent_wr, 6) as p1_recent_wr, round(p2_recent_wr, 6) as p2_recent_wr, round(recent_wr_diff, 6) as recent_wr_diff, p1_h2h_wins, p2_h2h_wins, round(p1_h2h_wr, 6) as p1_h2h_wr, h2h_total, seed_diff"
@@ -255,6 +292,14 @@ def history_features(spark, d, t):
     return history.history_features(_done(t)).select("set_id", "completed_at", "player1_id", "player2_id", "p1_sets_played", "p2_sets_played", "p1_recent_wr", "p2_recent_wr", "recent_wr_diff", "p1_h2h_wins", "p2_h2h_wins", "p1_h2h_wr", "h2h_total", "seed_diff", "num_attendees", "p1_won")
 
 
+@_query(ORACLE_SQL["history_features"])
+def c5_history_by_segments(spark, d, t):
+    """The same features by a prefix scan over about 40 segments of time, at any size of the table."""
+    done = tables.staged(_done(t), "done")
+    rows = history.history_features(done, most=max(1, done.count() // 40))
+    return rows.select("set_id", "completed_at", "player1_id", "player2_id", "p1_sets_played", "p2_sets_played", "p1_recent_wr", "p2_recent_wr", "recent_wr_diff", "p1_h2h_wins", "p2_h2h_wins", "p1_h2h_wr", "h2h_total", "seed_diff", "num_attendees", "p1_won")
+
+
 @_query(_sql("select set_id, round(p1_elo, 6) as p1_elo, round(p2_elo, 6) as p2_elo, round(p1_elo - p2_elo, 6) as elo_diff, round(p1_expected, 6) as p1_expected from elo", _ELO))
 def c3_elo_ratings(spark, d, t):
     r = elo.elo_ratings_bounded(_done(t))
@@ -266,6 +311,15 @@ def c11_features(spark, d, t):
     return _features(t)
 
 
+@_query(ORACLE_SQL["c11_features"])
+def c12_continued_features(spark, d, t):
+    """The feature table in two batches: the later half of the sets goes on from the state stored after the earlier one."""
+    path, sets = tables.scratch(spark, "state"), t["sets"]
+    cut = int(modeling.time_cut(sets, 0.5) or 0)
+    first = continued_features(t | {"sets": sets.filter(F.col("completed_at") < cut)}, path)
+    return first.unionByName(continued_features(t | {"sets": sets.filter(F.col("completed_at") >= cut)}, path))
+
+
 # ------------------------------------------------------------------ quality
 
 
@@ -283,7 +337,7 @@ def d7_feature_table(spark, d, t):
     return quality.validate(_features(t), quality.feature_rules())
 
 
-_PLANTED = {"p1_elo > 0": ("p1_elo", "-p1_elo", 50), "p1_won in [0, 1]": ("p1_won", "2", 70), "two players": ("player2_id", "player1_id", 90), "tournament_name is not null": ("tournament_name", "null", 40), "p1_recent_wr in [0, 1]": ("p1_recent_wr", "1.5", 30)}
+_PLANTED = {"p1_elo > 0": ("p1_elo", "-p1_elo", 50), "p1_won in [0, 1]": ("p1_won", "2", 70), "two players": ("player2_id", "player1_id", 90), "tournament_name is not null": ("tournament_name", "null", 40), "p1_recent_wr in [0, 1]": ("p1_recent_wr", "1.5", 30), "num_attendees > 0": ("num_attendees", "0", 80)}
 
 
 @_query(_sql("select * from (" + " union all ".join(f"select '{rule}' as rule, cast(coalesce(sum(case when set_id % 110 = 0 then 2 else 1 end) filter (set_id % {k} = 0), 0) as bigint) as violations from done" for rule, (_, _, k) in _PLANTED.items())
@@ -437,6 +491,14 @@ def g8_matchup_features(spark, d, t):
     return rows.select("player1_id", "player2_id", *modeling.CORE)
 
 
+@_query(ORACLE_SQL["g8_matchup_features"])
+def g8_stored_lookups(spark, d, t):
+    """The same match-ups from snapshot and records stored by bucket of player and of pair."""
+    path = tables.scratch(spark, "lookups")
+    players, pairs = snapshots.store_lookups(snapshots.player_snapshot(_features(t)), snapshots.h2h_records(t["sets"]), "lookups_" + path[-12:], path)
+    return snapshots.matchup_features(_pairs(t), players, pairs).select("player1_id", "player2_id", *modeling.CORE)
+
+
 @_query(_sql("select player1_id, player2_id, round(p1_expected, 6) as p1_win, round(1 - p1_expected, 6) as p2_win, case when p1_expected > 1 - p1_expected then player1_id else player2_id end as favourite, case when p1_expected > 1 - p1_expected then player2_id else player1_id end as underdog from mf", _ELO, _TOTALS, _ASK, _MATCH))
 def g9_favourites(spark, d, t):
     rows = snapshots.matchup_features(_pairs(t), snapshots.player_snapshot(_features(t)), snapshots.h2h_records(t["sets"]))
@@ -609,6 +671,11 @@ def _cut(df: DataFrame) -> int:
     return int(modeling.time_cut(df, 0.8))
 
 
+def _training(f: DataFrame) -> DataFrame:
+    """Active rows before the split, which the exported model is fitted on."""
+    return evaluation.temporal_split(evaluation.active_rows(f), _cut(f))[0]
+
+
 @_query()
 def e12_compare_models(spark, d, t):
     f = tables.staged(_features(t), "features")
@@ -642,22 +709,22 @@ def e17_explain(spark, d, t):
 def g11_explain_matchup(spark, d, t):
     f = tables.staged(_features(t), "features")
     rows = snapshots.matchup_features(_pairs(t), snapshots.player_snapshot(f), snapshots.h2h_records(t["sets"]))
-    return explain.explain_matchup(explain.explain(modeling.train_logistic(f), rows, ["player1_id", "player2_id"]), ["player1_id", "player2_id"])
+    return explain.explain_matchup(explain.explain(modeling.train_boosted(_training(f)), rows, ["player1_id", "player2_id"]), ["player1_id", "player2_id"])
 
 
 @_query()
 def f5_importance_report(spark, d, t):
     f = tables.staged(_features(t), "features")
-    return evaluation.importance_report(modeling.importances(modeling.train_logistic(f)))
+    return evaluation.importance_report(modeling.importances(modeling.train_boosted(_training(f))))
 
 
 @_query()
 def e19_export_model(spark, d, t):
-    """Logistic model and baseline fitted before the split, logged and exported (model, attributions, results), then read
+    """Boosted trees and baseline fitted before the split, logged and exported (model, attributions, results), then read
     back: the comparison's metrics, and the attributions of the rows after the split."""
     f = tables.staged(_features(t), "features")
     train, test = evaluation.temporal_split(evaluation.active_rows(f), _cut(f))
-    models = {"seed baseline": modeling.train_baseline(train), "logistic": modeling.train_logistic(train)}
+    models = {"seed baseline": modeling.train_baseline(train), "boosted trees": modeling.train_boosted(train)}
     out = None
     for name, m in models.items():
         row = evaluation.metrics(modeling.score(m, test)).select(F.lit(name).alias("model"), "*")
@@ -665,8 +732,8 @@ def e19_export_model(spark, d, t):
     out, path = tables.staged(out, "results"), tables.scratch(spark, "export")
     export.log_runs(out, "models", f"{path}/runs")
     export.export_results(out, path)
-    export.export_model(models["logistic"], explain.explain(models["logistic"], test, ["set_id"]), ["set_id"], path)
-    again = evaluation.metrics(modeling.score(export.read_model(path), test)).select(F.lit("logistic, read back").alias("model"), "*")
+    export.export_model(models["boosted trees"], explain.explain(models["boosted trees"], test, ["set_id"]), ["set_id"], path)
+    again = evaluation.metrics(modeling.score(export.read_boosted(spark, path), test)).select(F.lit("boosted trees, read back").alias("model"), "*")
     shown = evaluation.metric_comparison(out.unionByName(again)).unionByName(spark.read.schema("feature string, mean_abs double, base double").json(f"{path}/attributions").select(F.lit("attributions").alias("model"), F.col("feature").alias("metric"), F.col("mean_abs").alias("value")))
     return shown
 
@@ -675,5 +742,5 @@ def e19_export_model(spark, d, t):
 def g9_predict_matchups(spark, d, t):
     """Each pair's chances by a fitted model."""
     f = tables.staged(_features(t), "features")
-    rows = snapshots.predict_matchups(modeling.train_logistic(f), _pairs(t), snapshots.player_snapshot(f), snapshots.h2h_records(t["sets"]))
+    rows = snapshots.predict_matchups(modeling.train_boosted(_training(f)), _pairs(t), snapshots.player_snapshot(f), snapshots.h2h_records(t["sets"]))
     return rows.select("player1_id", "player2_id", "p1_win", "p2_win", "favourite", "underdog")

@@ -1,18 +1,22 @@
+import glob
+import json
 import random
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from matchlab.operators import elo, evaluation, ingest, quality
+from matchlab.operators import elo, evaluation, history, ingest, quality, snapshots
 from matchlab.plans import features
 from matchlab.plans.queries import ORACLE_SQL, QUERIES
-from matchlab.sources import schemas, tables
+from matchlab.sources import schemas, stored, tables
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
-SLOW = {"b13_ingest", "b13_ingest_onto", "b9_parse_sets", "b10_parse_games", "g10_matchup_card"}
+SLOW = {"b13_ingest", "b13_ingest_onto", "b13_isolated_tournaments", "b9_parse_sets", "b10_parse_games", "g10_matchup_card"}
 
 
 @pytest.fixture(scope="module")
@@ -65,6 +69,101 @@ def test_elo_modes_agree_and_continue(spark):
     assert (later.p1_elo == want.p1_elo[120:]).all()
 
 
+def _hot_league(n=400):
+    """Player 1 plays a third of the sets, most of them against player 2; some sets end at the same second."""
+    pdf = _league(n)
+    for i in range(0, n, 3):
+        a, b = (1, 2) if i % 2 else (2 + i % 9, 1)
+        pdf.loc[i, ["player1_id", "player2_id", "winner_player_id"]] = a, b, (a if i % 5 else b)
+    pdf["completed_at"] = pdf.completed_at // 5000
+    return pdf
+
+
+@pytest.mark.parametrize("most", [3, 20, 150])
+def test_history_by_segments_equals_the_window(spark, most):
+    t = _tables_of(_hot_league(), spark)
+    done = tables.staged(history.completed_sets(t["sets"], t["events"], t["tournaments"]), "test-done")
+    want = history.history_features(done).orderBy("set_id")
+    got = history.history_features(done, most=most).orderBy("set_id")
+    assert sorted(got.columns) == sorted(want.columns) and got.select(want.columns).collect() == want.collect()
+    long = history.long_form(done.withColumn("segment", history.segment_of(done, 20)))
+    shares = [r["count"] for r in long.groupBy("player_id", "segment").count().collect()]
+    assert max(shares) <= 30 and long.filter("player_id = 1").count() > 130  # the hot player's rows go to many windows
+
+
+def test_features_go_on_from_a_stored_state(spark, tmp_path):
+    t = _tables_of(_hot_league(), spark)
+    want = features.build_features(t).orderBy("set_id").collect()
+    times = sorted({r["completed_at"] for r in want})
+    cuts = [0, times[len(times) // 4], times[len(times) // 2], times[-3], times[-1] + 1]
+    path, got = "file://" + str(tmp_path / "state"), []
+    for a, b in zip(cuts, cuts[1:]):
+        batch = t | {"sets": t["sets"].filter(f"completed_at >= {a} and completed_at < {b}")}
+        got += features.continued_features(batch, path, most=60).collect()
+    assert sorted(got, key=lambda r: r["set_id"]) == want
+    players, pairs = features.read_state(spark, path)
+    assert max(r["sets_played"] for r in players.collect()) > 130 and all(len(r["recent"]) == min(30, r["sets_played"]) for r in players.collect())
+    assert pairs.agg({"sets": "sum"}).first()[0] == len(want)
+    assert features.continued_features(t | {"sets": t["sets"].limit(0)}, path).count() == 0
+    assert sorted(features.read_state(spark, path)[0].collect()) == sorted(players.collect())
+
+
+def test_stored_table_keeps_versions_and_untouched_buckets(spark, tmp_path, monkeypatch):
+    path = "file://" + str(tmp_path / "t")
+    df = spark.createDataFrame([(i, i % 7, "first") for i in range(200)], "id long, v int, kept string")
+    assert stored.write_table(df, path, ["id"], buckets=16) == 1
+    files = lambda: json.loads(max(glob.glob(f"{tmp_path}/t/versions/*/*.json")) and open(max(glob.glob(f"{tmp_path}/t/versions/*/*.json"))).read())  # noqa: E731, SIM115
+    one = json.loads(files()["about"])["files"]
+    batch = spark.createDataFrame([(5, 100, "new"), (1000, 1, "new")], df.schema)
+    assert stored.upsert_stored(path, batch, ["v"], ["kept"]) == 2
+    two = json.loads(files()["about"])["files"]
+    touched = {str(r[0]) for r in batch.select(stored.bucket_of(["id"], 16)).collect()}
+    assert {b for b in two if one.get(b) != two[b]} == touched and len(touched) <= 2
+    want = {i: (i % 7, "first") for i in range(200)} | {5: (100, "first"), 1000: (1, "new")}
+    read = lambda **k: {r["id"]: (r["v"], r["kept"]) for r in stored.read_table(spark, path, **k).collect()}
+    assert read() == want and read(version=1) == {i: (i % 7, "first") for i in range(200)}
+    assert stored.upsert_stored(path, batch.limit(0), ["v"], ["kept"]) == 2
+
+    def fails(*_):
+        raise OSError("disk")
+
+    with monkeypatch.context() as m:  # the new files are written, the manifest is not
+        m.setattr(stored, "_publish", fails)
+        with pytest.raises(OSError):
+            stored.upsert_stored(path, df.withColumn("v", F.lit(-1)), ["v"])
+    assert read() == want
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):  # a second writer of the same version
+        stored._publish(spark, path, 2, {})
+    assert stored.write_table(df.limit(0), "file://" + str(tmp_path / "none"), ["id"]) == 1 and stored.read_table(spark, "file://" + str(tmp_path / "none")).count() == 0
+
+
+def test_stored_lookups_do_not_move(spark, tmp_path):
+    r = random.Random(6)
+    snap = spark.createDataFrame([(i, 1500.0 + i, 3 + i, 0.5) for i in range(300)], "player_id long, elo double, sets_played long, recent_wr double")
+    h2h = spark.createDataFrame([(a, a + 1, 2, 1) for a in range(0, 300, 2)], "player_a long, player_b long, a_wins long, b_wins long")
+    ask = spark.createDataFrame([(r.randrange(310), r.randrange(310)) for _ in range(500)] + [(4, 5), (5, 4)], "player1_id long, player2_id long").distinct()
+    players, pairs = snapshots.store_lookups(snap, h2h, "test_lookups", "file://" + str(tmp_path))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = snapshots.matchup_features(ask, players, pairs)
+        plan = rows._jdf.queryExecution().executedPlan().toString().split("\n")
+        assert sorted(rows.collect()) == sorted(snapshots.matchup_features(ask, snap, h2h).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    scans = [i for i, line in enumerate(plan) if "FileScan" in line and "Bucketed: true" in line]
+    assert len(scans) == 3
+    for i in scans:
+        level = depth(plan[i])
+        for line in reversed(plan[:i]):
+            if depth(line) < level:
+                level = depth(line)
+                assert "Exchange" not in line
+                if "Join" in line:
+                    break
+
+
 def test_elo_of_queries_bounds_each_task(spark, monkeypatch):
     pdf = _league()
     want = elo.fold(pdf, {}, {}).set_index("set_id")
@@ -98,10 +197,11 @@ def test_quality_reports_every_rule(spark):
     zero = plain["p1_recent_wr"]
     breaks = {
         "completed_at > 0": {"completed_at": -7}, "p1_elo > 0": {"p1_elo": 0.0}, "p2_elo > 0": {"p2_elo": -3.5}, "p1_expected in [0, 1]": {"p1_expected": 1.25}, "p1_sets_played >= 0": {"p1_sets_played": -2}, "p2_sets_played >= 0": {"p2_sets_played": -1},
-        "p1_recent_wr in [0, 1]": {"p1_recent_wr": zero - 2}, "p2_recent_wr in [0, 1]": {"p2_recent_wr": 1.5}, "recent_wr_diff in [-1, 1]": {"recent_wr_diff": -1.01}, "p1_h2h_wr in [0, 1]": {"p1_h2h_wr": 2.0}, "p1_seed >= 1": {"p1_seed": 0, "seed_diff": -plain["p2_seed"]},
-        "p2_seed >= 1": {"p2_seed": 0, "seed_diff": plain["p1_seed"]}, "num_attendees >= 0": {"num_attendees": -1}, "p1_won in [0, 1]": {"p1_won": 7}, "two players": {"player1_id": plain["player2_id"]}, "seed difference": {"seed_diff": plain["seed_diff"] + 1},
+        "p1_recent_wr in [0, 1]": {"p1_recent_wr": zero - 2}, "p2_recent_wr in [0, 1]": {"p2_recent_wr": 1.5}, "recent_wr_diff in [-1, 1]": {"recent_wr_diff": -1.01}, "p1_h2h_wr in [0, 1]": {"p1_h2h_wr": 2.0},
+        "num_attendees > 0": {"num_attendees": 0}, "p1_won in [0, 1]": {"p1_won": 7}, "two players": {"player1_id": plain["player2_id"]}, "seed difference": {"seed_diff": plain["seed_diff"] + 1},
         "h2h total is the sum": {"h2h_total": plain["h2h_total"] + 1}, "p1_h2h_wins >= 0": {"p1_h2h_wins": -1, "h2h_total": plain["p2_h2h_wins"] - 1 + 1, "p2_h2h_wins": plain["p2_h2h_wins"] + 1}, "event_id is not null": {"event_id": None}, "p2_elo is not null": {"p2_elo": None},
     }
+    assert quality.assert_valid(table(plain | {"p1_seed": 0, "seed_diff": -plain["p2_seed"]}), quality.feature_rules())  # an unseeded player
     for rule, change in breaks.items():
         assert [r["rule"] for r in quality.validate(table(plain | change), quality.feature_rules()).collect()] == [rule], rule
     assert [r["rule"] for r in quality.validate(table(plain, plain), quality.feature_rules()).collect()] == ["unique set_id"]
@@ -142,9 +242,7 @@ def test_build_export_and_validation(spark, tmp_path):
 
 
 def test_models_against_numpy(spark, tmp_path):
-    import numpy as np
-
-    from matchlab.operators import explain, export, modeling
+    from matchlab.operators import boosting, explain, export, modeling
 
     f = tables.staged(features_of(_league(400), spark), "test-features")
     m = modeling.train_logistic(f)
@@ -161,37 +259,174 @@ def test_models_against_numpy(spark, tmp_path):
         step = np.linalg.solve(h, g)
         w, b = w - step[:-1], b - step[-1]
     assert np.allclose(m.stages[-1].coefficients.toArray(), w, atol=1e-3) and abs(m.stages[-1].intercept - b) < 1e-3
-    trees = modeling.train_boosted(f, trees=4, depth=3)
-    for model in (m, trees):
+    trees = modeling.train_boosted(f, trees=6, depth=3, min_hessian=1.0)
+    margins = {"linear": m.transform(modeling._numbers(f)).orderBy("set_id").select(modeling.vector_to_array("rawPrediction")[1]).toPandas().to_numpy()[:, 0], "trees": trees.margin(x)}
+    for model, margin in ((m, margins["linear"]), (trees, margins["trees"])):
         got = explain.explain(model, f, ["set_id"]).toPandas().set_index("set_id").sort_index()
-        raw = model.transform(modeling._numbers(f)).select("set_id", modeling.vector_to_array("rawPrediction")[1].alias("v")).toPandas().set_index("set_id").sort_index()
-        margin = raw["v"] / (2 if model is trees and abs(raw["v"]).max() > 1.5 * abs(got.sum(axis=1)).max() else 1)
-        assert np.allclose(got.sum(axis=1), margin, atol=1e-6)
-    cv = {r["fold"]: r for r in modeling.walk_forward_cv(f, 3).collect()}
-    assert set(cv) == {"1", "2", "3", "mean"} and abs(cv["mean"]["auc"] - np.mean([cv[k]["auc"] for k in "123"])) < 1e-9
-    space = {k: v for k, v in modeling.SPACE.items()} | {"maxIter": (2, 4, False), "maxDepth": (2, 3, False)}
+        assert np.allclose(got.sum(axis=1), margin, atol=1e-9)
+        chance = [r["prob"] for r in modeling.score(model, f).orderBy("set_id").collect()]
+        assert np.allclose(chance, 1 / (1 + np.exp(-margin)), atol=1e-12)
+    assert len(trees.trees) > 0 and abs(sum(r["importance"] for r in modeling.importances(trees).collect()) - 1) < 1e-9
+    space = modeling.SPACE | {"trees": (2, 4, False), "depth": (2, 3, False), "min_hessian": (1, 3, False)}
     trials = modeling.tune(f, n_trials=3, space=space).collect()
     assert [r["best"] for r in trials].count(True) == 1 and max(trials, key=lambda r: r["auc"])["best"]
+    cut = modeling.time_cut(f, 0.8)
+    for r in trials:  # each trial by itself, and its score by counting pairs
+        own = boosting.fit(f, modeling.CORE, [boosting.Setting(**{k: int(r[k]) if k in ("trees", "depth") else r[k] for k in space}, seed=42)], [(cut, cut, float("inf"))])[0]
+        rows = [(v["prob"], v["p1_won"]) for v in modeling.score(own, f.filter(F.col("completed_at") >= cut)).collect()]
+        pairs = [(p > q) + (p == q) / 2 for p, y in rows for q, z in rows if y == 1 and z == 0]
+        assert len(own.trees) == r["fitted"] and abs(sum(pairs) / len(pairs) - r["auc"]) < 1e-9
     path = "file://" + str(tmp_path / "x")
     summary = export.export_model(m, explain.explain(m, f, ["set_id"]), ["set_id"], path)
     assert {r["feature"] for r in summary.collect()} == set(modeling.CORE)
     probs = lambda model: [r["prob"] for r in modeling.score(model, f).orderBy("set_id").collect()]
     assert probs(export.read_model(path)) == probs(m)
+    export.export_model(trees, explain.explain(trees, f, ["set_id"]), ["set_id"], path)
+    assert probs(export.read_boosted(spark, path)) == probs(trees)
     results, _ = modeling.run_all(f, split_ts=1_000_000 + 1_800 * 300, trees=3)
     log = export.log_runs(results, "models", path + "/runs")
-    assert spark.read.parquet(path + "/runs").count() == log.count() == 3 * 5
+    assert spark.read.parquet(path + "/runs").count() == log.count() == 3 * (5 + 4 + 1)
+    given = {(r["name"], r["metric"]): r["value"] if r["text"] is None else r["text"] for r in spark.read.parquet(path + "/runs").collect()}
+    assert given["seed baseline", "features"] == "seed_diff" and given["boosted trees", "features"].split(",") == modeling.CORE
+    assert given["logistic", "min_sets"] == 5 and given["logistic", "train_size"] + given["logistic", "test_size"] == evaluation.active_rows(f).count()
     assert export.export_results(results, path).count() == 12
 
 
-def test_percentiles(spark):
-    import numpy as np
+def test_walk_forward_equals_a_loop_over_folds(spark):
+    from matchlab.operators import boosting, modeling
+
+    f = tables.staged(features_of(_league(500), spark), "test-features")
+    setting = boosting.Setting(trees=5, depth=3, min_hessian=1.0)
+    got = {r["fold"]: r for r in modeling.walk_forward_cv(f, 3, setting=setting).collect()}
+    rows = evaluation.active_rows(f)
+    pdf = rows.toPandas()
+    cuts = [*pdf.completed_at.quantile([1 / 4, 2 / 4, 3 / 4]), pdf.completed_at.max() + 1]
+    late = [float(pdf.completed_at[pdf.completed_at < c].quantile(0.9)) for c in cuts]
+    edges = boosting.bin_edges(rows.filter(F.col("completed_at") < late[2]), modeling.CORE)
+    for i in range(3):
+        own = boosting.fit(rows, modeling.CORE, [setting], [(late[i], late[i], cuts[i])], edges=edges)[0]
+        test = pdf[(pdf.completed_at >= cuts[i]) & (pdf.completed_at < cuts[i + 1])]
+        p = 1 / (1 + np.exp(-own.margin(test[modeling.CORE].to_numpy(float))))
+        r = got[str(i + 1)]
+        assert (r["n"], r["train_size"]) == (len(test), (pdf.completed_at < cuts[i]).sum())
+        assert abs(r["accuracy"] - ((p >= 0.5) == test.p1_won).mean()) < 1e-9 and abs(r["brier"] - ((p - test.p1_won) ** 2).mean()) < 1e-9
+    assert set(got) == {"1", "2", "3", "mean"} and abs(got["mean"]["auc"] - np.mean([got[k]["auc"] for k in "123"])) < 1e-9
+
+
+def _plain_booster(x, y, ids, held, s, edges):
+    """Log odds of all rows, by a recursive booster over raw values."""
+    from matchlab.operators import boosting
+
+    n = int((~held).sum())
+    margin = np.full(len(x), np.log((y[~held].sum() + 0.5) / (n - y[~held].sum() + 0.5)))
+    worth = lambda g, h: max(abs(g) - s.alpha, 0) ** 2 / (h + s.lam)
+    history = [margin]
+    losses = []
+    while True:
+        p = 1 / (1 + np.exp(-margin))
+        losses.append(-np.log(np.where(y > 0, p, 1 - p)[held]).mean())
+        best = int(np.argmin(losses))
+        if len(losses) > s.trees or len(losses) - 1 - best >= s.patience:
+            return history[best], best
+        g, h, step = p - y, p * (1 - p), np.zeros(len(x))
+        columns = boosting.drawn_columns(x.shape[1], s, len(losses) - 1)
+
+        def grow(rows, every, depth):
+            top, split = 1e-6, None
+            for f in columns if depth < s.depth else []:
+                for e in edges[f]:
+                    left = rows[x[rows, f] <= e]
+                    gl, hl, ga, ha = g[left].sum(), h[left].sum(), g[rows].sum(), h[rows].sum()
+                    gain = worth(gl, hl) + worth(ga - gl, ha - hl) - worth(ga, ha)
+                    if len(left) not in (0, len(rows)) and min(hl, ha - hl) >= s.min_hessian and gain > top + 1e-9 * (split is not None):
+                        top, split = gain, (f, e)
+            if split is None:
+                step[every] = -s.rate * np.sign(g[rows].sum()) * max(abs(g[rows].sum()) - s.alpha, 0) / (h[rows].sum() + s.lam)
+            else:
+                f, e = split
+                for side in (True, False):
+                    grow(rows[(x[rows, f] <= e) == side], every[(x[every, f] <= e) == side], depth + 1)
+
+        grow(np.flatnonzero(~held & boosting.drawn(ids, s, len(losses) - 1)), np.arange(len(x)), 0)
+        margin = margin + step
+        history.append(margin)
+
+
+def test_boosting_equals_a_plain_booster(spark):
+    from matchlab.operators import boosting
+
+    r = np.random.default_rng(0)
+    x = np.round(r.normal(size=(400, 4)), 1)
+    y = (x[:, 0] + x[:, 1] * x[:, 2] + r.normal(0, 0.7, 400) > 0).astype(int)
+    df = spark.createDataFrame([(i, *map(float, x[i]), int(y[i]), i) for i in range(400)], "set_id long, a double, b double, c double, d double, p1_won int, completed_at long")
+    settings = [boosting.Setting(trees=10, depth=3, rate=0.3, min_hessian=2.0), boosting.Setting(trees=12, depth=5, rate=0.4, min_hessian=1.0, rows=1.0, columns=0.5, alpha=0.3, lam=3.0, patience=2), boosting.Setting(trees=2, depth=8, rate=0.5, rows=0.6, min_hessian=0.5)]
+    spans = [(300, 300, 400)] * 3
+    models = boosting.fit(df, list("abcd"), settings, spans, most_bins=256)
+    ids = np.array([v[0] for v in df.orderBy("set_id").select(F.xxhash64("set_id")).collect()])
+    for s, m in zip(settings, models):
+        want, trees = _plain_booster(x, y, ids, np.arange(400) >= 300, s, [np.unique(c)[:-1] for c in x.T])
+        assert len(m.trees) == trees and np.abs(m.margin(x) - want).max() < 1e-6
+    again = boosting.fit(df.repartition(7), list("abcd"), settings, spans, most_bins=256, most_bytes=0, parts=5, store_every=3)  # sums meet in tasks, margins move more often
+    assert all(np.array_equal(a.margin(x), b.margin(x)) for a, b in zip(models, again))
+    assert models[0].jobs <= 4 + max(len(m.losses) * s.depth for s, m in zip(settings, models)) + 3
+    none = boosting.fit(df.limit(0), list("abcd"), settings[:1], spans[:1])[0]
+    assert none.trees == [] and none.base == 0.0
+
+
+def test_attributions_equal_sums_over_sets():
+    import itertools
+    import math
+    import time
+
+    from matchlab.operators import boosting, explain
+
+    r = np.random.default_rng(1)
+
+    def made(depth, n):
+        t = boosting.Tree(depth)
+        t.cover[0] = 100.0
+        for k in range(2**depth - 1):
+            t.feature[k], t.threshold[k] = r.integers(n), r.normal()
+            t.cover[2 * k + 1] = t.cover[k] * r.uniform(0.2, 0.8)
+            t.cover[2 * k + 2] = t.cover[k] - t.cover[2 * k + 1]
+        t.value[2**depth - 1 :] = r.normal(size=2**depth)
+        return boosting.Boosted([f"f{i}" for i in range(n)], 0.1, [t], boosting.Setting(depth=depth))
+
+    model, x = made(5, 6), r.normal(size=(20, 6))
+    leaves = explain.tree_leaves(model)
+    base, phi = explain.leaf_attributions(x, leaves)
+    want = np.zeros_like(phi)
+    for value, path in leaves:
+        for f in path:
+            rest = [j for j in path if j != f]
+            for k in range(len(rest) + 1):
+                for known in itertools.combinations(rest, k):
+                    w = math.factorial(k) * math.factorial(len(rest) - k) / math.factorial(len(path))
+                    for i in range(len(x)):
+                        o = lambda j: float(path[j][0] < x[i, j] <= path[j][1])  # noqa: B023, E731
+                        want[i, f] += w * value * (o(f) - path[f][2]) * math.prod(o(j) if j in known else path[j][2] for j in rest)
+    assert np.allclose(phi, want) and np.allclose(model.base + base + phi.sum(1), model.margin(x))
+    cost = {}
+    for depth in (5, 8):
+        leaves = explain.tree_leaves(made(depth, 9))
+        t = time.process_time()
+        explain.leaf_attributions(r.normal(size=(2000, 9)), leaves)
+        cost[depth] = (time.process_time() - t) / len(leaves)
+    assert cost[8] < 4 * cost[5]  # of a leaf
+
 
+def test_percentiles(spark):
     r = random.Random(4)
     for values in ([5.0], [1.0, 2.0], [r.choice([r.random(), 3.0, -1e9]) for _ in range(301)]):
         df = spark.createDataFrame([(v,) for v in [*values, None]], "v double")
         shares = [0, 0.1, 1 / 3, 0.5, 0.9, 1]
         assert np.allclose(evaluation.percentiles(df, "v", shares).first()["q"], np.quantile(values, shares))
     assert evaluation.percentiles(df.limit(0), "v", [0.5]).first()["q"] is None
+    far = spark.createDataFrame([(float(i),) for i in range(2000)] + [(1e12,)] + [(7.0,)] * 500, "v double")  # a far value and a frequent one
+    assert np.allclose(evaluation.percentiles(far, "v", shares).first()["q"], np.quantile([r["v"] for r in far.collect()], shares))
+    per = far.groupBy(F.col("v").alias("x")).count()
+    ranged = per.crossJoin(evaluation._borders(per, "x", 64)).select(evaluation._range("x").alias("r")).groupBy("r").count()
+    assert ranged.agg({"count": "max"}).first()[0] < 0.05 * 2001
 
 
 def test_auc_with_ties(spark):
