@@ -15,12 +15,15 @@ from matchlab.llm.common import scratch
 from matchlab.llm.queries import TOKENIZER
 
 
-def _with_key(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_th", F.xxhash64("text"))
+def _wrapped(docs: DataFrame) -> DataFrame:
+    """Every row whole as `r`, so that no column of the table can clash with those beside it: key, th, and `rest`, a hash of
+    the other columns that orders rows alike in id and text."""
+    rest = F.to_json(F.struct(F.lit(0), *(F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text"))))
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("r"), F.col("doc_id").cast("long").alias("key"), F.xxhash64("text").alias("th"), F.xxhash64(rest).alias("rest"))
 
 
 def _same(a: DataFrame, b: DataFrame):
-    return a["doc_id"].eqNullSafe(b["key"]) & (a["_th"] == b["th"])
+    return a["key"].eqNullSafe(b["key"]) & (a["th"] == b["th"])
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,22 +34,22 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents one row: that of smallest doc_id, then of smallest text hash, then of smallest
-    other columns; a null doc_id only where the group has no other. Documents without a word link with none: one row of
+    hash of the other columns; a null doc_id only where the group has no other. Documents without a word link with none: one row of
     each doc_id and text stays, and every row of a null doc_id."""
     alone = F.col("n_shingles") == 0
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", alone.alias("alone"))).alias("k")
     groups = jaccard.grouped(docs).groupBy("group", F.when(alone, F.col("doc_id")).alias("a"), F.when(alone, F.col("th")).alias("b")).agg(first)
-    groups = groups.select(F.col("k.doc_id").alias("key"), "k.th", (F.col("k.none") & F.col("k.alone")).alias("_each"))
-    rows = _with_key(docs)
-    rows = rows.join(groups, _same(rows, groups)).select(rows["*"], groups["_each"]).withColumn("_each", F.when(F.col("_each"), F.monotonically_increasing_id()))
-    return rows.groupBy("doc_id", "_th", "_each").agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
+    groups = groups.select(F.col("k.doc_id").alias("key"), "k.th", (F.col("k.none") & F.col("k.alone")).alias("each"))
+    rows = _wrapped(docs)
+    rows = rows.join(groups, _same(rows, groups)).select(rows["*"], F.when(groups["each"], F.monotonically_increasing_id()).alias("each"))
+    return rows.groupBy("key", "th", "each").agg(F.min_by("r", "rest").alias("r")).select("r.*")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     hits = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("key"), "th").distinct()
-    rows = _with_key(docs)
-    return rows.join(hits, _same(rows, hits), "left_anti").drop("_th")
+    rows = _wrapped(docs)
+    return rows.join(hits, _same(rows, hits), "left_anti").select("r.*")
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
