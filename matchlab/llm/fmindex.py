@@ -67,62 +67,76 @@ def _pair(a: np.ndarray, k: int, b: np.ndarray) -> np.ndarray:
 
 
 class FMIndex:
-    """text: symbols 1.. with 0 between the indexed segments; value: a number for each position.
+    """text: symbols 1.. with 0 between the indexed segments; value: a number for each position; size: symbols in use.
 
-    Holds for patterns of up to `length` symbols. `least` gives each suffix group of equal `length` symbols the least
-    value of its positions, and `shorter` bounds the group of equal length-1 symbols, for dropping a pattern's end.
+    Holds for matches of up to `length` symbols. `lcp` is the common prefix of neighbouring suffixes, cut at `length`; the
+    borders below a value cut the suffixes into the intervals of equal first symbols.
     """
 
-    def __init__(self, text: np.ndarray, value: np.ndarray, length: int):
-        n, self.length = len(text), length
+    def __init__(self, text: np.ndarray, value: np.ndarray, length: int, size: int):
+        self.n, self.length = len(text), length
         ranks = _prefix_ranks(text, 1 << max(0, int(length - 1).bit_length()))
-        full = ranks[max(ranks)]
-        sa = np.argsort(full, kind="stable")
-        size = int(text.max(initial=0)) + 1
+        sa = np.argsort(ranks[max(ranks)], kind="stable")
         self.start = np.r_[0, np.cumsum(np.bincount(text, minlength=size))]
-        bwt = text[sa - 1]
-        self.wavelet = WaveletMatrix(bwt, size)
+        self.wavelet = WaveletMatrix(text[sa - 1], size)
         self.symbol_first = self.wavelet.rank(np.arange(size), np.zeros(size, np.int64))
-        self.n = n
-        exact = self._exact(ranks, length)[sa]
-        cut = np.r_[True, exact[1:] != exact[:-1]]
-        self.group = np.cumsum(cut) - 1
-        self.least = np.minimum.reduceat(value[sa], np.flatnonzero(cut))
-        short = self._exact(ranks, length - 1)[sa] if length > 1 else np.zeros(n, np.int64)
-        cut = np.r_[True, short[1:] != short[:-1]]
-        self.short_group = np.cumsum(cut) - 1
-        self.short_start = np.r_[np.flatnonzero(cut), n]
-
-    @staticmethod
-    def _exact(ranks: dict[int, np.ndarray], length: int) -> np.ndarray:
-        """Numbers that are equal where the first `length` symbols are."""
-        at, out = 0, None
+        self.lcp = np.r_[-1, np.minimum(self._common(ranks, sa[:-1], sa[1:]), length), -1]
+        self._borders: dict[int, np.ndarray] = {}
+        self.least = np.minimum.reduceat(value[sa], self.borders(length)[:-1])  # of each interval of `length` equal symbols
+
+    def _common(self, ranks: dict[int, np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(a), np.int64)
         for k in sorted(ranks, reverse=True):
-            if length - at >= k:
-                out = ranks[k] if out is None else _pair(out, at, ranks[k])
-                at += k
+            x, y = a + out, b + out
+            inside = np.maximum(x, y) < self.n
+            out += k * (inside & (ranks[k][np.where(inside, x, 0)] == ranks[k][np.where(inside, y, 0)]))
         return out
 
+    def borders(self, k: int) -> np.ndarray:
+        """Where intervals of suffixes with k equal first symbols begin, and the end."""
+        if k not in self._borders:
+            self._borders[k] = np.flatnonzero(self.lcp < k)
+        return self._borders[k]
+
+    def interval(self, row: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The interval of k equal first symbols around each row."""
+        b = self.borders(k)
+        at = np.searchsorted(b, row, side="right")
+        return b[at - 1], b[at]
+
     def extend(self, symbol: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One backward step: the suffixes that start with `symbol` and go on as those of [lo, hi) do."""
         base = self.start[symbol] - self.symbol_first[symbol]
         return base + self.wavelet.rank(symbol, lo), base + self.wavelet.rank(symbol, hi)
 
     def matching(self, flat: np.ndarray, first: np.ndarray, lengths: np.ndarray):
-        """Streams patterns (slices of `flat`) against the index, from their ends backwards.
+        """Streams patterns (slices of `flat`) against the index, from their ends backwards. A step that finds nothing
+        shortens the match at its end to the next interval around it, until the step finds something or nothing is left.
 
-        Yields (pattern numbers, starts, suffix rows) wherever a whole `length` symbols from the start occur: the
-        matching statistic, cut at `length`, has reached it. Every pattern's symbols and their order must occur in the
-        index, as they do for documents that are indexed; then no step comes out empty.
+        Yields (pattern numbers, starts, least values) wherever the matching statistic reaches `length`.
         """
-        lo, hi = np.zeros(len(first), np.int64), np.full(len(first), self.n, np.int64)
+        lo, hi, size = np.zeros(len(first), np.int64), np.full(len(first), self.n, np.int64), np.zeros(len(first), np.int64)
         order = np.argsort(-lengths, kind="stable")
         for step in range(int(lengths.max(initial=0))):
             act = order[: np.searchsorted(-lengths[order], -step, side="left")]
-            if step >= self.length:
-                g = self.short_group[lo[act]]
-                lo[act], hi[act] = self.short_start[g], self.short_start[g + 1]
             pos = lengths[act] - 1 - step
-            lo[act], hi[act] = self.extend(flat[first[act] + pos], lo[act], hi[act])
-            if step >= self.length - 1:
-                yield act, pos, lo[act]
+            symbol = flat[first[act] + pos]
+            full = act[size[act] == self.length]
+            lo[full], hi[full] = self.interval(lo[full], self.length - 1)
+            size[full] = self.length - 1
+            new_lo, new_hi = self.extend(symbol, lo[act], hi[act])
+            lost = np.flatnonzero((new_hi <= new_lo) & (size[act] > 0))
+            while len(lost):
+                who = act[lost]
+                size[who] = np.maximum(np.minimum(np.maximum(self.lcp[lo[who]], self.lcp[hi[who]]), size[who] - 1), 0)
+                for k in np.unique(size[who]).tolist():
+                    own = who[size[who] == k]
+                    lo[own], hi[own] = self.interval(lo[own], k)
+                new_lo[lost], new_hi[lost] = self.extend(symbol[lost], lo[who], hi[who])
+                lost = lost[(new_hi[lost] <= new_lo[lost]) & (size[who] > 0)]
+            there = new_hi > new_lo
+            lo[act], hi[act], size[act] = np.where(there, new_lo, 0), np.where(there, new_hi, self.n), np.where(there, size[act] + 1, 0)
+            found = size[act] == self.length
+            if found.any():
+                row = lo[act[found]]
+                yield act[found], pos[found], self.least[np.searchsorted(self.borders(self.length), row, side="right") - 1]

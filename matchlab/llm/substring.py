@@ -5,9 +5,9 @@ A window is 50 consecutive words; a word is removed when a window over it also s
 1. Every window belongs to the smallest hash of its 8-word grams, so equal windows meet. Neighbouring windows of one
    smallest gram form a segment. Grams that occur in one document only drop out, equal segments become one with its
    smallest and largest doc_id: a passage of a third of the rows is one segment in each task before the shuffle.
-2. Segments are dealt to shards by their gram. A shard indexes its segments (Burrows-Wheeler transform in a wavelet
-   matrix) and streams them against the index; where the matching statistic reaches 50 words, the suffix interval's
-   smallest doc_id is reported. A gram of very many different segments is cut into single windows that are dealt by
+2. Segments are dealt to shards by their gram. A shard indexes the segments of its earlier documents (Burrows-Wheeler
+   transform in a wavelet matrix) and streams those of later ones against the index by backward search; where the
+   matching statistic reaches 50 words, the suffix interval's smallest doc_id is reported. A gram of very many different segments is cut into single windows that are dealt by
    their own hash.
 3. Reported intervals go back to the documents that hold the segment; covered words are removed.
 
@@ -71,23 +71,31 @@ def segments(h: np.ndarray, counts: np.ndarray, window: int, gram: int):
 
 
 def shard_matches(rows: pd.DataFrame, window: int) -> pd.DataFrame:
-    """rows: gram, seg, off, doc (smallest doc_id), most (largest), words. One index over all of them, all streamed
-    against it. Returns gram, seg, off, n, source: windows off..off+n-1 of the segment start in document `source`."""
+    """rows: shard, gram, seg, off, doc (smallest doc_id), most (largest), words. Returns gram, seg, off, n, source: windows
+    off..off+n-1 of the segment start in document `source`. The index holds the segments that a later document of their
+    shard may repeat; streamed are those that some document comes before, so of two documents the earlier is indexed and
+    the later streamed."""
+    key = rows["shard"]
+    indexed = (rows["doc"] < rows.groupby(key)["most"].transform("max")).to_numpy()
+    streamed = (rows["most"] > rows.groupby(key)["doc"].transform("min")).to_numpy()
     words = [w.split(b" ") for w in rows["words"]]
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     flat = np.empty(int(lengths.sum()), object)
     flat[:] = [x for w in words for x in w]
     symbol = pd.factorize(flat)[0] + 1
     first = np.cumsum(lengths) - lengths
-    text = np.zeros(len(symbol) + len(words), np.int64)
-    text[np.arange(len(symbol)) + np.repeat(np.arange(len(words)), lengths)] = symbol
-    value = np.repeat(rows["doc"].to_numpy(), lengths + 1)
-    index = FMIndex(text, value, window)
     who, where, source = [], [], []
-    for act, pos, row in index.matching(symbol, first, lengths):
-        who.append(act)
-        where.append(pos)
-        source.append(index.least[index.group[row]])
+    if indexed.any():
+        at = slices(first[indexed], lengths[indexed])
+        n = lengths[indexed]
+        text = np.zeros(len(at) + len(n), np.int64)
+        text[np.arange(len(at)) + np.repeat(np.arange(len(n)), n)] = symbol[at]
+        index = FMIndex(text, np.repeat(rows["doc"].to_numpy()[indexed], n + 1), window, int(symbol.max()) + 1)
+        number = np.flatnonzero(streamed)
+        for act, pos, least in index.matching(symbol, first[streamed], lengths[streamed]):
+            who.append(number[act])
+            where.append(pos)
+            source.append(least)
     who, where, source = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (who, where, source))
     use = source < rows["most"].to_numpy()[who]
     who, where, source = who[use], where[use], source[use]

@@ -60,16 +60,22 @@ def test_substring(docs, empty):
 
 
 def test_fm_index_finds_all_windows():
-    seqs = [R.integers(1, 4, 40) for _ in range(6)]
-    text = np.concatenate([np.append(s, 0) for s in seqs])
-    value = np.repeat(np.arange(6), 41)
-    flat, lens = np.concatenate(seqs), np.full(6, 40)
-    fm, seen = FMIndex(text, value, 5), {}
-    for act, pos, row in fm.matching(flat, np.arange(6) * 40, lens):
-        seen |= {(a, p): fm.least[fm.group[r]] for a, p, r in zip(act.tolist(), pos.tolist(), row.tolist())}
-    for a, s in enumerate(seqs):
-        for p in range(36):
-            assert seen[a, p] == min(b for b, t in enumerate(seqs) if any((t[i : i + 5] == s[p : p + 5]).all() for i in range(36)))
+    """Patterns that are indexed, that differ from what is, and with symbols that the index has not."""
+    for symbols, length in ((2, 5), (3, 5), (4, 3), (3, 50)):
+        seqs = [R.integers(1, symbols + 1, 90) for _ in range(9)]
+        seqs[7] = np.r_[seqs[0][20:80], symbols + 1, seqs[1][:29]]
+        seqs[8] = np.r_[seqs[2][:30], seqs[3][30:]]
+        text = np.concatenate([np.append(s, 0) for s in seqs[:5]])
+        value = np.repeat([5, 1, 4, 2, 3], 91)
+        index, seen = FMIndex(text, value, length, symbols + 2), {}
+        for act, pos, least in index.matching(np.concatenate(seqs), np.arange(9) * 90, np.full(9, 90)):
+            seen |= {(a, p): v for a, p, v in zip(act.tolist(), pos.tolist(), least.tolist())}
+        held: dict = {}
+        for s, v in zip(seqs[:5], (5, 1, 4, 2, 3)):
+            for i in range(90 - length + 1):
+                held[tuple(s[i : i + length])] = min(v, held.get(tuple(s[i : i + length]), 9))
+        want = {(a, p): held[w] for a, s in enumerate(seqs) for p in range(90 - length + 1) if (w := tuple(s[p : p + length])) in held}
+        assert seen == want and (7, 0) in want and len(want) < 9 * (90 - length + 1)
 
 
 def test_jaccard(docs, empty):
