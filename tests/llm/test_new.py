@@ -224,3 +224,15 @@ def test_best_fit_packing(spark):
     whole = {x["sequence_id"]: x["ids"] for x in grouping.sequences(packed).collect()}
     assert whole == {s: [i for _, _, ids in sorted(v) for i in ids] for s, v in by.items()}
     assert grouping.pack(df.limit(0), WORD_TOKENIZER).count() == 0
+
+
+def test_scores_are_the_same_in_every_run(spark, tmp_path, monkeypatch):
+    from matchlab.llm import lm
+
+    r = random.Random(12)
+    words = [f"{a}{b}" for a in ("win", "ha", "lo", "mer", "ti") for b in ("dow", "ven", "ter", "gan", "ros", "lin")]
+    docs = spark.createDataFrame([(i, " ".join(r.choice(words) for _ in range(r.randint(5, 300)))) for i in range(300)], "doc_id long, text string")
+    docs.repartitionByRange(5, "doc_id").write.parquet(f"{tmp_path}/docs")
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 60_000)  # several blocks
+    once, again = ({x["doc_id"]: x["score"] for x in lm.score(spark.read.parquet(f"{tmp_path}/docs"), public_tokenizers.path("byte_bpe_50k.json")).collect()} for _ in range(2))
+    assert len(once) == 300 and once == again
