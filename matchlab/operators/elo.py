@@ -1,7 +1,8 @@
 """Elo ratings with a K factor that falls with experience: the one operator that must read its own earlier results.
 
 Two exact ways: one grouped fold per pool (pools share no players), or, for a pool too large for a task, slices of
-time whose player-connected parts are folded in parallel and whose end ratings feed the next slice.
+time whose player-connected parts are folded in parallel and whose end ratings feed the next slice; slices may also be
+closed by their graph, before a part of it grows too large.
 """
 
 from __future__ import annotations
@@ -11,10 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import K_BASE, K_SETS, START_RATING
-from ..sources.tables import staged
-from .history import segment_of
+from ..sources.tables import scratch, staged
+from .history import segment_cuts, segment_of
 
 RATED = "set_id long, p1_elo double, p2_elo double, p1_expected double, p1_post double, p2_post double, p1_played long, p2_played long"
+#: Finer slices of a slice at most.
+FINER = 1 << 20
 _COLUMNS = ["set_id", "completed_at", "player1_id", "player2_id", "winner_player_id"]
 
 
@@ -62,9 +65,13 @@ def end_state(sets: DataFrame, rated: DataFrame, old: DataFrame | None = None) -
     return now if old is None else now.unionByName(old.join(now, "player_id", "left_anti").select("player_id", "rating", "played"))
 
 
-def _parts(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Connected parts of one slice's player graph; bounded by the slice."""
+def _parts(pdf: pd.DataFrame, share: float | None = None, least: int = 0) -> pd.DataFrame:
+    """Connected parts of one slice's player graph; bounded by the slice. With a share the slice is closed, and a finer
+    one begun, once it has `least` sets and its largest part more than that share of them."""
     up: dict = {}
+    sets_of: dict = {}
+    rows = pdf.sort_values(["completed_at", "set_id"])
+    players = list(zip(rows["player1_id"], rows["player2_id"]))
 
     def root(x):
         while up.setdefault(x, x) != x:
@@ -72,41 +79,51 @@ def _parts(pdf: pd.DataFrame) -> pd.DataFrame:
             x = up[x]
         return x
 
-    for p, q in zip(pdf["player1_id"], pdf["player2_id"]):
-        a, b = root(p), root(q)
-        if a != b:
-            up[max(a, b)] = min(a, b)
-    return pdf.assign(part=[root(p) for p in pdf["player1_id"]])
-
-
-def elo_ratings_sliced(sets: DataFrame, seconds: int = 3600, every: int = 24, most: int | None = None, state: DataFrame | None = None) -> DataFrame:
+    finer, part, begun, largest, number = [], [], 0, 0, 0
+    for i, (p, q) in enumerate(players):
+        a, b = sorted((root(p), root(q)))
+        up[b] = a
+        sets_of[a] = sets_of.get(a, 0) + (sets_of.pop(b, 0) if a != b else 0) + 1
+        largest = max(largest, sets_of[a])
+        size = i + 1 - begun
+        if i + 1 == len(players) or (share and size >= least and largest > share * size):
+            part += [root(x) for x, _ in players[begun : i + 1]]
+            finer += [number] * size
+            begun, largest, number = i + 1, 0, number + 1
+            up.clear()
+            sets_of.clear()
+    return rows.assign(slice=rows["slice"] * FINER + finer, part=part)
+
+
+def elo_ratings_sliced(sets: DataFrame, seconds: int = 3600, every: int = 24, most: int | None = None, state: DataFrame | None = None, share: float | None = None, least: int = 50_000) -> DataFrame:
     """As elo_ratings without pools, for a pool beyond one task. Slices are `seconds` long or, with `most`, cut at
     quantiles of time so that each has about that many sets. Jobs grow with the number of slices, parallelism with
     the parts of a slice; the carried state is written to the shared folder every `every` slices. state: player_id,
-    rating, played to start from."""
-    if most:
-        sets = staged(sets.select(*_COLUMNS), "elo-sets")
-    rows = sets.select(*_COLUMNS, (segment_of(sets, most) if most else F.floor(F.col("completed_at") / seconds)).alias("slice"))
-    cut = staged(rows.groupBy("slice").applyInPandas(_parts, rows.schema.simpleString()[7:-1].replace(":", " ") + ", part bigint"), "elo-slices")
-    out = []
+    rating, played to start from. share, least: close a slice by its graph, once it has `least` sets and its largest part
+    more than that share of them, so that no task waits for one large part."""
+    cuts = segment_cuts(sets, most) if most else None
+    rows = sets.select(*_COLUMNS, (segment_of(cuts) if most else F.floor(F.col("completed_at") / seconds)).alias("slice"))
+    cut = staged(rows.groupBy("slice").applyInPandas(lambda pdf: _parts(pdf, share, least), rows.schema.simpleString()[7:-1].replace(":", " ") + ", part bigint"), "elo-slices")
+
+    def rate(mine: DataFrame, state: DataFrame | None) -> DataFrame:
+        if state is None:
+            return elo_ratings(mine, pool="part")
+        who = mine.select("part", F.explode(F.array("player1_id", "player2_id")).alias("player_id")).distinct()
+        return elo_ratings(mine, pool="part", state=who.join(state.select("player_id", "rating", "played"), "player_id"))
+
+    if cuts == [] and not share:  # one slice
+        return rate(cut, state)
+    path = scratch(sets.sparkSession, "elo-rated")
     order = cut.select("slice").distinct().orderBy("slice").collect()  # one row per slice
     for i, r in enumerate(order):
         mine = cut.filter(F.col("slice") == r["slice"])
-        if state is None:
-            rated = staged(elo_ratings(mine, pool="part"), "elo-rated")
-        else:
-            who = mine.select("part", F.explode(F.array("player1_id", "player2_id")).alias("player_id")).distinct()
-            rated = staged(elo_ratings(mine, pool="part", state=who.join(state.select("player_id", "rating", "played"), "player_id")), "elo-rated")
-        out.append(rated)
+        rate(mine, state).write.parquet(f"{path}/slice={i}")
         if i + 1 == len(order):
-            break
-        state = end_state(mine, rated, state)
+            return sets.sparkSession.read.schema(RATED).parquet(f"{path}/*")
+        state = end_state(mine, sets.sparkSession.read.schema(RATED).parquet(f"{path}/slice={i}"), state)
         if i % every == every - 1 or i < 2:
             state = staged(state, "elo-state")
-    total = out[0] if out else sets.sparkSession.createDataFrame([], RATED)
-    for df in out[1:]:
-        total = total.unionByName(df)
-    return total
+    return sets.sparkSession.createDataFrame([], RATED)
 
 
 def elo_ratings_bounded(sets: DataFrame, most: int = 500_000, state: DataFrame | None = None) -> DataFrame:

@@ -25,12 +25,21 @@ def long_form(sets: DataFrame) -> DataFrame:
     return rows.select(*kept, "s.*", (F.col("winner_player_id") == F.col("s.player_id")).cast("int").alias("won"))
 
 
-def segment_of(sets: DataFrame, most: int) -> Column:
-    """Number of the time segment of a set: cut at quantiles of time, so that each holds about `most` sets, but for sets of
-    one second. One segment for fewer sets."""
+def segment_cuts(sets: DataFrame, most: int) -> list[int]:
+    """Times at quantiles, between which about `most` sets lie, but for sets of one second; none for fewer sets."""
     n = -(-sets.count() // most)
-    cuts = sets.agg(F.percentile_approx("completed_at", [i / n for i in range(1, n)], 10_000)).first()[0] if n > 1 else []
-    return F.size(F.filter(F.array(*map(F.lit, sorted(set(cuts)))), lambda x: x <= F.col("completed_at"))).cast("long") if cuts else F.lit(0).cast("long")
+    return sorted(set(sets.agg(F.percentile_approx("completed_at", [i / n for i in range(1, n)], 10_000)).first()[0])) if n > 1 else []
+
+
+def segment_of(cuts: list[int]) -> Column:
+    """Number of the time segment of a set: comparisons by halves, as many as the binary digits of the cuts' number."""
+    def pick(a: int, e: int) -> Column:
+        if a == e:
+            return F.lit(a)
+        mid = (a + e) // 2
+        return F.when(F.col("completed_at") < cuts[mid], pick(a, mid)).otherwise(pick(mid + 1, e))
+
+    return pick(0, len(cuts)).cast("long")
 
 
 def _tail(results: Column, n: Column | int) -> Column:
@@ -115,8 +124,8 @@ def pair_state(sets: DataFrame, state: DataFrame | None = None) -> DataFrame:
 def history_features(completed: DataFrame, n: int = 30, most: int | None = None, players: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
     """completed_sets with experience, form, head-to-head, seed and target columns. most: sets of a time segment, beyond
     which histories are scanned by segments; players, pairs: states after earlier sets."""
-    if most and completed.count() > most:
-        completed = completed.withColumn("segment", segment_of(completed, most))
+    if most and (cuts := segment_cuts(completed, most)):
+        completed = completed.withColumn("segment", segment_of(cuts))
     h = player_history(long_form(completed), n, players)
     pick = lambda c, i: F.max(F.when(F.col("slot") == i, F.col(c)))
     wide = h.groupBy("set_id").agg(*(pick(c, i).alias(f"p{i}_{c}") for i in (1, 2) for c in ("sets_played", "recent_wr")))

@@ -11,6 +11,7 @@ from ..sources.tables import decided, table_stats
 
 # The report's edges, common score lines and tiers in their order.
 SEED_GAPS = [0, 2, 5, 10, 25, 50, 100, 5000]
+SEED_GAP_LABELS = ["1-2", "3-5", "6-10", "11-25", "26-50", "51-100", "100+"]
 SCORE_LINES = ["2-0", "2-1", "3-0", "3-1", "3-2"]
 TIERS = ["Supermajor (500+)", "Major (200-499)", "Regional (100-199)"]
 THRESHOLDS = [5, 10, 25, 50, 100]
@@ -68,7 +69,7 @@ def seed_accuracy(sets: DataFrame) -> DataFrame:
 
 
 def seed_accuracy_by_gap(sets: DataFrame) -> DataFrame:
-    return _seeded(sets).groupBy(bucket(F.col("gap"), SEED_GAPS).alias("gap")).agg(F.avg("hit").alias("rate"), F.count(F.lit(1)).alias("n")).filter("gap is not null")
+    return _seeded(sets).groupBy(bucket(F.col("gap"), SEED_GAPS, SEED_GAP_LABELS).alias("gap")).agg(F.avg("hit").alias("rate"), F.count(F.lit(1)).alias("n")).filter("gap is not null")
 
 
 def sets_per_player(sets: DataFrame) -> DataFrame:

@@ -18,16 +18,17 @@ from ..sources.tables import load_tables, staged, write_table
 MOST = 500_000
 
 
-def _columns(rows: DataFrame, rated: DataFrame) -> DataFrame:
+def feature_columns(rows: DataFrame, rated: DataFrame) -> DataFrame:
+    """The 27 columns from history_features' rows and their ratings."""
     rated = rated.select("set_id", "p1_elo", "p2_elo", (F.col("p1_elo") - F.col("p2_elo")).alias("elo_diff"), "p1_expected")
     return rows.join(rated, "set_id").select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in FEATURES.fields))
 
 
 def build_features(tables: dict[str, DataFrame], pool: str | None = None, most: int = MOST) -> DataFrame:
     """27 ordered columns, one row per decided set, nothing in them from the set itself or later but its outcome."""
-    done = completed_sets(tables["sets"], tables["events"], tables["tournaments"])
+    done = staged(completed_sets(tables["sets"], tables["events"], tables["tournaments"]), "completed")  # read by ratings and histories
     rated = elo_ratings(done, pool) if pool else elo_ratings_bounded(done, most)
-    return _columns(history_features(done, most=most), rated)
+    return feature_columns(history_features(done, most=most), rated)
 
 
 def continued_features(tables: dict[str, DataFrame], path: str, most: int = MOST) -> DataFrame:
@@ -40,7 +41,7 @@ def continued_features(tables: dict[str, DataFrame], path: str, most: int = MOST
     state = read_state(spark, path)
     players, pairs = state if state else (None, None)
     rated = staged(elo_ratings_bounded(done, most, None if players is None else players.select("player_id", "rating", F.col("sets_played").alias("played"))), "batch-rated")
-    rows = staged(_columns(history_features(done, most=most, players=players, pairs=pairs), rated), "batch-features")
+    rows = staged(feature_columns(history_features(done, most=most, players=players, pairs=pairs), rated), "batch-features")
     now = player_state(long_form(done), state=players).join(end_state(done, rated, None if players is None else players.select("player_id", "rating", F.col("sets_played").alias("played"))).select("player_id", "rating"), "player_id")
     write_versioned({"players": now, "pairs": pair_state(done, pairs)}, path)
     return rows

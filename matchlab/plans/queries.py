@@ -12,7 +12,7 @@ from ..functions.columns import date_to_epoch
 from ..operators import elo, evaluation, explain, export, history, ingest, modeling, quality, reports, snapshots
 from ..sources import schemas, stored, tables
 from ..sources.fixture import CTES, match_tables
-from .features import build_features, continued_features
+from .features import build_features, continued_features, feature_columns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -306,6 +306,14 @@ def c3_elo_ratings(spark, d, t):
     return r.select("set_id", "p1_elo", "p2_elo", (F.col("p1_elo") - F.col("p2_elo")).alias("elo_diff"), "p1_expected")
 
 
+@_query(ORACLE_SQL["c3_elo_ratings"])
+def c3_elo_by_parts(spark, d, t):
+    """The same ratings in slices that are closed once their largest connected part has a quarter of their sets."""
+    done = tables.staged(_done(t), "done")
+    r = elo.elo_ratings_sliced(done, most=500_000, share=0.25, least=max(1, done.count() // 8))
+    return r.select("set_id", "p1_elo", "p2_elo", (F.col("p1_elo") - F.col("p2_elo")).alias("elo_diff"), "p1_expected")
+
+
 @_query(_sql(f"select {_H}, event_id, tournament_id, tournament_name, round(p1_elo, 6) as p1_elo, round(p2_elo, 6) as p2_elo, round(elo_diff, 6) as elo_diff, round(p1_expected, 6) as p1_expected, player1_seed as p1_seed, player2_seed as p2_seed, cast(att as bigint) as num_attendees, player1_score as p1_score, player2_score as p2_score, p1_won from feat", _ELO))
 def c11_features(spark, d, t):
     return _features(t)
@@ -443,7 +451,9 @@ form as (select player_id, avg(won) over (partition by player_id order by comple
 @_query(_sql("select e.key as player_id, round(e.value, 6) as elo, g[e.key] as sets_played, round(wr, 6) as recent_wr from rated join form on player_id = e.key", _ELO, _AFTER))
 def g1_snapshot_after(spark, d, t):
     """Values after each player's last set."""
-    return snapshots.player_snapshot(_features(t), elo.elo_ratings_bounded(_done(t)))
+    done = tables.staged(_done(t), "done")
+    rated = tables.staged(elo.elo_ratings_bounded(done), "rated")
+    return snapshots.player_snapshot(feature_columns(history.history_features(done), rated), rated)
 
 
 @_query(_sql("select player_id, wins, total_sets from totals", _TOTALS))
@@ -585,7 +595,7 @@ def h9_seed_accuracy(spark, d, t):
     return reports.seed_accuracy(t["sets"])
 
 
-@_query(_sql("select case when gap <= 2 then '(0, 2]' when gap <= 5 then '(2, 5]' when gap <= 10 then '(5, 10]' when gap <= 25 then '(10, 25]' when gap <= 50 then '(25, 50]' when gap <= 100 then '(50, 100]' else '(100, 5000]' end as gap, round(avg(hit), 6) as rate, count(*) as n from sd group by 1", _SEEDED))
+@_query(_sql("select case when gap <= 2 then '1-2' when gap <= 5 then '3-5' when gap <= 10 then '6-10' when gap <= 25 then '11-25' when gap <= 50 then '26-50' when gap <= 100 then '51-100' else '100+' end as gap, round(avg(hit), 6) as rate, count(*) as n from sd group by 1", _SEEDED))
 def h10_seed_accuracy_by_gap(spark, d, t):
     return reports.seed_accuracy_by_gap(t["sets"])
 

@@ -48,8 +48,8 @@ def _league(n=200, players=12, seed=3):
 
 
 def test_elo_cases():
-    assert elo.expected(1500, 1500) == 0.5
-    assert abs(elo.expected(1900, 1500) - 10 / 11) < 1e-9
+    assert elo.expected(1640, 1640) == 0.5
+    assert abs(elo.expected(1700, 1500) - 1 / (1 + 10**-0.5)) < 1e-12 and abs(elo.expected(1280, 1333) + elo.expected(1333, 1280) - 1) < 1e-12
     r, n = {}, {}
     first = elo.fold(pd.DataFrame([(1, 10, 100, 200, 100)], columns=_league(1).columns), r, n)
     assert (first.p1_elo[0], first.p1_post[0], first.p2_post[0]) == (1500.0, 1532.0, 1468.0)
@@ -69,6 +69,30 @@ def test_elo_modes_agree_and_continue(spark):
     assert (later.p1_elo == want.p1_elo[120:]).all()
 
 
+def test_elo_slices_closed_by_the_graph(spark):
+    r = random.Random(9)
+    rows = []
+    for i in range(600):  # ten groups that rarely meet
+        g = r.randrange(10)
+        a, b = r.sample(range(20), 2)
+        other = g if r.random() < 0.97 else r.randrange(10)
+        rows.append((i, 1000 + i // 2, 100 * g + a, 100 * other + b, 100 * g + a if r.random() < 0.6 else 100 * other + b))
+    pdf = pd.DataFrame(rows, columns=_league(1).columns)
+    want = elo.fold(pdf, {}, {}).set_index("set_id")
+    cut = elo._parts(pdf.assign(slice=3), 0.3, 40)
+    groups = cut.groupby("slice")
+    assert len(groups) > 3 and set(cut.slice // elo.FINER) == {3} and list(cut.set_id) == sorted(cut.set_id)
+    for _, g in groups:
+        largest = g.groupby("part").size().max()
+        assert g.part.nunique() > 1 and (largest <= 0.3 * len(g) + 30 or len(g) == 40)
+        pairs = list(zip(g.player1_id, g.player2_id, g.part))
+        of = {}
+        for p, q, part in pairs:
+            assert of.setdefault(p, part) == part and of.setdefault(q, part) == part  # parts share no players
+    got = elo.elo_ratings_sliced(spark.createDataFrame(pdf), most=250, share=0.3, least=40).toPandas().set_index("set_id").sort_index()
+    assert (got.p1_elo == want.p1_elo).all() and (got.p2_post == want.p2_post).all() and len(got) == 600
+
+
 def _hot_league(n=400):
     """Player 1 plays a third of the sets, most of them against player 2; some sets end at the same second."""
     pdf = _league(n)
@@ -86,7 +110,7 @@ def test_history_by_segments_equals_the_window(spark, most):
     want = history.history_features(done).orderBy("set_id")
     got = history.history_features(done, most=most).orderBy("set_id")
     assert sorted(got.columns) == sorted(want.columns) and got.select(want.columns).collect() == want.collect()
-    long = history.long_form(done.withColumn("segment", history.segment_of(done, 20)))
+    long = history.long_form(done.withColumn("segment", history.segment_of(history.segment_cuts(done, 20))))
     shares = [r["count"] for r in long.groupBy("player_id", "segment").count().collect()]
     assert max(shares) <= 30 and long.filter("player_id = 1").count() > 130  # the hot player's rows go to many windows
 
@@ -292,6 +316,29 @@ def test_models_against_numpy(spark, tmp_path):
     assert export.export_results(results, path).count() == 12
 
 
+def test_served_predictions_are_the_model_s(spark):
+    from matchlab.operators import explain, modeling
+
+    t = _tables_of(_league(300), spark)
+    f = tables.staged(features.build_features(t), "test-features")
+    model = modeling.train_boosted(f, trees=4, depth=3, min_hessian=1.0)
+    ask = t["sets"].select("player1_id", "player2_id").distinct()
+    match = snapshots.matchup_features(ask, snapshots.player_snapshot(f), snapshots.h2h_records(t["sets"])).orderBy("player1_id", "player2_id").toPandas()
+    margin = model.margin(match[modeling.CORE].to_numpy(float))
+    got = snapshots.predict_matchups(model, ask, snapshots.player_snapshot(f), snapshots.h2h_records(t["sets"])).orderBy("player1_id", "player2_id").toPandas()
+    p = 1 / (1 + np.exp(-margin))
+    assert np.allclose(got.p1_win, p) and np.allclose(got.p2_win, 1 - p)
+    assert (got.favourite == np.where(p > 1 - p, got.player1_id, got.player2_id)).all() and (got.underdog == np.where(p > 1 - p, got.player2_id, got.player1_id)).all()
+    rows = spark.createDataFrame(match)
+    shown = explain.explain_matchup(explain.explain(model, rows, ["player1_id", "player2_id"]), ["player1_id", "player2_id"]).toPandas()
+    base = explain.explain(model, rows, ["player1_id", "player2_id"]).first()["base"]
+    total = shown.groupby(["player1_id", "player2_id"]).value.sum().sort_index().to_numpy()
+    assert len(shown) == 9 * len(match) and np.allclose(base + total, margin)
+    assert ((shown.value > 0) == (shown.favors == "Favors player 1")).all()
+    report = evaluation.importance_report(modeling.importances(model)).collect()
+    assert len(report) == 9 and [r["importance"] for r in report] == sorted((r["importance"] for r in report), reverse=True)
+
+
 def test_walk_forward_equals_a_loop_over_folds(spark):
     from matchlab.operators import boosting, modeling
 
