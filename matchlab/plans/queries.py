@@ -310,7 +310,7 @@ def c3_elo_ratings(spark, d, t):
 def c3_elo_by_parts(spark, d, t):
     """The same ratings in slices that are closed once their largest connected part has a quarter of their sets."""
     done = tables.staged(_done(t), "done")
-    r = elo.elo_ratings_sliced(done, most=500_000, share=0.25, least=max(1, done.count() // 8))
+    r = elo.elo_ratings_sliced(done, every=1, most=500_000, share=0.25, least=max(1, done.count() // 8))
     return r.select("set_id", "p1_elo", "p2_elo", (F.col("p1_elo") - F.col("p2_elo")).alias("elo_diff"), "p1_expected")
 
 
