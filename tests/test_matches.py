@@ -518,3 +518,17 @@ def test_models_are_registered_whole(spark, monkeypatch):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_elo_slices_move_each_state_once(spark, monkeypatch):
+    """A slice reads its own sets and its own players' state: nothing of earlier slices is rated or joined again."""
+    pdf = _league(400, players=30)
+    old = pd.DataFrame([(p, 1500.0 + p, p) for p in range(1, 20)] + [(99, 1700.0, 3)], columns=["player_id", "rating", "played"])
+    want = elo.fold(pdf, dict(zip(old.player_id, old.rating)), dict(zip(old.player_id, old.played))).set_index("set_id")
+
+    def again(*_):
+        raise AssertionError("the state of all players was computed from a slice's ratings")
+
+    monkeypatch.setattr(elo, "end_state", again)
+    got = elo.elo_ratings_sliced(spark.createDataFrame(pdf), most=40, state=spark.createDataFrame(old)).toPandas().set_index("set_id").sort_index()
+    assert (got.p1_elo == want.p1_elo).all() and (got.p2_post == want.p2_post).all() and (got.p2_played == want.p2_played).all() and len(got) == 400
