@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import upsert, upsert_table
+from ..sources.tables import staged, upsert, upsert_table
 
 
 def time_chunks(spark: SparkSession, after: int, before: int, days: int = 90) -> DataFrame:
@@ -117,16 +117,16 @@ def broken_tournaments(nodes: DataFrame, events: DataFrame, sets: DataFrame) ->
 def ingest(raw_tournaments: DataFrame, raw_sets: DataFrame, target: dict[str, DataFrame] | None = None, min_attendees: int = 50, game_id: int = 1) -> dict[str, DataFrame]:
     """The five tables after the batch, and _rejects (kind, tournament_id, reason, line): raw lines that did not parse, and
     tournaments left out whole because one of their nodes breaks a rule; the others go through. Events already stored
-    are skipped."""
+    are skipped. Tournament nodes, set nodes and broken tournaments are stored once; the tables read them."""
     target = target or {}
     ok = raw_tournaments.filter("_corrupt is null") if "_corrupt" in raw_tournaments.columns else raw_tournaments
-    nodes = eligible_tournaments(ok, min_attendees)
+    nodes = staged(eligible_tournaments(ok, min_attendees), "ingest-tournaments")  # nodes are parsed once for all tables
     events = explode_events(nodes, game_id)
     if "sets" in target:
         events = events.filter("id is null").unionByName(new_events(events.filter("id is not null"), target["sets"]))
     good = raw_sets.filter("_corrupt is null") if "_corrupt" in raw_sets.columns else raw_sets
-    mine = parse_slots(good.join(events.select(F.col("id").alias("eventId"), "tournament_id").dropDuplicates(["eventId"]), "eventId"))
-    broken = broken_tournaments(nodes, events, mine)
+    mine = staged(parse_slots(good.join(events.select(F.col("id").alias("eventId"), "tournament_id").dropDuplicates(["eventId"]), "eventId")), "ingest-sets")
+    broken = staged(broken_tournaments(nodes, events, mine), "ingest-broken")
     lost = broken.select("tournament_id").distinct()
     nodes = nodes.join(lost.withColumnRenamed("tournament_id", "id"), "id", "left_anti")
     events, mine = events.join(lost, "tournament_id", "left_anti"), mine.join(lost, "tournament_id", "left_anti")

@@ -532,3 +532,23 @@ def test_elo_slices_move_each_state_once(spark, monkeypatch):
     monkeypatch.setattr(elo, "end_state", again)
     got = elo.elo_ratings_sliced(spark.createDataFrame(pdf), most=40, state=spark.createDataFrame(old)).toPandas().set_index("set_id").sort_index()
     assert (got.p1_elo == want.p1_elo).all() and (got.p2_post == want.p2_post).all() and (got.p2_played == want.p2_played).all() and len(got) == 400
+
+
+def test_ingest_parses_each_node_once(spark):
+    from matchlab.plans import queries
+    from matchlab.sources.fixture import match_tables
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def marked(x):
+        seen.add(1)
+        return x
+
+    t = match_tables(spark, SF)
+    nodes = tables.staged(queries._nodes(t), "nodes")
+    n = nodes.count()
+    out = ingest.ingest(queries._tournament_nodes(t), nodes.withColumn("state", marked("state").cast("int")), None, 200)
+    for df in out.values():
+        df.collect()
+    assert 0 < seen.value <= n
