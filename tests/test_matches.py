@@ -552,3 +552,22 @@ def test_ingest_parses_each_node_once(spark):
     for df in out.values():
         df.collect()
     assert 0 < seen.value <= n
+
+
+def test_boosted_trees_by_column_end_in_the_same_nodes():
+    from matchlab.operators import boosting
+
+    r = np.random.default_rng(4)
+    bins = r.integers(0, 200, (500, 6)).astype(np.uint8)
+    columns = np.ascontiguousarray(bins.T).astype(np.int64)
+    for depth in range(1, 7):
+        t = boosting.Tree(depth)
+        assert (t.by_column(columns) == t.by_bin(bins)).all()
+        for i in range(2**depth - 1):
+            if i == 0 or (t.feature[(i - 1) // 2] >= 0 and r.random() < 0.7):
+                t.feature[i], t.bin[i] = r.integers(0, 6), r.integers(0, 200)
+        assert (t.by_column(columns) == t.by_bin(bins)).all()
+    # lots of one seed and tree serve models of different shares
+    ids = r.integers(-(2**62), 2**62, 500)
+    a, b = (boosting.drawn(ids, boosting.Setting(rows=x), 3, boosting.lots(ids, 42, 3)) for x in (0.3, 0.8))
+    assert (a <= b).all() and (b == boosting.drawn(ids, boosting.Setting(rows=0.8), 3)).all()
