@@ -11,11 +11,10 @@ scored once, in the half that has context, and batches of windows go through one
 2. Word counts over all training documents are summed; every distinct word is encoded once, which also gives the
    subword counts.
 3. Counts and subword ids go back to the blocks, which are written with them.
-4. The network starts from the classes' shares of all training ids and is fitted on one in `share` windows of every
-   training text, evenly spread over its whole length, so on a constant share of any input. Each of `rounds` passes
-   takes its part of the texts: Adam reads the blocks of a task one after another, from the same start again after every
-   `length` windows, and the outcomes are averaged (an id's embedding over those that hold it, by its places there). The
-   scores are then one more pass over the blocks.
+4. The network starts from the classes' shares of all training ids and is fitted on every window of every training text:
+   each place is a target once. Each of `rounds` passes takes its part of the texts: Adam reads the blocks of a task one
+   after another, from the same start again after every `length` windows, and the outcomes are averaged (an id's embedding
+   over those that hold it, by its places there). The scores are then one more pass over the blocks.
 
 Blocks are numbered by their documents and sums are made in the order of these numbers, so two runs over the same files
 give the same scores; other files or task sizes make other blocks, and scores that differ a little.
@@ -201,9 +200,9 @@ class Attention:
             m[k] = 0.9 * m[k] + 0.1 * d
             v[k] = 0.99 * v[k] + 0.01 * d * d
             self.p[k] = (self.p[k] - rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
-        u, inv = np.unique(ids, return_inverse=True)
-        ge = np.zeros((len(u), self.dim), np.float32)
-        np.add.at(ge, inv.ravel(), dx.reshape(-1, self.dim))
+        order = np.argsort(ids, axis=None, kind="stable")
+        u, first = np.unique(ids.ravel()[order], return_index=True)
+        ge = np.add.reduceat(dx.reshape(-1, self.dim)[order], first, axis=0)
         state["seen"][u] += (ge * ge).mean(1)
         self.p["E"][u] -= 5 * rate * ge / np.sqrt(state["seen"][u])[:, None]
 
@@ -420,9 +419,9 @@ BUCKETS, RANGES = 64, 32
 LAST = (1 << 63) - 1
 
 
-def train(encoded: DataFrame, classes: Classes, end_id: int, vocab: int, rounds: int = 2, share: int = 16, batch: int = 32, rate: float = 0.02, seed: int = 5, length: int = 12_000) -> Attention:
-    """Fit on one in `share` windows of every training text, of a part of the texts in each round; the rate falls to 0
-    over the rounds."""
+def train(encoded: DataFrame, classes: Classes, end_id: int, vocab: int, rounds: int = 2, share: int = 1, batch: int = 32, rate: float = 0.02, seed: int = 5, length: int = 12_000) -> Attention:
+    """Fit on every window of every training text, of a part of the texts in each round; the rate falls to 0 over the
+    rounds. share: a caller may fit on one in so many windows instead; the query does not."""
     spark = encoded.sparkSession
     model = Attention(vocab, classes.number, size=classes.size)
     state, dim = model.start(), model.dim

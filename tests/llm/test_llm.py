@@ -322,6 +322,20 @@ def test_lm_trains_on_texts_of_any_length(spark):
         assert np.ptp(model.p["E"][unseen], axis=0).max() == 0
 
 
+def test_lm_trains_on_every_window(spark):
+    docs = [d for d in range(40) if not lm.held_out(d)][:6]
+    rows = [(d, " ".join(str(1000 * (i + 1) + 7 * j) for j in range(900))) for i, d in enumerate(docs)]  # ids that few windows hold
+    encoded, classes, _ = lm.prepare(spark.createDataFrame(rows, "doc_id long, text string"), TOKENIZER, 50256)
+    vocab = lm.encoder(TOKENIZER).tok.get_vocab_size()
+    ids = np.unique(lm.encoder(TOKENIZER).encode(["".join(" " + w for w in t.split()).encode() for _, t in rows])[0])
+    start = lm.Attention(vocab, classes.number)
+    moved = (lm.train(encoded, classes, 50256, vocab).p["E"] != start.p["E"]).any(1)
+    others = np.setdiff1d(np.arange(vocab), np.append(ids, 50256))
+    rest = lm.train(encoded, classes, 50256, vocab).p["E"]
+    assert moved[ids].all() and len(np.unique(rest[ids], axis=0)) == len(ids)  # each has its own embedding, none the others' mean
+    assert np.ptp(rest[others], axis=0).max() == 0
+
+
 def test_rules(docs, empty):
     got = {r["doc_id"]: r for r in rules.apply_policy(rules.ledger(docs), "clean-1").collect()}
     assert got[1]["kept"] and not got[4]["kept"] and got[4]["n_words"] == 0
