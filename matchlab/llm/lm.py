@@ -7,10 +7,10 @@ texts: P(id | context) = P(class | context) * P(id | class). A word's chance is
 of all training words, the unigram model that the base score uses alone. Context windows overlap by half, each id is
 scored once, in the half that has context, and batches of windows go through one masked attention.
 
-1. Blocks of documents keep their words as numbers into the block's word list.
-2. Word counts over all training documents are summed; every distinct word is encoded once, which also gives the
-   subword counts.
-3. Counts and subword ids go back to the blocks, which are written with them.
+1. Blocks of documents keep their words as numbers into the block's word list, which is sorted by hash.
+2. Each block sends its words as one row per range of hashes. There counts over all training documents are summed, and
+   every distinct word is encoded once, which also gives the subword counts.
+3. Counts and subword ids go back to the blocks, again as one row per range, and the blocks are written with them.
 4. The network starts from the classes' shares of all training ids and is fitted on every window of every training text:
    each place is a target once. Each of `rounds` passes takes its part of the texts: Adam reads the blocks of a task one
    after another, from the same start again after every `length` windows, and the outcomes are averaged (an id's embedding
@@ -36,13 +36,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, discard, keyed, slices, staged, text_chunks, word_codes
+from .common import column, discard, hash_words, keyed, slices, staged, text_chunks, word_codes
 from .tokens import encoder
 
 HALF = 16
 CONTEXT = 2 * HALF
 FOLDS, HELD = 5, 1
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 8_000_000
 
 
 def held_out(doc_id) -> bool:
@@ -274,7 +274,8 @@ def mixed(each: np.ndarray, lens: np.ndarray, unigram: np.ndarray) -> np.ndarray
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    """One row per block: its documents, the words' numbers, the distinct words, and their counts in training texts."""
+    """One row per block: its documents, the words' numbers, the distinct words in the order of their hashes, and their
+    counts in training texts. Numbers and lengths are packed, so a block is a few large values."""
 
     def run(batches):
         state = None
@@ -283,19 +284,24 @@ def _blocks(docs: DataFrame) -> DataFrame:
             return {"number": {}, "codes": [], "docs": [], "ths": [], "lens": [], "train": [], "size": 0}
 
         def close(s):
-            n = len(s["number"])
-            codes, lens = np.concatenate(s["codes"]), np.array(s["lens"], np.int64)
-            train = np.bincount(codes[np.repeat(np.array(s["train"], bool), lens)], minlength=n)
+            words, lens = list(s["number"]), np.array(s["lens"], np.int64)
+            order = np.argsort(hash_words(words), kind="stable")
+            place = np.empty(len(words), np.int32)
+            place[order] = np.arange(len(words), dtype=np.int32)
+            codes = place[np.concatenate(s["codes"])] if len(words) else np.empty(0, np.int32)
+            train = np.bincount(codes[np.repeat(np.array(s["train"], bool), lens)], minlength=len(words))
+            words = [words[i] for i in order.tolist()]
             # numbered by its documents: the same in every run and attempt
             block = xxhash.xxh3_64_intdigest(repr((s["docs"], s["ths"])).encode()) >> 1
-            return pa.RecordBatch.from_arrays([pa.array([block]), pa.array([s["docs"]], pa.list_(pa.int64())), pa.array([s["ths"]], pa.list_(pa.int64())), pa.array([s["lens"]], pa.list_(pa.int64())), pa.array([codes.astype("<i4").tobytes()], pa.large_binary()).cast(pa.binary()), pa.array([list(s["number"])], pa.list_(pa.binary())), pa.array([train.tolist()], pa.list_(pa.int64()))], names=["block", "docs", "ths", "lens", "codes", "words", "train"])
+            packed = [codes.astype("<i4").tobytes(), b"".join(words), np.array([len(w) for w in words], "<u4").tobytes(), train.astype("<u4").tobytes()]
+            return pa.RecordBatch.from_arrays([pa.array([block]), pa.array([s["docs"]], pa.list_(pa.int64())), pa.array([s["ths"]], pa.list_(pa.int64())), pa.array([s["lens"]], pa.list_(pa.int64())), *(pa.array([x], pa.binary()) for x in packed)], names=["block", "docs", "ths", "lens", "codes", "words", "sizes", "train"])
 
         for b, texts in text_chunks(batches, limit=2_000_000):
             state = state or fresh()
             codes, counts, uniq = word_codes(texts, lower=True)
             number = state["number"]
-            at = np.fromiter((number.setdefault(w, len(number)) for w in uniq), np.int64, len(uniq))
-            state["codes"].append(at[codes] if len(codes) else codes)
+            at = np.fromiter((number.setdefault(w, len(number)) for w in uniq), np.int32, len(uniq))
+            state["codes"].append(at[codes] if len(codes) else np.empty(0, np.int32))
             ids = column(b, "doc_id").to_pylist()
             state["docs"] += ids
             state["ths"] += column(b, "th").to_pylist()
@@ -308,22 +314,76 @@ def _blocks(docs: DataFrame) -> DataFrame:
         if state:
             yield close(state)
 
-    return staged(keyed(docs).mapInArrow(run, "block long, docs array<long>, ths array<long>, lens array<long>, codes binary, words array<binary>, train array<long>"), "op5-blocks")
+    return staged(keyed(docs).mapInArrow(run, "block long, docs array<long>, ths array<long>, lens array<long>, codes binary, words binary, sizes binary, train binary"), "op5-blocks")
 
 
-def _vocabulary(blocks: DataFrame, tokenizer: str) -> DataFrame:
-    """(word, c, ids): counts over all training texts and the word's subword ids, for every word of any text."""
-    words = blocks.select(F.inline(F.arrays_zip("words", "train"))).groupBy(F.col("words").alias("word")).agg(F.sum("train").alias("c"))
+def _packed_words(words: bytes, sizes: bytes) -> list[bytes]:
+    ends = np.cumsum(np.frombuffer(sizes, "<u4"), dtype=np.int64).tolist()
+    return [words[a:e] for a, e in zip([0, *ends], ends)]
+
+
+def _compact(x: np.ndarray) -> bytes:
+    return x.astype("<u4" if not len(x) or x.max() < 1 << 32 else "<u8").tobytes()
+
+
+REPLY = "bucket long, block long, c binary, sub binary, flat binary, id array<long>, n array<long>, total long, known long"
+
+
+def _replies(blocks: DataFrame, tokenizer: str, buckets: int) -> DataFrame:
+    """For each block and range of word hashes the words' counts over all training texts and their subword ids, in the
+    block's order; and per range, as block -1, the counts of subword ids, of words and of distinct ones. A block sends its
+    words of a range as one row, so what moves is the words themselves, and each word is encoded once."""
+
+    def ask(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                block, words, sizes, train = (column(b, c)[i].as_py() for c in ("block", "words", "sizes", "train"))
+                h = hash_words(_packed_words(words, sizes))
+                bucket = ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)  # rises with the hash
+                at = np.searchsorted(bucket, np.arange(buckets + 1))
+                ends = np.r_[0, np.cumsum(np.frombuffer(sizes, "<u4"), dtype=np.int64)]
+                rows = [(k, block, words[ends[a] : ends[e]], sizes[4 * a : 4 * e], train[4 * a : 4 * e]) for k, (a, e) in enumerate(zip(at.tolist(), at[1:].tolist())) if e > a]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=["bucket", "block", "words", "sizes", "train"])
+
+    def answer(batches):
+        enc, held, at = encoder(tokenizer), [], None
+        small = "<u2" if enc.tok.get_vocab_size() <= 1 << 16 else "<u4"
+
+        def close():
+            number: dict[bytes, int] = {}
+            places = [np.fromiter((number.setdefault(w, len(number)) for w in _packed_words(w, s)), np.int64, len(s) // 4) for _, w, s, _ in held]
+            c = np.zeros(len(number), np.int64)
+            for p, (_, _, _, t) in zip(places, held):
+                c[p] += np.frombuffer(t, "<u4")  # no word comes twice in a block
+            ids, lens = enc.encode([_valid(b" " + w) for w in number])
+            enc.forget()  # no word comes twice
+            ids, lens = np.asarray(ids).astype(small), np.asarray(lens, np.int64)
+            start = np.cumsum(lens) - lens
+            for p, (block, *_) in zip(places, held):
+                yield row(at, block, _compact(c[p]), lens[p].astype("<u4").tobytes(), ids[slices(start[p], lens[p])].tobytes(), [], [], 0, 0)
+            sums = np.zeros(enc.tok.get_vocab_size(), np.int64)
+            np.add.at(sums, ids, np.repeat(c, lens))
+            of = np.flatnonzero(sums)
+            yield row(at, -1, b"", b"", b"", of, sums[of], int(c.sum()), int((c > 0).sum()))
 
-    def run(batches):
         for b in batches:
-            raw = [b" " + w for w in column(b, "word").to_pylist()]
-            ids, lens = encoder(tokenizer).encode([_valid(x) for x in raw])
-            ends = np.cumsum(lens)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([ids[e - k : e].astype("<u4").tobytes() for e, k in zip(ends, lens)], pa.binary())], names=["word", "c", "ids"])
-        encoder(tokenizer).forget()  # no word comes twice
+            for bucket, *chunk in zip(*(c.to_pylist() for c in b.columns)):
+                if bucket != at and held:
+                    yield from close()
+                    held = []
+                at = bucket
+                held.append(chunk)
+        if held:
+            yield from close()
+
+    def row(*values):
+        types = [pa.int64(), pa.int64(), *[pa.binary()] * 3, *[pa.list_(pa.int64())] * 2, pa.int64(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names=[c.split()[0] for c in REPLY.split(", ")])
 
-    return staged(words.mapInArrow(run, "word binary, c long, ids binary"), "op5-words")
+    asked = blocks.select("block", "words", "sizes", "train").mapInArrow(ask, "bucket long, block long, words binary, sizes binary, train binary")
+    met = asked.repartition(buckets, "bucket").sortWithinPartitions("bucket", "block")
+    return staged(met.mapInArrow(answer, REPLY), "op5-words")
 
 
 def _valid(x: bytes) -> bytes:
@@ -338,40 +398,28 @@ def prepare(docs: DataFrame, tokenizer: str, end_id: int) -> tuple[DataFrame, Cl
     """Blocks with their words' counts and subword ids, the classes of ids, and the number of training tokens, of
     distinct ones and of training texts."""
     blocks = _blocks(docs)
-    words = _vocabulary(blocks, tokenizer)
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), blocks.count() // 2)  # a range holds what few blocks hold
+    words = _replies(blocks, tokenizer, buckets)
     ends = blocks.select(F.explode("docs").alias("doc_id")).filter(_training("doc_id")).count()
-    total = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
+    sums = words.filter("block < 0")
+    total = sums.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n"), F.coalesce(F.sum("known"), F.lit(0)).alias("v")).first()
     vocab = encoder(tokenizer).tok.get_vocab_size()
-
-    def count(batches):
-        out = np.zeros(vocab, np.int64)
-        for b in batches:
-            lens = np.array([len(x) // 4 for x in column(b, "ids").to_pylist()], np.int64)
-            ids = np.frombuffer(b"".join(column(b, "ids").to_pylist()), "<u4")
-            out += np.bincount(ids, weights=np.repeat(column(b, "c").to_numpy(), lens), minlength=vocab).astype(np.int64)
-        at = np.flatnonzero(out)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(out[at])], names=["id", "c"])
-
     counts = np.zeros(vocab)
-    for r in words.mapInArrow(count, "id long, c long").groupBy("id").agg(F.sum("c").alias("c")).collect():  # at most the tokenizer's ids
+    for r in sums.select(F.inline(F.arrays_zip("id", "n"))).groupBy("id").agg(F.sum("n").alias("c")).collect():  # at most the tokenizer's ids
         counts[r["id"]] = r["c"]
     counts[end_id] += ends
     tok = encoder(tokenizer).tok
     begins = np.array([(tok.id_to_token(i) or "").startswith("Ġ") for i in range(vocab)])
 
     def run(block: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        size = int(known["at"].max()) + 1 if len(known) else 0
-        at = known["at"].to_numpy()
-        c, lens = np.zeros(size, np.int64), np.zeros(size, np.int64)
-        c[at] = known["c"]
-        raw = known["ids"].to_list()
-        lens[at] = [len(x) // 4 for x in raw]
-        flat = b"".join(raw[i] for i in np.argsort(at))
-        return block.assign(c=[c.tobytes()] * len(block), sub=[lens.tobytes()] * len(block), flat=[flat] * len(block))
-
-    named = blocks.select(F.col("block").alias("of_block"), F.posexplode("words").alias("at", "word")).join(words, "word").select("of_block", "at", "c", "ids")
+        known = known.sort_values("bucket").drop_duplicates("bucket")  # blocks of the same rows ask, and are told, the same
+        c = [np.frombuffer(x, "<u4" if len(x) == len(s) else "<u8") for x, s in zip(known["c"], known["sub"])]
+        packed = _compact(np.concatenate(c)) if c else b""
+        return block.assign(c=[packed] * len(block), sub=[b"".join(known["sub"])] * len(block), flat=[b"".join(known["flat"])] * len(block))
+
     schema = "block long, docs array<long>, ths array<long>, lens array<long>, codes binary, c binary, sub binary, flat binary"
-    encoded = blocks.select("block", "docs", "ths", "lens", "codes").groupBy("block").cogroup(named.groupBy("of_block")).applyInPandas(run, schema)
+    known = words.filter("block >= 0").select("block", "bucket", "c", "sub", "flat")
+    encoded = blocks.select("block", "docs", "ths", "lens", "codes").groupBy("block").cogroup(known.groupBy("block")).applyInPandas(run, schema)
     encoded = staged(encoded, "op5-encoded")
     discard(blocks, words)
     return encoded, Classes(counts, begins, end_id), (total["n"] + ends, total["v"] + (ends > 0), ends)
@@ -383,8 +431,10 @@ class _Block:
     def __init__(self, b: pa.RecordBatch, i: int):
         get = lambda name: column(b, name)[i].as_py()
         self.number, self.docs, self.ths, self.counts = get("block"), get("docs"), get("ths"), np.array(get("lens"), np.int64)
-        self.codes, self.c, self.sub = np.frombuffer(get("codes"), "<i4"), np.frombuffer(get("c"), np.int64), np.frombuffer(get("sub"), np.int64)
-        self.flat = np.frombuffer(get("flat"), "<u4")
+        c, sub, flat = get("c"), get("sub"), get("flat")
+        self.codes, self.c = np.frombuffer(get("codes"), "<i4"), np.frombuffer(c, "<u4" if len(c) == len(sub) else "<u8").astype(np.int64)
+        self.sub = np.frombuffer(sub, "<u4").astype(np.int64)
+        self.flat = np.frombuffer(flat, "<u2" if len(flat) == 2 * self.sub.sum() else "<u4")
         self.start = np.cumsum(self.sub) - self.sub
         self.held = np.array([held_out(d) for d in self.docs], bool)
         self.first = np.r_[0, np.cumsum(self.counts)]
@@ -419,9 +469,9 @@ BUCKETS, RANGES = 64, 32
 LAST = (1 << 63) - 1
 
 
-def train(encoded: DataFrame, classes: Classes, end_id: int, vocab: int, rounds: int = 2, share: int = 1, batch: int = 32, rate: float = 0.02, seed: int = 5, length: int = 12_000) -> Attention:
+def train(encoded: DataFrame, classes: Classes, end_id: int, vocab: int, rounds: int = 2, share: int = 1, batch: int = 128, rate: float = 0.02, seed: int = 5, length: int = 12_000) -> Attention:
     """Fit on every window of every training text, of a part of the texts in each round; the rate falls to 0 over the
-    rounds. share: a caller may fit on one in so many windows instead; the query does not."""
+    rounds. batch: windows of a step, fewer where a part of a block has few. share: a caller may fit on one in so many windows instead; the query does not."""
     spark = encoded.sparkSession
     model = Attention(vocab, classes.number, size=classes.size)
     state, dim = model.start(), model.dim
@@ -457,9 +507,11 @@ def train(encoded: DataFrame, classes: Classes, end_id: int, vocab: int, rounds:
                 x, pad, target = windows(ids, k, end_id, share, int(r.integers(share)))
                 target = np.where(target >= 0, classes.of[ids[target]] if len(ids) else -1, -1)
                 order = r.permutation(len(x))
-                for i in range(0, len(x), batch):
+                step = max(min(32, batch), min(batch, len(x) // 16))  # few windows still make some steps
+                for i in range(0, len(x), step):
                     now = rate * (1 - (done + (j + i / len(x)) / len(blk.parts)) / rounds)
-                    m.step(s, x[order[i : i + batch]], pad[order[i : i + batch]], target[order[i : i + batch]], now)
+                    at = order[i : i + step]
+                    m.step(s, x[at], pad[at], target[at], now)
                 n += len(x)
                 places += np.bincount(x.ravel(), minlength=vocab)
             if n >= length:

@@ -249,6 +249,27 @@ def _plain_chance(m, classes, ids, end_id):
     return np.array(out)
 
 
+def test_lm_blocks_hold_the_ids_of_their_texts(spark):
+    """Also where two partitions hold the same rows, and in blocks that share words."""
+    rows = [(1, "Alpha beta, beta\u00e9 gamma"), (2, "x" * 700 + " beta"), (3, ""), (4, None), (5, "\u00ff zeta alpha")]
+    more = [(i, "beta zeta") for i in range(6, 11)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows + rows + more, 3), "doc_id long, text string")
+    encoded, _, (n, v, ends) = lm.prepare(docs, TOKENIZER, 50256)
+    enc, texts, found, train = lm.encoder(TOKENIZER), dict(rows + more), Counter(), Counter()
+    for d, _ in rows + rows + more:
+        if not lm.held_out(d):
+            train.update((texts[d] or "").lower().split())
+    for b in encoded.toArrow().to_batches():
+        for blk in lm._one_by_one([b]):
+            counts = blk.c[blk.codes]
+            for i, d in enumerate(blk.docs):
+                words = (texts[d] or "").lower().split()
+                found[d] += 1
+                assert blk.ids(i, i + 1, 50256)[2].tolist() == [k for w in words for k in enc.encode([b" " + w.encode()])[0].tolist()] + [50256]
+                assert counts[blk.first[i] : blk.first[i + 1]].tolist() == [train[w] for w in words]
+    assert found == Counter(d for d, _ in rows + rows + more) and n == sum(train.values()) + ends and v == len(train) + 1
+
+
 def test_lm_gradient_and_base(docs, empty, monkeypatch):
     model = lm.Attention(20, 6, dim=4, hidden=5)
     for k in "BbCc":
