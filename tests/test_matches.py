@@ -615,3 +615,27 @@ def tables_of(spark):
     from matchlab.sources.fixture import match_tables
 
     return match_tables(spark, SF)
+
+
+def test_elo_folds_many_sets_a_step(monkeypatch):
+    """Sets that share no player are rated together, as if one by one; a player of all sets goes one by one."""
+    r = np.random.default_rng(3)
+    p = r.integers(0, 400, 3000)
+    q = (p + r.integers(0, 400, 3000)) % 400  # some against themselves
+    pdf = pd.DataFrame({"set_id": r.permutation(3000), "completed_at": r.integers(0, 900, 3000), "player1_id": p, "player2_id": q, "winner_player_id": np.where(r.random(3000) < 0.6, p, q)})
+    pdf.loc[:5, "player2_id"] = None  # no id: each a player without other sets
+    start = {7: 1710.0, 8: 1444.5, 9999: 1.0}, {7: 50, 8: 3, 9999: 2}
+    (want_r, want_n), (got_r, got_n) = (tuple(map(dict, start)) for _ in range(2))
+    monkeypatch.setattr(elo, "LEAST_WIDTH", 10**9)
+    want = elo.fold(pdf, want_r, want_n).set_index("set_id").sort_index()
+    monkeypatch.setattr(elo, "LEAST_WIDTH", 4)
+    plain = elo._one_by_one
+    monkeypatch.setattr(elo, "_one_by_one", None)
+    got = elo.fold(pdf, got_r, got_n).set_index("set_id").sort_index()
+    assert np.abs(got - want).max().max() < 1e-9 and got.dtypes.equals(want.dtypes)
+    ids = [*range(400), 9999]
+    assert all(abs(got_r.get(i, 0) - want_r.get(i, 0)) < 1e-9 and got_n.get(i) == want_n.get(i) for i in ids)
+    monkeypatch.setattr(elo, "_one_by_one", plain)
+    star = pdf.assign(player1_id=1)
+    assert np.isfinite(elo.fold(star, {}, {}).p1_post).all()
+    assert len(elo.fold(pdf[:0], {}, {})) == 0
