@@ -639,3 +639,26 @@ def test_elo_folds_many_sets_a_step(monkeypatch):
     star = pdf.assign(player1_id=1)
     assert np.isfinite(elo.fold(star, {}, {}).p1_post).all()
     assert len(elo.fold(pdf[:0], {}, {})) == 0
+
+
+def test_folds_take_cuts_from_counts_and_rows_in_time_order(spark, monkeypatch):
+    from matchlab.operators import boosting, modeling
+
+    f = tables.staged(features_of(_league(500), spark), "test-features")
+    times = f.groupBy("completed_at").agg(F.count("*").alias("n")).unionByName(f.groupBy("completed_at").agg(F.count("*").alias("n")))
+    shares = [0.1, 0.37, 0.9]
+    twice = evaluation.percentiles(f.unionByName(f), "completed_at", shares).first()["q"]
+    assert evaluation.percentiles(times, "completed_at", shares, weight="n").first()["q"] == twice
+    assert evaluation.walk_forward_cuts(times, 3, "n").collect() == evaluation.walk_forward_cuts(f.unionByName(f), 3).collect()
+    edges = boosting.bin_edges(f, modeling.CORE)
+    blocks = boosting._stored_blocks(f, modeling.CORE, edges, [0.0], "set_id", "p1_won", "completed_at", 3).collect()
+    at = [np.frombuffer(b["at"]) for b in blocks]
+    assert sum(map(len, at)) == f.count() and all((np.diff(x) >= 0).all() for x in at)
+    # each model is given the margins of its own rows alone
+    seen, plain = [], boosting._margins
+    monkeypatch.setattr(boosting, "_margins", lambda stored, columns, trees: seen.append(len(stored)) or plain(stored, columns, trees))
+    times = np.sort(np.concatenate(at))
+    ask = boosting._Growing(boosting.Setting(), (times[50], times[50], times[60]), 0.0, len(modeling.CORE)).ask()
+    batch = tables.staged(spark.createDataFrame(blocks, boosting.BLOCKS), "test-blocks").toArrow().to_batches()
+    list(boosting._partial({0: ask}, 64)(batch))
+    assert sum(seen) == 60
