@@ -32,11 +32,12 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, discard, hash_words, keyed, slices, staged, text_chunks, word_codes
+from .common import column, discard, hash_words, keyed, slices, staged, text_chunks
 from .tokens import encoder
 
 HALF = 16
@@ -87,23 +88,22 @@ class Attention:
             "E": r.normal(0, 0.3, (vocab, dim)).astype(np.float32), "P": r.normal(0, 0.3, (CONTEXT, dim)).astype(np.float32), "Q": g(dim, dim), "K": g(dim, dim), "V": g(dim, dim), "A": g(dim, hidden), "a": np.zeros(hidden, np.float32),
             "B": np.zeros((hidden, groups), np.float32), "b": b.astype(np.float32), "C": np.zeros((groups, hidden, self.width), np.float32), "c": c.astype(np.float32),
         }
-        # query i stands at HALF+i; it sees places up to its own
-        self.mask = np.where(np.arange(CONTEXT)[None, :] <= HALF + np.arange(HALF)[:, None], 0, -1e9).astype(np.float32)
-        self.seen = (self.mask[:, HALF:] == 0).astype(np.float32)
+        self.seen = np.tri(HALF, CONTEXT, HALF, dtype=np.float32)  # query i stands at HALF+i; it sees places up to its own
 
     def head(self, u: np.ndarray, target: np.ndarray):
         """Log probability of each row's class, and what the way back needs: rows by group, both levels' shares."""
         p, at = self.p, np.arange(len(u))
         group = (target // self.width).astype(np.uint8 if len(p["b"]) < 256 else np.int64)
-        own = target - self.width * group.astype(np.int64)
+        own = target - self.width * group.astype(target.dtype)
         order = np.argsort(group, kind="stable")
         ends = np.r_[0, np.cumsum(np.bincount(group, minlength=len(p["b"])))]
-        sorted_u, z2 = u[order], np.empty((len(u), self.width), np.float32)
+        sorted_u, z2 = u.take(order, 0, mode="clip"), np.empty((len(u), self.width), np.float32)
         for k, (a, e) in enumerate(zip(ends, ends[1:])):
             if e > a:
                 np.matmul(sorted_u[a:e], p["C"][k], out=z2[a:e])
                 z2[a:e] += p["c"][k]
-        z1 = u @ p["B"] + p["b"]
+        z1 = u @ p["B"]
+        z1 += p["b"]
         out, parts = np.zeros(len(u), np.float32), []
         for z, pick, back in ((z1, group, None), (z2, own[order], order)):
             np.clip(z, -60, 60, out=z)
@@ -118,149 +118,197 @@ class Attention:
             parts.append((z, total))
         return out, (group, own, order, ends, sorted_u, parts)
 
-    def hidden(self, ids: np.ndarray, pad: np.ndarray):
-        """ids, pad (windows, CONTEXT): the hidden layer at each of the last HALF places, and what the way back needs."""
-        p = self.p
-        x = p["E"][ids] + p["P"]
-        q = x[:, HALF:] @ p["Q"]
-        k, v = x @ p["K"], x @ p["V"]
-        s = q @ k.transpose(0, 2, 1) / np.float32(math.sqrt(self.dim)) + self.mask
-        s = np.where(pad[:, None, :], np.float32(-1e9), s)
-        s -= s.max(-1, keepdims=True)
-        w = np.exp(s)
-        w /= w.sum(-1, keepdims=True)
-        h = (x[:, HALF:] + w @ v).reshape(-1, self.dim)
-        return np.maximum(h @ p["A"] + p["a"], 0), (x, q, k, v, w, h)
-
-    def blocks(self, ids: np.ndarray, first: np.ndarray):
-        """The hidden layer at every place of blocks (ids: blocks, HALF) of texts; a block sees itself up to each place and
-        the block before it, unless it is its text's first. A query meets embeddings (Q and K as one matrix), and their
-        weighted sums meet V and A as one matrix, so keys and values of single ids are never made."""
-        p, n, d = self.p, len(ids), self.dim
-        z = p["E"][ids.ravel()].reshape(n, HALF, d)
-        x = np.empty((n, CONTEXT, d), np.float32)  # the block before, the block
-        np.add(z[:-1], p["P"][:HALF], out=x[1:, :HALF])
-        x[0, :HALF] = 0
-        np.add(z, p["P"][HALF:], out=x[:, HALF:])
+    def layer(self, x: np.ndarray, first: np.ndarray):
+        """x (windows, CONTEXT, dim): embeddings at their places. The hidden layer at each of the last HALF places, and what
+        the way back needs. A place sees the window up to itself, or its own half alone where the window is a `first` one.
+        A query meets embeddings (Q and K as one matrix), and their weighted sums meet V and A as one matrix, so keys and
+        values of single ids are never made."""
+        p, n, d = self.p, len(x), self.dim
         own = np.empty((n * HALF, 2 * d), np.float32)  # a place's embedding, its weighted sum
-        own[:, :d] = x[:, HALF:].reshape(-1, d)
-        q = own[:, :d] @ (p["Q"] @ p["K"].T / np.float32(math.sqrt(d)))
-        s = q.reshape(n, HALF, d) @ x.transpose(0, 2, 1)
+        own[:, :d].reshape(n, HALF, d)[...] = x[:, HALF:]
+        q = (own[:, :d] @ (p["Q"] @ p["K"].T / np.float32(math.sqrt(d)))).reshape(n, HALF, d)
+        s = q @ x.transpose(0, 2, 1)
         np.clip(s, -60, 60, out=s)
         np.exp(s, out=s)
-        s[:, :, HALF:] *= self.seen
+        s *= self.seen
         s[first, :, :HALF] = 0
-        s[:1, :, :HALF] = 0
         weight = s.reshape(-1, CONTEXT) @ np.ones(CONTEXT, np.float32)
         np.divide((s @ x).reshape(-1, d), weight[:, None], out=own[:, d:])
         u = own @ np.concatenate([p["A"], p["V"] @ p["A"]])
         u += p["a"]
-        return np.maximum(u, 0, out=u)
+        return np.clip(u, 0, np.float32(np.inf), out=u), (own, q, s, weight)
+
+    def blocks(self, ids: np.ndarray, first: np.ndarray):
+        """The hidden layer at every place of blocks (ids: blocks, HALF) of texts; a block sees itself up to each place and
+        the block before it, unless it is its text's first."""
+        p, n, d = self.p, len(ids), self.dim
+        z = p["E"].take(ids.ravel(), 0, mode="clip").reshape(n, HALF, d)
+        x = np.empty((n, CONTEXT, d), np.float32)  # the block before, the block
+        np.add(z[:-1], p["P"][:HALF], out=x[1:, :HALF])
+        x[0, :HALF] = 0
+        np.add(z, p["P"][HALF:], out=x[:, HALF:])
+        alone = first.copy()
+        alone[:1] = True
+        return self.layer(x, np.flatnonzero(alone))[0]
 
     def loss(self, ids, pad, target):
-        """Mean negative log likelihood over the places with a target (-1: none), and gradients."""
-        p = self.p
-        u, (x, q, k, v, w, h) = self.hidden(ids, pad)
+        """Mean negative log likelihood over the places with a target (-1: none), and gradients. pad: whether a window's
+        first half is there, as in `windows`."""
+        p, d = self.p, self.dim
+        x = p["E"].take(ids.ravel(), 0, mode="clip").reshape(*ids.shape, d)
+        x += p["P"]
+        u, (own, q, s, weight) = self.layer(x, np.flatnonzero(pad[:, 0]))
         there = (target >= 0).ravel()
         n = max(1, int(there.sum()))
-        chance, (group, own, order, ends, sorted_u, parts) = self.head(u, np.maximum(target, 0).ravel())
-        dz1, dz2 = (z / total[:, None] for z, total in parts)
-        at = np.arange(len(u))
-        dz1[at, group] -= 1
-        dz2[at, own[order]] -= 1
-        dz1 *= there[:, None] / np.float32(n)
-        dz2 *= there[order][:, None] / np.float32(n)
-        g = {"B": u.T @ dz1, "b": dz1.sum(0), "C": np.zeros_like(p["C"]), "c": np.zeros_like(p["c"])}
+        chance, (group, pick, order, ends, sorted_u, ((dz1, total1), (dz2, total2))) = self.head(u, np.maximum(target, 0).ravel())
+        share, at, ones = there / np.float32(n), np.arange(len(u)), np.ones(len(u), np.float32)
+        dz1 *= (share / total1)[:, None]
+        dz1[at, group] -= share
+        share = share[order]
+        dz2 *= (share / total2)[:, None]
+        dz2[at, pick[order]] -= share
+        g = {"B": u.T @ dz1, "b": ones @ dz1, "C": np.zeros_like(p["C"]), "c": np.zeros_like(p["c"])}
         du, sorted_du = dz1 @ p["B"].T, np.empty_like(sorted_u)
         for j, (a, e) in enumerate(zip(ends, ends[1:])):
             if e > a:
-                g["C"][j], g["c"][j] = sorted_u[a:e].T @ dz2[a:e], dz2[a:e].sum(0)
-                sorted_du[a:e] = dz2[a:e] @ p["C"][j].T
-        du[order] += sorted_du
-        du *= u > 0
-        g["A"], g["a"] = h.T @ du, du.sum(0)
-        dh = (du @ p["A"].T).reshape(len(ids), HALF, self.dim)
-        dw = dh @ v.transpose(0, 2, 1)
-        dv = w.transpose(0, 2, 1) @ dh
-        ds = w * (dw - (dw * w).sum(-1, keepdims=True)) / np.float32(math.sqrt(self.dim))
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        flat = lambda a: a.reshape(-1, a.shape[-1])
-        g["Q"], g["K"], g["V"] = flat(x[:, HALF:]).T @ flat(dq), flat(x).T @ flat(dk), flat(x).T @ flat(dv)
-        dx = dk @ p["K"].T + dv @ p["V"].T
-        dx[:, HALF:] += dh + dq @ p["Q"].T
-        g["P"] = dx.sum(0)
+                np.matmul(sorted_u[a:e].T, dz2[a:e], out=g["C"][j])
+                np.matmul(ones[a:e], dz2[a:e], out=g["c"][j])
+                np.matmul(dz2[a:e], p["C"][j].T, out=sorted_du[a:e])
+        back = np.empty_like(order)
+        back[order] = at
+        du += sorted_du.take(back, 0, mode="clip")
+        du *= (u > 0).astype(np.float32)
+        to = own.T @ du  # of A, and of V and A as one
+        g["A"], g["V"], g["a"] = to[:d] + p["V"].T @ to[d:], to[d:] @ p["A"].T, ones @ du
+        down = du @ np.concatenate([p["A"], p["V"] @ p["A"]]).T
+        dh = down[:, d:] / weight[:, None]
+        shift = np.einsum("ij,ij->i", dh, own[:, d:]).reshape(-1, HALF, 1)
+        dh = dh.reshape(q.shape)
+        ds = dh @ x.transpose(0, 2, 1)
+        ds -= shift
+        ds *= s
+        dq = (ds @ x).reshape(-1, d)
+        to = own[:, :d].T @ dq / np.float32(math.sqrt(d))
+        g["Q"], g["K"] = to @ p["K"], to.T @ p["Q"]
+        dx = ds.transpose(0, 2, 1) @ q
+        dx += s.transpose(0, 2, 1) @ dh
+        dq = dq @ (p["K"] @ p["Q"].T / np.float32(math.sqrt(d)))
+        dq += down[:, :d]
+        dx[:, HALF:] += dq.reshape(q.shape)
+        g["P"] = (np.ones(len(dx), np.float32) @ dx.reshape(len(dx), -1)).reshape(CONTEXT, d)
         return -float(chance[there].sum()) / n, g, dx
 
     def step(self, state: dict, ids, pad, target, rate: float) -> None:
-        """One step of Adam; embeddings get sparse Adagrad steps. The state is changed in place."""
+        """One step of Adam; embeddings get sparse Adagrad steps. Weights and state are changed in place."""
         _, g, dx = self.loss(ids, pad, target)
         state["step"] += 1
-        t, m, v = float(state["step"][0]), state["m"], state["v"]
-        for k, d in g.items():
-            m[k] = 0.9 * m[k] + 0.1 * d
-            v[k] = 0.99 * v[k] + 0.01 * d * d
-            self.p[k] = (self.p[k] - rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
-        order = np.argsort(ids, axis=None, kind="stable")
-        u, first = np.unique(ids.ravel()[order], return_index=True)
-        ge = np.add.reduceat(dx.reshape(-1, self.dim)[order], first, axis=0)
-        state["seen"][u] += (ge * ge).mean(1)
-        self.p["E"][u] -= 5 * rate * ge / np.sqrt(state["seen"][u])[:, None]
+        t, m, v, d = float(state["step"][0]), state["m"], state["v"], self.joined(g)
+        m *= np.float32(0.9)
+        m += np.float32(0.1) * d
+        v *= np.float32(0.99)
+        d *= d
+        v += np.float32(0.01) * d
+        np.sqrt(v, out=d)
+        d *= np.float32(1 / math.sqrt(1 - 0.99**t))
+        d += np.float32(1e-8)
+        np.divide(m, d, out=d)
+        d *= np.float32(rate / (1 - 0.9**t))
+        state["flat"] -= d
+        u, ge = _sums(ids.ravel(), dx.reshape(-1, self.dim))
+        seen = state["seen"][u] + np.einsum("ij,ij->i", ge, ge) / np.float32(self.dim)
+        state["seen"][u] = seen
+        ge *= (np.float32(5 * rate) / np.sqrt(seen))[:, None]
+        self.p["E"][u] = self.p["E"].take(u, 0, mode="clip") - ge
+
+    def joined(self, values: dict) -> np.ndarray:
+        """All values but those of single ids, as one vector."""
+        return np.concatenate([values[k].ravel() for k in sorted(self.p) if k != "E"])
+
+    def open(self, state: dict) -> None:
+        """Make the weights parts of the state's vector `flat`, so that a step changes them at once."""
+        state["flat"], at = self.joined(self.p), 0
+        for k in sorted(self.p):
+            if k != "E":
+                self.p[k] = state["flat"][at : at + self.p[k].size].reshape(self.p[k].shape)
+                at += self.p[k].size
 
     def start(self) -> dict:
         """The state before the first step."""
-        zeros = lambda: {k: np.zeros_like(x) for k, x in self.p.items() if k != "E"}
-        return {"step": np.zeros(1), "m": zeros(), "v": zeros(), "seen": np.full(len(self.p["E"]), 1e-6, np.float32)}
+        state = {"step": np.zeros(1), "seen": np.full(len(self.p["E"]), 1e-6, np.float32)}
+        self.open(state)
+        return state | {k: np.zeros_like(state["flat"]) for k in ("m", "v")}
+
+    def copy(self, state: dict) -> tuple[Attention, dict]:
+        m = Attention.__new__(Attention)
+        m.__dict__.update(self.__dict__, p={k: x.copy() for k, x in self.p.items()})
+        state = {k: x.copy() for k, x in state.items()}
+        m.open(state)
+        return m, state
 
     def dense(self, state: dict) -> np.ndarray:
         """All weights and state but those of single ids, as one vector."""
-        names = sorted(state["m"])
-        return np.concatenate([state["step"], *(x[k].ravel() for x in (self.p, state["m"], state["v"]) for k in names)]).astype(np.float64)
+        return np.concatenate([state[k] for k in ("step", "flat", "m", "v")]).astype(np.float64)
 
     def take(self, state: dict, flat: np.ndarray) -> None:
-        state["step"], at = flat[:1].copy(), 1
-        for x in (self.p, state["m"], state["v"]):
-            for k in sorted(state["m"]):
-                n = x[k].size
-                x[k] = flat[at : at + n].reshape(x[k].shape).astype(np.float32)
-                at += n
+        state["step"] = flat[:1].copy()
+        state["flat"][:], state["m"], state["v"] = np.split(flat[1:].astype(np.float32), 3)
+
+
+def _sums(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct ids, the sum of each one's rows). Ids with one or two rows, most of them, need no loop over runs."""
+    order = np.argsort(ids, kind="stable")
+    s = ids[order]
+    first = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
+    n = np.diff(np.r_[first, len(s)])
+    out = rows.take(order[first], 0, mode="clip")
+    two = np.flatnonzero(n == 2)
+    out[two] += rows.take(order[first[two] + 1], 0, mode="clip")
+    more = np.flatnonzero(n > 2)
+    if len(more):
+        k = n[more]
+        runs = rows.take(order[slices(first[more], k)], 0, mode="clip").T
+        out[more] = np.add.reduceat(np.ascontiguousarray(runs), np.cumsum(k) - k, axis=1).T
+    return s[first], out
 
 
 def windows(ids: np.ndarray, counts: np.ndarray, end_id: int, share: int = 1, offset: int = 0):
     """(ids, pad, targets' places) of one in `share` windows: each text, after a start mark, in windows that move by
     HALF. Row r's last HALF places predict the ids that follow them; place -1 is none. `ids` holds every text's ids, its
     end included."""
-    rows = -(-counts // HALF)
-    base = np.cumsum(rows) - rows
-    first = np.cumsum(counts) - counts
-    number = np.arange(offset, int(rows.sum()), share)
-    doc = np.searchsorted(base, number, side="right") - 1
-    j = number - base[doc]
-    # place t of row j stands before the text's id number j*HALF + t - HALF
-    place = j[:, None] * HALF + np.arange(CONTEXT)[None, :] - HALF
-    prev = place - 1
-    pad = prev < -1
-    src = np.clip(first[doc][:, None] + prev, 0, max(0, len(ids) - 1))
-    inside = (prev >= 0) & (prev < counts[doc][:, None])
-    x = np.where(inside, ids[src] if len(ids) else 0, end_id)
-    target = place[:, HALF:]
-    target = np.where(target < counts[doc][:, None], first[doc][:, None] + target, -1)
-    return x.astype(np.int64), pad, target
-
-
-def log_prob(model: Attention, classes: Classes, ids: np.ndarray, counts: np.ndarray, end_id: int, batch: int = 1024) -> np.ndarray:
-    """Natural log probability of each id given those before it in its text; bounded batches of blocks of HALF ids."""
-    if not len(ids):
-        return np.empty(0)
+    x, at, first = _halves(ids, counts, end_id)
+    target = np.full(x.size, -1)
+    target[at] = np.arange(len(ids))
+    number = np.arange(offset, len(x), share)
+    before = x[number - 1]  # row 0 is a first one
+    before[first[number]] = end_id
+    pad = np.zeros((len(number), CONTEXT), bool)
+    pad[:, :HALF] = first[number, None]
+    return np.concatenate([before, x[number]], axis=1), pad, target.reshape(-1, HALF)[number]
+
+
+def _halves(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each text, after a start mark, in blocks of HALF: (the id before each place, each id's place, whether a block is its
+    text's first)."""
     rows = -(-counts // HALF)
     base, start = np.cumsum(rows) - rows, np.cumsum(counts) - counts
-    at = np.arange(len(ids)) + np.repeat(base * HALF - start, counts)  # an id's place in the blocks
+    at = np.arange(len(ids)) + np.repeat(base * HALF - start, counts)
     before = np.empty_like(ids)
     before[1:] = ids[:-1]
     before[start] = end_id
     n = int(rows.sum())
-    x, target, first = np.full(n * HALF, end_id), np.zeros(n * HALF, np.int64), np.zeros(n, bool)
-    x[at], target[at], first[base] = before, classes.of[ids], True
-    x, found = x.reshape(n, HALF), np.empty(n * HALF, np.float32)
+    x, first = np.full(n * HALF, end_id, ids.dtype), np.zeros(n, bool)
+    x[at], first[base] = before, True
+    return x.reshape(n, HALF), at, first
+
+
+def log_prob(model: Attention, classes: Classes, ids: np.ndarray, counts: np.ndarray, end_id: int, batch: int = 256) -> np.ndarray:
+    """Natural log probability of each id given those before it in its text; bounded batches of blocks of HALF ids."""
+    if not len(ids):
+        return np.empty(0)
+    x, at, first = _halves(ids, counts, end_id)
+    n = len(x)
+    target, found = np.zeros(n * HALF, classes.of.dtype), np.empty(n * HALF, np.float32)
+    target[at] = classes.of[ids]
     for a in range(0, n, batch):
         e, lead = min(n, a + batch), int(a > 0)
         u = model.blocks(x[a - lead : e], first[a - lead : e])[lead * HALF :]
@@ -273,46 +321,54 @@ def mixed(each: np.ndarray, lens: np.ndarray, unigram: np.ndarray) -> np.ndarray
     return np.logaddexp(np.add.reduceat(each, np.cumsum(lens) - lens), unigram) + math.log(0.5)
 
 
+#: Lowers A-Z and makes each kind of white space a space.
+_PLAIN = bytes(32 if 9 <= i <= 13 else i + 32 if 65 <= i <= 90 else i for i in range(256))
+
+
+def _numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """As word_codes of lowered texts, by Arrow: no Python object for each word."""
+    found = pc.split_pattern(pa.array([t.translate(_PLAIN) for t in texts], pa.binary()), b" ")
+    coded = found.flatten().dictionary_encode()
+    codes, words, ends = coded.indices.to_numpy(), coded.dictionary, found.offsets.to_numpy()
+    empty = pc.index(words, pa.scalar(b"", words.type)).as_py()
+    if empty >= 0:
+        keep = codes != empty
+        ends, codes = np.r_[0, np.cumsum(keep)][ends], codes[keep]
+        codes = codes - (codes > empty)
+        words = pa.concat_arrays([words[:empty], words[empty + 1 :]])
+    return codes, np.diff(ends), words
+
+
 def _blocks(docs: DataFrame) -> DataFrame:
     """One row per block: its documents, the words' numbers, the distinct words in the order of their hashes, and their
     counts in training texts. Numbers and lengths are packed, so a block is a few large values."""
 
     def run(batches):
-        state = None
+        texts, docs, ths, size = [], [], [], 0
 
-        def fresh():
-            return {"number": {}, "codes": [], "docs": [], "ths": [], "lens": [], "train": [], "size": 0}
-
-        def close(s):
-            words, lens = list(s["number"]), np.array(s["lens"], np.int64)
+        def close():
+            codes, lens, words = _numbered(texts)
+            sizes, words = pc.binary_length(words).to_numpy(), words.to_numpy(zero_copy_only=False)
             order = np.argsort(hash_words(words), kind="stable")
             place = np.empty(len(words), np.int32)
             place[order] = np.arange(len(words), dtype=np.int32)
-            codes = place[np.concatenate(s["codes"])] if len(words) else np.empty(0, np.int32)
-            train = np.bincount(codes[np.repeat(np.array(s["train"], bool), lens)], minlength=len(words))
-            words = [words[i] for i in order.tolist()]
+            codes = place[codes]
+            train = np.bincount(codes[np.repeat([not held_out(i) for i in docs], lens)], minlength=len(words))
             # numbered by its documents: the same in every run and attempt
-            block = xxhash.xxh3_64_intdigest(repr((s["docs"], s["ths"])).encode()) >> 1
-            packed = [codes.astype("<i4").tobytes(), b"".join(words), np.array([len(w) for w in words], "<u4").tobytes(), train.astype("<u4").tobytes()]
-            return pa.RecordBatch.from_arrays([pa.array([block]), pa.array([s["docs"]], pa.list_(pa.int64())), pa.array([s["ths"]], pa.list_(pa.int64())), pa.array([s["lens"]], pa.list_(pa.int64())), *(pa.array([x], pa.binary()) for x in packed)], names=["block", "docs", "ths", "lens", "codes", "words", "sizes", "train"])
-
-        for b, texts in text_chunks(batches, limit=2_000_000):
-            state = state or fresh()
-            codes, counts, uniq = word_codes(texts, lower=True)
-            number = state["number"]
-            at = np.fromiter((number.setdefault(w, len(number)) for w in uniq), np.int32, len(uniq))
-            state["codes"].append(at[codes] if len(codes) else np.empty(0, np.int32))
-            ids = column(b, "doc_id").to_pylist()
-            state["docs"] += ids
-            state["ths"] += column(b, "th").to_pylist()
-            state["lens"] += counts.tolist()
-            state["train"] += [not held_out(i) for i in ids]
-            state["size"] += sum(map(len, texts))
-            if state["size"] >= BLOCK_BYTES:
-                yield close(state)
-                state = None
-        if state:
-            yield close(state)
+            block = xxhash.xxh3_64_intdigest(repr((docs, ths)).encode()) >> 1
+            packed = [codes.astype("<i4").tobytes(), b"".join(words[order]), sizes[order].astype("<u4").tobytes(), train.astype("<u4").tobytes()]
+            return pa.RecordBatch.from_arrays([pa.array([block]), *(pa.array([x], pa.list_(pa.int64())) for x in (docs, ths, lens)), *(pa.array([x], pa.binary()) for x in packed)], names=["block", "docs", "ths", "lens", "codes", "words", "sizes", "train"])
+
+        for b, some in text_chunks(batches, limit=2_000_000):
+            texts += some
+            docs += column(b, "doc_id").to_pylist()
+            ths += column(b, "th").to_pylist()
+            size += sum(map(len, some))
+            if size >= BLOCK_BYTES:
+                yield close()
+                texts, docs, ths, size = [], [], [], 0
+        if docs:
+            yield close()
 
     return staged(keyed(docs).mapInArrow(run, "block long, docs array<long>, ths array<long>, lens array<long>, codes binary, words binary, sizes binary, train binary"), "op5-blocks")
 
@@ -356,9 +412,8 @@ def _replies(blocks: DataFrame, tokenizer: str, buckets: int) -> DataFrame:
             c = np.zeros(len(number), np.int64)
             for p, (_, _, _, t) in zip(places, held):
                 c[p] += np.frombuffer(t, "<u4")  # no word comes twice in a block
-            ids, lens = enc.encode([_valid(b" " + w) for w in number])
-            enc.forget()  # no word comes twice
-            ids, lens = np.asarray(ids).astype(small), np.asarray(lens, np.int64)
+            ids, lens = enc.words(list(number))
+            ids = ids.astype(small)
             start = np.cumsum(lens) - lens
             for p, (block, *_) in zip(places, held):
                 yield row(at, block, _compact(c[p]), lens[p].astype("<u4").tobytes(), ids[slices(start[p], lens[p])].tobytes(), [], [], 0, 0)
@@ -386,10 +441,6 @@ def _replies(blocks: DataFrame, tokenizer: str, buckets: int) -> DataFrame:
     return staged(met.mapInArrow(answer, REPLY), "op5-words")
 
 
-def _valid(x: bytes) -> bytes:
-    return x.decode("utf-8", "replace").encode()
-
-
 def _training(doc_id: str):
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS)) != HELD
 
@@ -456,7 +507,7 @@ class _Block:
         w = self.codes[slices(self.first[texts], lens)]
         sub = self.sub[w]
         k = np.bincount(np.repeat(np.arange(len(texts)), lens), weights=sub, minlength=len(texts)).astype(np.int64)
-        return np.insert(self.flat[slices(self.start[w], sub)].astype(np.int64), np.cumsum(k), end_id), k + 1
+        return np.insert(self.flat[slices(self.start[w], sub)], np.cumsum(k), end_id), k + 1
 
 
 def _one_by_one(batches):
@@ -482,6 +533,7 @@ def train(encoded: DataFrame, classes: Classes, end_id: int, vocab: int, rounds:
         total, bucket, lead = None, 0, LAST
         many = np.zeros((vocab, dim + 2))  # an id's embedding, state and places, summed
         model0, state0, classes = shared.value
+        of = classes.of.astype(np.int16 if classes.number < 1 << 15 else np.int64)
         m = None
 
         def close():
@@ -493,9 +545,7 @@ def train(encoded: DataFrame, classes: Classes, end_id: int, vocab: int, rounds:
 
         for blk in _one_by_one(batches):
             if m is None:
-                m = Attention.__new__(Attention)
-                m.__dict__.update(model0.__dict__, p={k: x.copy() for k, x in model0.p.items()})
-                s = {"step": state0["step"].copy(), "m": dict(state0["m"]), "v": dict(state0["v"]), "seen": state0["seen"].copy()}
+                m, s = model0.copy(state0)
                 n, places = 0, np.zeros(vocab)
             r, bucket = np.random.default_rng([seed, done]), blk.number % BUCKETS
             lead = min(lead, blk.number)
@@ -505,7 +555,7 @@ def train(encoded: DataFrame, classes: Classes, end_id: int, vocab: int, rounds:
                 mine = np.flatnonzero(~blk.held[a:e] & turn[a:e]) + a
                 ids, k = blk.ids_of(mine, end_id)
                 x, pad, target = windows(ids, k, end_id, share, int(r.integers(share)))
-                target = np.where(target >= 0, classes.of[ids[target]] if len(ids) else -1, -1)
+                target = np.where(target >= 0, of[ids[target]] if len(ids) else -1, -1).astype(of.dtype)
                 order = r.permutation(len(x))
                 step = max(min(32, batch), min(batch, len(x) // 16))  # few windows still make some steps
                 for i in range(0, len(x), step):
@@ -568,14 +618,15 @@ def score(docs: DataFrame, tokenizer: str, end_id: int = 50256) -> DataFrame:
         model, classes = shared.value
         for blk in _one_by_one(batches):
             counts, doc = blk.counts, np.repeat(np.arange(len(blk.counts)), blk.counts)
-            base = np.bincount(doc, weights=log(blk.c[blk.codes]), minlength=len(counts)) + log(ends)
+            logs = log(blk.c)
+            base = np.bincount(doc, weights=logs[blk.codes], minlength=len(counts)) + log(ends)
             seen = np.bincount(doc, weights=blk.c[blk.codes] > 0, minlength=len(counts)).astype(np.int64) + (ends > 0)
             score = np.empty(len(counts))
             for a, e in blk.parts:
                 w, sub, ids, k = blk.ids(a, e, end_id)
                 ends_at = np.cumsum(counts[a:e])
                 each = log_prob(model, classes, ids, k, end_id)
-                words_log = mixed(each, np.insert(sub, ends_at, 1), math.log(10) * np.insert(log(blk.c[w]), ends_at, log(ends)))
+                words_log = mixed(each, np.insert(sub, ends_at, 1), math.log(10) * np.insert(logs[w], ends_at, log(ends)))
                 score[a:e] = np.bincount(np.repeat(np.arange(e - a), counts[a:e] + 1), weights=words_log) / math.log(10)
             yield pa.RecordBatch.from_arrays([pa.array(blk.docs, pa.int64()), pa.array(blk.ths, pa.int64()), pa.array(blk.held), pa.array(counts + 1), pa.array(seen), pa.array(np.full(len(counts), n, np.int64)), pa.array(base), pa.array(score)], names=names)
 

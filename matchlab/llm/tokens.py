@@ -144,6 +144,24 @@ class Encoder:
         each[whole] = lens_w
         return np.insert(ids, at, ids_w), each
 
+    def words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """As encode, of texts that are a space and a word each, a run without ASCII white space; nothing is remembered. For
+        words that come once: what is looked for in every text there is looked for in all at once here."""
+        texts = [" " + w.decode("utf-8", "replace") for w in words]
+        joined = "".join(texts)
+        unsure = [x for x in self.unsure if x in joined]
+        alone = [i for i, t in enumerate(texts) if any(map(t.__contains__, unsure))] if unsure else []
+        if not alone:
+            return self._joined(texts)
+        apart = set(alone)
+        ids, some = self._joined([t for i, t in enumerate(texts) if i not in apart])
+        lens = np.zeros(len(texts), np.int64)
+        lens[np.setdiff1d(np.arange(len(texts)), alone)] = some
+        ids_w, lens_w = self._library([texts[i] for i in alone])
+        at = np.repeat((np.cumsum(lens) - lens)[alone], lens_w)
+        lens[alone] = lens_w
+        return np.insert(ids, at, ids_w), lens
+
 
 def _slices(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths - starts, lengths)

@@ -236,3 +236,55 @@ def test_scores_are_the_same_in_every_run(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(lm, "BLOCK_BYTES", 60_000)  # several blocks
     once, again = ({x["doc_id"]: x["score"] for x in lm.score(spark.read.parquet(f"{tmp_path}/docs"), public_tokenizers.path("byte_bpe_50k.json")).collect()} for _ in range(2))
     assert len(once) == 300 and once == again
+
+
+def test_the_model_fitted_is_the_one_that_scores():
+    """Also where attention is sharp: a step's loss is the mean of the scored places, and its gradient fits it."""
+    from matchlab.llm import lm
+
+    R = np.random.default_rng(3)
+    classes = lm.Classes(R.integers(0, 50, 20).astype(float), np.arange(20) % 2 == 0, 19, single=4, pools=3)
+    model = lm.Attention(20, classes.number, dim=4, hidden=5, size=classes.size)
+    for k in "BCcKVP":
+        model.p[k] = R.normal(0, 0.5, model.p[k].shape).astype(np.float32)
+    counts = np.array([1, 15, 16, 17, 70])
+    ids = R.integers(0, 20, counts.sum()).astype(np.uint16)
+    x, pad, target = lm.windows(ids, counts, 19)
+    target = np.where(target >= 0, classes.of[ids[target]], -1)
+    for sharp in (1, 300):
+        model.p["Q"] = R.normal(0, sharp, (4, 4)).astype(np.float32)
+        scored = lm.log_prob(model, classes, ids, counts, 19) - classes.log_within[ids]
+        assert abs(model.loss(x, pad, target)[0] + scored.mean()) < 1e-4
+    model.p["Q"] = R.normal(0, 0.5, (4, 4)).astype(np.float32)
+    _, g, dx = model.loss(x, pad, target)
+    g["E"] = np.zeros((20, 4))
+    u, sums = lm._sums(x.ravel(), dx.reshape(-1, 4))
+    g["E"][u] = sums
+    assert u.tolist() == np.unique(x).tolist() and np.allclose(sums, [dx.reshape(-1, 4)[x.ravel() == i].sum(0) for i in u], atol=1e-5)
+    for k, at in (("Q", (1, 2)), ("K", (0, 3)), ("V", (2, 2)), ("A", (7 % 4, 2)), ("a", (3,)), ("b", (0,)), ("E", (19, 1)), ("E", (int(ids[0]), 0)), ("P", (3, 1)), ("P", (20, 2))):
+        model.p[k][at] += 1e-2
+        up = model.loss(x, pad, target)[0]
+        model.p[k][at] -= 2e-2
+        down = model.loss(x, pad, target)[0]
+        model.p[k][at] += 1e-2
+        assert abs((up - down) / 2e-2 - g[k][at]) < 2e-3, k
+
+
+def test_words_by_arrow_and_their_ids():
+    from matchlab.llm import lm
+    from matchlab.llm.common import word_codes
+
+    r = random.Random(4)
+    odd = "aB z\t\n\x0b\x0c\r  .,É 　 '7\0\1"
+    texts = ["".join(r.choice(odd) for _ in range(r.randint(0, 40))) for _ in range(300)] + ["", " ", "<|endoftext|> a", "x<|endoftext|>"]
+    for some in (texts, ["", " "], [], ["one"]):
+        data = [t.encode() for t in some]
+        codes, counts, words = word_codes(data, lower=True)
+        found, lens, uniq = lm._numbered(data)
+        assert lens.tolist() == counts.tolist() and len(set(uniq.to_pylist())) == len(uniq)
+        assert [uniq[i].as_py() for i in found.tolist()] == [words[i] for i in codes.tolist()]
+    enc = lm.encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    for words in (lm._numbered([t.encode() for t in texts])[2].to_pylist(), [b"plain", b"words.", b"don't"], []):
+        ids, lens = enc.words(words)
+        want = [enc.tok.encode(" " + w.decode(), add_special_tokens=False).ids for w in words]
+        assert lens.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
