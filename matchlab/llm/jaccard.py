@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, discard, keyed, mix, same_key, shingle_sets, staged, text_chunks
+from .common import column, discard, keyed, mix, same_key, shingle_sets, staged, staged_all, text_chunks
 from .graph import components
 
 NUM, DEN = 75, 100
@@ -37,6 +37,7 @@ SHARED = 3  # tokens that the kept parts of linked sets share
 FREQUENT = 50_000  # tokens ordered last, at most
 SALTS = 64
 LEVELS = 32  # by which a leader's tokens are early
+SLICES = 2  # turns in which texts are moved, at most
 
 
 def _need(n):
@@ -152,7 +153,24 @@ def _sizes(q: str, d: str):
     return F.least(q, d) * DEN >= F.greatest(q, d) * NUM
 
 
-def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _slices(spark) -> int:
+    """In how many turns texts are moved: a turn's shuffle files go before the next one's come. Any number gives the same rows."""
+    return max(1, min(SLICES, int(spark.conf.get("spark.sql.shuffle.partitions")) // 12))
+
+
+def _turn(n: int, i: int, *keys: str):
+    return F.pmod(F.xxhash64(*keys), F.lit(n)) == i
+
+
+def texts_of(docs: DataFrame, first: DataFrame) -> DataFrame:
+    """(s1, text, turn) of the documents (doc_id, th) that stand for the sets s1 of `first`, stored by turn of s1."""
+    n, text = _slices(docs.sparkSession), keyed(docs)
+    parts = ((text.filter(_turn(n, i, "doc_id", "th")), first.filter(_turn(n, i, "doc_id", "th"))) for i in range(n))
+    met = (t.join(f, same_key(t, f)).select("s1", "text", F.pmod(F.xxhash64("s1"), F.lit(n)).cast("int").alias("turn")) for t, f in parts)
+    return staged_all(met, "op7-texts", "turn")
+
+
+def verify(pairs: DataFrame, texts: DataFrame, label: str) -> DataFrame:
     """The pairs (q, d) of sets that link, by exact counts over both texts."""
 
     def run(batches):
@@ -169,9 +187,13 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 link[i] = DEN * both >= NUM * (len(sets[x]) + len(sets[y]) - both) and both > 0
             yield pa.RecordBatch.from_arrays([column(b, "q"), column(b, "d")], names=["q", "d"]).filter(pa.array(link))
 
-    q = texts.select(F.col("s1").alias("q"), F.col("text").alias("tq"))
-    d = texts.select(F.col("s1").alias("d"), F.col("text").alias("td"))
-    return pairs.select("q", "d").join(q, "q").join(d, "d").select("q", "d", "tq", "td").mapInArrow(run, "q long, d long")
+    n = _slices(pairs.sparkSession)
+    own = lambda i, a, b: texts.filter(F.col("turn") == i).select(F.col("s1").alias(a), F.col("text").alias(b))
+    half = staged_all((pairs.select("q", "d").filter(_turn(n, i, "d")).join(own(i, "d", "td"), "d").select("q", "d", "td") for i in range(n)), "op7-half")
+    met = (half.filter(_turn(n, i, "q")).join(own(i, "q", "tq"), "q").select("q", "d", "tq", "td") for i in range(n))
+    out = staged_all((x.mapInArrow(run, "q long, d long") for x in met), label)
+    discard(half)
+    return out
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -183,13 +205,11 @@ def grouped(docs: DataFrame) -> DataFrame:
     """As join, with the component's own number as group (null for an empty set): components of which rows repeat a
     doc_id may share a component_id."""
     sets, frequent = sets_of(docs)
-    rows = tokens = staged(kept_tokens(docs, frequent), "op7-tokens")
+    tokens = staged(kept_tokens(docs, frequent), "op7-tokens")
     # a set with too few recurring tokens links with no other
-    known = rows.groupBy("s1", "n").agg(F.count("*").alias("c")).filter(F.col("c") >= F.least(F.lit(SHARED), F.ceil(F.col("n") * NUM / DEN))).select("s1")
-    first = sets.filter("n > 0").groupBy("s1").agg(F.min(F.struct("doc_id", "th")).alias("r")).join(known, "s1", "left_semi").select("s1", "r.*")
-    text = keyed(docs)
-    texts = staged(text.join(first, same_key(text, first)).select("s1", "text"), "op7-texts")
-    rows = rows.join(known, "s1", "left_semi").select("s1", "token", "n", "pos")
+    known = tokens.groupBy("s1", "n").agg(F.count("*").alias("c")).filter(F.col("c") >= F.least(F.lit(SHARED), F.ceil(F.col("n") * NUM / DEN))).select("s1")
+    rows = known_rows = staged(tokens.join(known, "s1", "left_semi").select("s1", "token", "n", "pos"), "op7-known")
+    discard(tokens)
     # leaders: of the sets of like size on a token, the one that has it earliest, so with the fewest rarer tokens; the
     # two series of size classes overlap by halves
     near = rows.filter(_within("pos", "n", F.col("n"))).withColumn("size", F.log("n") / float(np.log(DEN / NUM)))
@@ -200,30 +220,37 @@ def grouped(docs: DataFrame) -> DataFrame:
     # a leader's count misses the shared tokens that have another leader, so the full bound waits for the second round
     pairs = pairs.groupBy(F.least("q", "d").alias("q"), F.greatest("q", "d").alias("d")).agg(F.count_distinct("token").alias("c"), F.min(F.least("nq", "nd")).alias("n"))
     pairs = staged(pairs.filter(F.col("c") >= F.least(F.lit(SHARED), F.ceil(F.col("n") * NUM / DEN))).select("q", "d"), "op7-pairs")
-    links = staged(verify(pairs, texts).select(F.col("q").alias("u"), F.col("d").alias("v")), "op7-links")
+    first = sets.filter("n > 0").groupBy("s1").agg(F.min(F.struct("doc_id", "th")).alias("r")).join(rows.select("s1").distinct(), "s1", "left_semi").select("s1", "r.*")
+    first = staged(first, "op7-first")  # read in every turn
+    texts = texts_of(docs, first)
+    links = verify(pairs, texts, "op7-links").select(F.col("q").alias("u"), F.col("d").alias("v"))
     group = components(links, "op7-groups")
     # matrix and bounds
     rows = rows.join(group.withColumnsRenamed({"node": "s1", "component": "g"}), "s1", "left").withColumn("g", F.coalesce("g", "s1"))
     mixed = rows.groupBy("token").agg(F.min("g").alias("a"), F.max("g").alias("b")).filter("a < b").select("token")
     rows = matrix_rows = staged(rows.join(mixed, "token", "left_semi"), "op7-matrix")
-    discard(tokens)
+    discard(known_rows, first)
     q = rows.select("token", F.col("s1").alias("q"), F.col("n").alias("nq"), F.col("g").alias("gq"), F.col("pos").alias("pq"))
-    matrix = rows.groupBy("token", F.col("g").alias("gd")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("pos").alias("first"))
-    # a member's chance to hold the token early enough is best at the group's ends of size that still fit the query
+    matrix = rows.groupBy("token", F.col("g").alias("gd")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("pos").alias("first"), F.max("s1").alias("top"))
+    # a member's chance to hold the token early enough is best at the group's ends of size that still fit the query; the
+    # smaller set of a pair opens the group of the other
     lo, hi = F.greatest(F.col("low"), F.ceil(F.col("nq") * NUM / DEN)), F.least(F.col("high"), F.floor(F.col("nq") * DEN / NUM))
     o = F.ceil((F.col("nq") + hi) * NUM / (NUM + DEN))
-    fits = (F.col("gq") != F.col("gd")) & (lo <= hi) & _within("pq", "nq", lo) & (F.col("first") <= hi - o + SHARED)
-    opened = q.join(matrix, "token").filter(fits).groupBy("q", "nq", "gd").agg(F.count("*").alias("c"))
-    opened = opened.filter(F.col("c") >= F.least(F.lit(SHARED), F.ceil(F.col("nq") * NUM / DEN))).select("q", "gd")
+    fits = (F.col("gq") != F.col("gd")) & (F.col("q") < F.col("top")) & (lo <= hi) & _within("pq", "nq", lo) & (F.col("first") <= hi - o + SHARED)
+    # only tokens that fit can count for a member, so an opened group is asked for these alone
+    opened = q.join(matrix, "token").filter(fits).groupBy("q", "nq", "gd").agg(F.collect_list(F.struct("token", "pq")).alias("on"))
+    opened = opened.filter(F.size("on") >= F.least(F.lit(SHARED), F.ceil(F.col("nq") * NUM / DEN)))
+    opened = staged(opened.select("q", "nq", "gd", F.inline("on")), "op7-opened")
     d = rows.select("token", F.col("s1").alias("d"), F.col("n").alias("nd"), F.col("g").alias("gd"), F.col("pos").alias("pd"))
     both = (F.col("q") < F.col("d")) & _sizes("nq", "nd") & _within("pq", "nq", F.col("nd")) & _within("pd", "nd", F.col("nq"))
-    cross = q.join(opened, "q").join(d, ["token", "gd"]).filter(both)
+    cross = opened.join(d, ["token", "gd"]).filter(both)
     cross = cross.groupBy("q", "d", "nq", "nd").agg(F.count("*").alias("c")).filter(F.col("c") >= F.least(F.lit(SHARED), F.ceil((F.col("nq") + F.col("nd")) * NUM / (NUM + DEN)))).select("q", "d")
-    tried = pairs.select(F.least("q", "d").alias("q"), F.greatest("q", "d").alias("d"))
-    more = verify(cross.join(tried, ["q", "d"], "left_anti"), texts)
-    every = links.unionByName(more.select(F.col("q").alias("u"), F.col("d").alias("v")))
+    cross = staged(cross.join(pairs, ["q", "d"], "left_anti"), "op7-cross")
+    discard(matrix_rows, opened, pairs)
+    more = verify(cross, texts, "op7-more").select(F.col("q").alias("u"), F.col("d").alias("v"))
+    every = links.unionByName(more)
     final = components(every, "op7-components").withColumnsRenamed({"node": "s1", "component": "g"})
-    discard(matrix_rows, pairs, texts)
+    discard(texts, cross)
     classes = sets.filter("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("first")).join(final, "s1", "left").withColumn("g", F.coalesce("g", "s1"))
     smallest = classes.groupBy("g").agg(F.min("first").alias("component_id"))
     named = classes.join(smallest, "g").select("s1", "s2", "component_id", F.col("g").alias("group"))

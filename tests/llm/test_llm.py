@@ -96,6 +96,31 @@ def test_jaccard(docs, empty):
     assert jaccard.join(empty).count() == 0
 
 
+def test_jaccard_moves_texts_in_turns(spark, docs, monkeypatch):
+    """With more partitions, texts are moved in turns, opened groups are asked for fitting tokens alone, and no plan from the tokens to the links is left whole."""
+    want, labels, real = {tuple(r) for r in jaccard.join(docs).collect()}, {}, jaccard.staged_all
+
+    def counted(parts, label, *by):
+        parts = list(parts)
+        labels[label] = len(parts)
+        return real(parts, label, *by)
+
+    seen, stage = {}, jaccard.staged
+    monkeypatch.setattr(jaccard, "staged_all", counted)
+    monkeypatch.setattr(jaccard, "staged", lambda df, label: seen.setdefault(label, stage(df, label)))
+    monkeypatch.setattr(jaccard, "discard", lambda *tables: None)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        got = {tuple(r) for r in jaccard.join(docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == want
+    assert labels == {"op7-texts": 2, "op7-half": 2, "op7-links": 2, "op7-more": 2}
+    tokens = {(r["token"], r["s1"]) for r in seen["op7-matrix"].collect()}
+    assert all((r["token"], r["q"]) in tokens for r in seen["op7-opened"].collect()) and "op7-cross" in seen
+
+
 def _one_of_each_group(rows):
     """Brute force: doc_id and text of the rows that stay."""
     sets = [{tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set() for w in ((t or "").lower().split() for _, t in rows)]
