@@ -41,8 +41,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     groups = jaccard.grouped(docs).groupBy("group", F.when(alone, F.col("doc_id")).alias("a"), F.when(alone, F.col("th")).alias("b")).agg(first)
     groups = groups.select(F.col("k.doc_id").alias("key"), "k.th", (F.col("k.none") & F.col("k.alone")).alias("each"))
     rows = _wrapped(docs)
-    rows = rows.join(groups, _same(rows, groups)).select(rows["*"], F.when(groups["each"], F.monotonically_increasing_id()).alias("each"))
-    return rows.groupBy("key", "th", "each").agg(F.min_by("r", "rest").alias("r")).select("r.*")
+    plain = {"id": F.coalesce("key", F.lit(0)), "none": F.col("key").isNull()}  # columns without nulls: the sum needs no other split of the rows than the join
+    met = rows.withColumns(plain).join(groups.withColumns(plain).drop("key"), ["id", "none", "th"])
+    met = met.withColumn("each", F.when(F.col("each"), F.monotonically_increasing_id()))
+    return met.groupBy("id", "none", "th", "each").agg(F.min_by("r", "rest").alias("r")).select("r.*")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
