@@ -56,6 +56,23 @@ def test_hard_negatives(spark, block_rows):
     assert got == want and len(want) > 100
 
 
+def test_hard_negatives_are_searched_within_bounds(spark, monkeypatch):
+    """The windows of the positives, too, get a bound from a few leaves, so that fewer rows are handed on."""
+    real, handed = gnat.Index.find, []
+
+    def find(self, *args):
+        out = real(self, *args)
+        handed.append((args[1:3], out.count(), real(self, handed[2][3], *args[1:]).count() if len(handed) == 3 else 0, args[0]))  # the last one also without its bounds
+        return out
+
+    monkeypatch.setattr(gnat.Index, "find", find)
+    rows = [(i, v, y) for i, v, y in _vectors(4000, dim=4, seed=7)]
+    got = sorted((r["anchor_id"], r["positive_id"], r["rank"], r["negative_id"], r["positive_score"], r["negative_score"]) for r in gnat.mine(spark.createDataFrame(rows, EMBEDDINGS), block_rows=40, fan=4).collect())
+    assert got == _mined(rows)
+    assert [x[0] for x in handed] == [(True, True), (True, False), (False, True), (False, False)]
+    assert 2 * handed[3][1] < handed[3][2]
+
+
 def test_hard_negatives_of_few_and_huge_rows(spark):
     empty = spark.createDataFrame([], EMBEDDINGS)
     assert gnat.mine(empty).count() == 0
