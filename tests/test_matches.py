@@ -662,3 +662,24 @@ def test_folds_take_cuts_from_counts_and_rows_in_time_order(spark, monkeypatch):
     batch = tables.staged(spark.createDataFrame(blocks, boosting.BLOCKS), "test-blocks").toArrow().to_batches()
     list(boosting._partial({0: ask}, 64)(batch))
     assert sum(seen) == 60
+
+
+def test_boosted_blocks_are_read_a_few_at_once(spark, monkeypatch):
+    """A block has the margins of all models, so a task's Python and Spark's reader hold few of them, whatever lies in a row group."""
+    import math
+
+    from matchlab.operators import boosting
+
+    names = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before, real, seen = [spark.conf.get(k) for k in names], boosting._level, []
+
+    def level(blocks, *args):
+        seen.append([int(spark.conf.get(k)) for k in names])
+        return real(blocks, *args)
+
+    monkeypatch.setattr(boosting, "_level", level)
+    df = spark.range(3000).selectExpr("id as set_id", "id as completed_at", "id % 7 as a", "cast(id % 7 > 3 as int) as p1_won")
+    models = boosting.fit(df, ["a"], [boosting.Setting(trees=2, depth=2)] * 50, [(2000.0, 2000.0, math.inf)] * 50, parts=1)
+    assert len(models) == 50 and seen
+    assert all(x[0] <= 16 << 20 and x[1] * boosting.BLOCK_ROWS * 50 * 8 <= 16 << 20 for x in seen)
+    assert [spark.conf.get(k) for k in names] == before
